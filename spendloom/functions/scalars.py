@@ -208,7 +208,6 @@ _DMY4 = r"([0-9]{2})[/-]([0-9]{2})[/-]([0-9]{4})"
 _DMY2 = r"([0-9]{2})[/-]([0-9]{2})[/-]([0-9]{2})"
 _MDY = rf"(?U)([A-Za-z]{{3}}){WS}+([0-9]{{1,2}})(?:{WS}+([0-9]{{4}}))?"
 _DMY_TEXT = rf"(?U)([0-9]{{1,2}}){WS}+([A-Za-z]{{3}})(?:{WS}+([0-9]{{4}}))?"
-_DM_TEXT = rf"(?U)([0-9]{{1,2}}){WS}+([A-Za-z]{{3}})"
 
 
 def valid_iso_date(year, month, day) -> Column:
@@ -229,10 +228,11 @@ def _to_int(s: Column) -> Column:
     return F.nullif(s, F.lit("")).try_cast("int")
 
 
-def _parse_numeric(frag: Column, pattern: str, two_digit: bool, slash_only: bool) -> Column:
-    d = _to_int(F.regexp_extract(frag, pattern, 1))
-    m = _to_int(F.regexp_extract(frag, pattern, 2))
-    y = _to_int(F.regexp_extract(frag, pattern, 3))
+def _parse_numeric(frag: Column, two_digit: bool, slash_only: bool) -> Column:
+    # ``frag`` is a whole ``dd?mm?yy[yy]`` match: fixed positions, no regex.
+    d = F.substring(frag, 1, 2).try_cast("int")
+    m = F.substring(frag, 4, 2).try_cast("int")
+    y = F.substring(frag, 7, 2 if two_digit else 4).try_cast("int")
     if two_digit:
         y = _pivot_two_digit_year(y)
     out = valid_iso_date(y, m, d)
@@ -241,11 +241,12 @@ def _parse_numeric(frag: Column, pattern: str, two_digit: bool, slash_only: bool
     return out
 
 
-def _parse_text(frag: Column, pattern: str, month_first: bool, default_year: Column | None,
+def _parse_text(frag: Column, month_first: bool, default_year: Column | None,
                 year_group: bool = True) -> Column:
-    g1 = F.regexp_extract(frag, pattern, 1)
-    g2 = F.regexp_extract(frag, pattern, 2)
-    g3 = _to_int(F.regexp_extract(frag, pattern, 3)) if year_group else F.lit(None).cast("int")
+    # ``frag`` is a whole "Mon d[ yyyy]" / "d Mon[ yyyy]" match: split on whitespace.
+    parts = F.split(frag, rf"(?U){WS}+", -1)
+    g1, g2 = F.get(parts, 0), F.get(parts, 1)
+    g3 = _to_int(F.get(parts, 2)) if year_group else F.lit(None).cast("int")
     mon, day = (g1, g2) if month_first else (g2, g1)
     year = g3 if default_year is None else F.coalesce(g3, default_year)
     return valid_iso_date(year, month_number(mon), _to_int(day))
@@ -265,15 +266,19 @@ def clean_date(c, today: _dt.date | None = None, mode: str = "compat") -> Column
     today = today or _dt.date.today()
     cur_year = F.lit(today.year)
     s0 = py_strip(c)
+    f1 = F.regexp_extract(s0, _DMY4, 0)
+    f2 = F.regexp_extract(s0, _DMY2, 0)
+    f3 = F.regexp_extract(s0, _MDY, 0)
+    f4 = F.regexp_extract(s0, _DMY_TEXT, 0)
     if mode == "strict":
         return F.coalesce(
-            F.when(s0.rlike(_DMY4), _parse_numeric(F.regexp_extract(s0, _DMY4, 0), _DMY4, False, False)),
-            F.when(s0.rlike(_DMY2), _parse_numeric(F.regexp_extract(s0, _DMY2, 0), _DMY2, True, False)),
+            F.when(f1 != "", _parse_numeric(f1, False, False)),
+            F.when(f2 != "", _parse_numeric(f2, True, False)),
             # Patterns with an explicit year win over the year-less readings.
-            _parse_text(F.regexp_extract(s0, _MDY, 0), _MDY, True, None),
-            _parse_text(F.regexp_extract(s0, _DMY_TEXT, 0), _DMY_TEXT, False, None),
-            _parse_text(F.regexp_extract(s0, _MDY, 0), _MDY, True, cur_year),
-            _parse_text(F.regexp_extract(s0, _DMY_TEXT, 0), _DMY_TEXT, False, cur_year),
+            _parse_text(f3, True, None),
+            _parse_text(f4, False, None),
+            _parse_text(f3, True, cur_year),
+            _parse_text(f4, False, cur_year),
         )
     if mode != "compat":
         raise ValueError(f"unknown mode {mode!r}")
@@ -283,16 +288,12 @@ def clean_date(c, today: _dt.date | None = None, mode: str = "compat") -> Column
     #   dd?dd?dddd   -> its first 8 characters as dd/mm/yy
     #   d Mon[ yyyy] -> its leading "d Mon" with the current year
     # The other fragments (dd?dd?yy, "Mon d[ yyyy]") match nothing later.
-    f1 = F.regexp_extract(s0, _DMY4, 0)
-    f2 = F.regexp_extract(s0, _DMY2, 0)
-    f3 = F.regexp_extract(s0, _MDY, 0)
-    f4 = F.regexp_extract(s0, _DMY_TEXT, 0)
-    return (F.when(f1 != "", F.coalesce(_parse_numeric(f1, _DMY4, False, True),
-                                        _parse_numeric(F.substring(f1, 1, 8), _DMY2, True, True)))
-            .when(f2 != "", _parse_numeric(f2, _DMY2, True, True))
-            .when(f3 != "", _parse_text(f3, _MDY, True, None))
-            .when(f4 != "", F.coalesce(_parse_text(f4, _DMY_TEXT, False, None),
-                                       _parse_text(f4, _DM_TEXT, False, cur_year, year_group=False))))
+    return (F.when(f1 != "", F.coalesce(_parse_numeric(f1, False, True),
+                                        _parse_numeric(F.substring(f1, 1, 8), True, True)))
+            .when(f2 != "", _parse_numeric(f2, True, True))
+            .when(f3 != "", _parse_text(f3, True, None))
+            .when(f4 != "", F.coalesce(_parse_text(f4, False, None),
+                                       _parse_text(f4, False, cur_year, year_group=False))))
 
 
 # ---------------------------------------------------------------------------
