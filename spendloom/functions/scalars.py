@@ -49,9 +49,18 @@ def regex_escape(term: str) -> str:
     return re.sub(r"([\\.^$|?*+()\[\]{}])", r"\\\1", term)
 
 
+#: The characters Python's ``str.strip()`` removes (``str.isspace()``).
+PY_WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+                 + "".join(chr(c) for c in range(0x2000, 0x200B))
+                 + "\u2028\u2029\u202f\u205f\u3000")
+
+
 def py_strip(c) -> Column:
-    """Python ``str.strip()``: drop leading and trailing whitespace."""
-    return F.regexp_replace(_c(c), rf"(?U)^{WS}+|{WS}+$", "")
+    """Python ``str.strip()``: drop leading and trailing whitespace.
+
+    A character-set trim, not a regex: cheap and small in generated code.
+    """
+    return F.btrim(_c(c), F.lit(PY_WHITESPACE))
 
 
 def _months_lower() -> Column:
@@ -67,6 +76,11 @@ def month_number(token) -> Column:
 # A1 clean_amount (W)
 # ---------------------------------------------------------------------------
 
+#: What a cleaned amount must look like to parse: an optional sign (a second
+#: leading '-' is the rest's own sign), digits with at most one dot.
+AMOUNT_SHAPE = r"^-{0,2}([0-9]+[.]?[0-9]*|[.][0-9]+)$"
+
+
 def clean_amount(c) -> Column:
     """Text -> double. Keep digits, '.', '-'; a leading '-' negates the rest.
 
@@ -74,9 +88,12 @@ def clean_amount(c) -> Column:
     ``--5`` -> 5.0, ``-``/empty/``1.2.3``/``500-`` -> NULL. NULL -> NULL.
     """
     z = F.regexp_replace(_c(c).cast("string"), r"[^0-9.\-]", "")
-    rest = F.regexp_replace(z, r"^-", "")
-    return (F.when(z.startswith("-"), -rest.try_cast("double"))
-            .otherwise(z.try_cast("double")))
+    rest = F.substring(z, 2, 1 << 30)
+    # Only text that is a number gets cast: Spark's try_cast catches a parse
+    # exception per bad value, which is slow on dirty columns.
+    parsed = (F.when(z.startswith("-"), -rest.try_cast("double"))
+              .otherwise(z.try_cast("double")))
+    return F.when(z.rlike(AMOUNT_SHAPE), parsed)
 
 
 # ---------------------------------------------------------------------------
@@ -114,8 +131,9 @@ def format_description(c) -> Column:
     Blank second or last parts are left out; middle parts are dropped; text
     without '/' is returned stripped. ``/`` gives the empty string.
     """
-    s = py_strip(c)
-    parts = F.split(s, "/", -1)
+    # Everything is read from the split array, so the input expression is
+    # referenced once (no copies of an upstream cleaner in generated code).
+    parts = F.split(py_strip(c), "/", -1)
     first = py_strip(F.get(parts, 0))
     second = py_strip(F.get(parts, 1))
     last = py_strip(F.element_at(parts, -1))
@@ -124,7 +142,7 @@ def format_description(c) -> Column:
         F.when(second != "", F.concat(F.lit(" ("), second, F.lit(")"))).otherwise(F.lit("")),
         F.when((F.size(parts) > 2) & (last != ""), F.concat(F.lit(" - "), last)).otherwise(F.lit("")),
     )
-    return F.when(s.contains("/"), formatted).otherwise(s)
+    return F.when(F.size(parts) > 1, formatted).otherwise(F.get(parts, 0))
 
 
 def is_bank_transfer(c) -> Column:
@@ -155,8 +173,26 @@ def month_day(c) -> Column:
 
 
 def iso_date_text(year, month, day) -> Column:
-    """``yyyy-MM-dd`` text without validating the day (``2024-02-99`` stays)."""
-    return F.format_string("%04d-%02d-%02d", _c(year), _c(month), _c(day))
+    """``yyyy-MM-dd`` text without validating the day (``2024-02-99`` stays).
+
+    Built with ``lpad``/``concat`` (no ``java.util.Formatter`` per row).
+    """
+    def pad(c, n):
+        return F.lpad(_c(c).cast("string"), n, "0")
+    return F.concat(pad(year, 4), F.lit("-"), pad(month, 2), F.lit("-"), pad(day, 2))
+
+
+def valid_date(year, month, day) -> Column:
+    """The date, or NULL when (year, month, day) is not a real date in 1..9999.
+
+    Range guards keep almost every bad value away from the constructor (a
+    ``try_*`` function pays for a caught exception on each bad value), and
+    each component appears only twice in the expression, which keeps the
+    generated code small when the components are themselves expressions.
+    """
+    y, m, d = _c(year), _c(month), _c(day)
+    ok = y.between(1, 9999) & m.between(1, 12) & d.between(1, 31)
+    return F.when(ok, F.to_date(F.try_make_timestamp_ntz(y, m, d, F.lit(0), F.lit(0), F.lit(0))))
 
 
 # ---------------------------------------------------------------------------
@@ -212,11 +248,7 @@ _DMY_TEXT = rf"(?U)([0-9]{{1,2}}){WS}+([A-Za-z]{{3}})(?:{WS}+([0-9]{{4}}))?"
 
 def valid_iso_date(year, month, day) -> Column:
     """``yyyy-MM-dd`` when (year, month, day) is a real date in 1..9999."""
-    y, m, d = _c(year), _c(month), _c(day)
-    txt = iso_date_text(y, m, d)
-    ok = (y.between(1, 9999) & m.between(1, 12) & d.between(1, 31)
-          & F.try_to_date(txt, "yyyy-MM-dd").isNotNull())
-    return F.when(ok, txt)
+    return valid_date(year, month, day).cast("string")
 
 
 def _pivot_two_digit_year(yy: Column) -> Column:
@@ -229,27 +261,42 @@ def _to_int(s: Column) -> Column:
 
 
 def _parse_numeric(frag: Column, two_digit: bool, slash_only: bool) -> Column:
-    # ``frag`` is a whole ``dd?mm?yy[yy]`` match: fixed positions, no regex.
+    # ``frag`` is a whole ``dd?mm?yy[yy]`` match (or empty): fixed positions.
     d = F.substring(frag, 1, 2).try_cast("int")
     m = F.substring(frag, 4, 2).try_cast("int")
     y = F.substring(frag, 7, 2 if two_digit else 4).try_cast("int")
     if two_digit:
         y = _pivot_two_digit_year(y)
-    out = valid_iso_date(y, m, d)
+    ok = frag != ""
     if slash_only:
-        out = F.when(~frag.contains("-"), out)
-    return out
+        ok = ok & ~frag.contains("-")
+    return F.when(ok, valid_iso_date(y, m, d))
 
 
 def _parse_text(frag: Column, month_first: bool, default_year: Column | None,
                 year_group: bool = True) -> Column:
-    # ``frag`` is a whole "Mon d[ yyyy]" / "d Mon[ yyyy]" match: split on whitespace.
-    parts = F.split(frag, rf"(?U){WS}+", -1)
-    g1, g2 = F.get(parts, 0), F.get(parts, 1)
-    g3 = _to_int(F.get(parts, 2)) if year_group else F.lit(None).cast("int")
-    mon, day = (g1, g2) if month_first else (g2, g1)
-    year = g3 if default_year is None else F.coalesce(g3, default_year)
-    return valid_iso_date(year, month_number(mon), _to_int(day))
+    # ``frag`` is a whole "Mon d[ yyyy]" / "d Mon[ yyyy]" match (or empty).
+    # One cached regex folds its whitespace to single spaces, so the split is
+    # on a plain character (no pattern compiled per row); the parts are bound
+    # once and read by position.
+    def read(parts):
+        g1, g2 = F.get(parts, 0), F.get(parts, 1)
+        g3 = _to_int(F.get(parts, 2)) if year_group else F.lit(None).cast("int")
+        mon, day = (g1, g2) if month_first else (g2, g1)
+        year = g3 if default_year is None else F.coalesce(g3, default_year)
+        return valid_iso_date(year, month_number(mon), _to_int(day))
+    parts = F.split(F.regexp_replace(frag, rf"(?U){WS}+", " "), " ", -1)
+    return F.when(frag != "", bind(parts, read))
+
+
+def bind(value: Column, fn) -> Column:
+    """``fn(value)`` with ``value`` evaluated once.
+
+    Column expressions are trees: a value used in several places is copied
+    into each, and nested cleaners multiply the copies in generated code. A
+    one-element ``transform`` binds the value to a lambda variable instead.
+    """
+    return F.get(F.transform(F.array(value), fn), 0)
 
 
 def clean_date(c, today: _dt.date | None = None, mode: str = "compat") -> Column:
@@ -263,37 +310,45 @@ def clean_date(c, today: _dt.date | None = None, mode: str = "compat") -> Column
     and a missing year is the current one. ``today`` fixes "current" so runs
     are repeatable.
     """
+    if mode not in ("compat", "strict"):
+        raise ValueError(f"unknown mode {mode!r}")
     today = today or _dt.date.today()
     cur_year = F.lit(today.year)
+    c = _c(c)
     s0 = py_strip(c)
-    f1 = F.regexp_extract(s0, _DMY4, 0)
-    f2 = F.regexp_extract(s0, _DMY2, 0)
-    f3 = F.regexp_extract(s0, _MDY, 0)
-    f4 = F.regexp_extract(s0, _DMY_TEXT, 0)
+    frags = F.struct(F.regexp_extract(s0, _DMY4, 0).alias("f1"),
+                     F.regexp_extract(s0, _DMY2, 0).alias("f2"),
+                     F.regexp_extract(s0, _MDY, 0).alias("f3"),
+                     F.regexp_extract(s0, _DMY_TEXT, 0).alias("f4"))
+
     if mode == "strict":
-        return F.coalesce(
-            F.when(f1 != "", _parse_numeric(f1, False, False)),
-            F.when(f2 != "", _parse_numeric(f2, True, False)),
-            # Patterns with an explicit year win over the year-less readings.
-            _parse_text(f3, True, None),
-            _parse_text(f4, False, None),
-            _parse_text(f3, True, cur_year),
-            _parse_text(f4, False, cur_year),
-        )
-    if mode != "compat":
-        raise ValueError(f"unknown mode {mode!r}")
+        def pick(t):
+            f1, f2, f3, f4 = t["f1"], t["f2"], t["f3"], t["f4"]
+            return F.coalesce(
+                _parse_numeric(f1, False, False),
+                _parse_numeric(f2, True, False),
+                # Patterns with an explicit year win over the year-less readings.
+                _parse_text(f3, True, None),
+                _parse_text(f4, False, None),
+                _parse_text(f3, True, cur_year),
+                _parse_text(f4, False, cur_year),
+            )
+        return F.when(c.isNotNull(), bind(frags, pick))
 
     # Closed form of the cascade. Once a pattern matches, the working text is
     # that fragment, and a failed fragment can only feed one later pattern:
     #   dd?dd?dddd   -> its first 8 characters as dd/mm/yy
     #   d Mon[ yyyy] -> its leading "d Mon" with the current year
     # The other fragments (dd?dd?yy, "Mon d[ yyyy]") match nothing later.
-    return (F.when(f1 != "", F.coalesce(_parse_numeric(f1, False, True),
-                                        _parse_numeric(F.substring(f1, 1, 8), True, True)))
-            .when(f2 != "", _parse_numeric(f2, True, True))
-            .when(f3 != "", _parse_text(f3, True, None))
-            .when(f4 != "", F.coalesce(_parse_text(f4, False, None),
-                                       _parse_text(f4, False, cur_year, year_group=False))))
+    def cascade(t):
+        f1, f2, f3, f4 = t["f1"], t["f2"], t["f3"], t["f4"]
+        return (F.when(f1 != "", F.coalesce(_parse_numeric(f1, False, True),
+                                            _parse_numeric(F.substring(f1, 1, 8), True, True)))
+                .when(f2 != "", _parse_numeric(f2, True, True))
+                .when(f3 != "", _parse_text(f3, True, None))
+                .when(f4 != "", F.coalesce(_parse_text(f4, False, None),
+                                           _parse_text(f4, False, cur_year, year_group=False))))
+    return F.when(c.isNotNull(), bind(frags, cascade))
 
 
 # ---------------------------------------------------------------------------
@@ -303,7 +358,16 @@ def clean_date(c, today: _dt.date | None = None, mode: str = "compat") -> Column
 def parse_sheet_date(c) -> Column:
     """``d-M-yyyy`` or ``d-M-yy`` (two-digit years are 20yy) -> date."""
     c = _c(c)
-    return F.coalesce(F.try_to_date(c, "d-M-yyyy"), F.try_to_date(c, "d-M-yy"))
+    long_year = r"^([0-9]{1,2})-([0-9]{1,2})-([0-9]{4})$"
+    short_year = r"^([0-9]{1,2})-([0-9]{1,2})-([0-9]{2})$"
+
+    def parts(p, century):
+        d = F.regexp_extract(c, p, 1).try_cast("int")
+        m = F.regexp_extract(c, p, 2).try_cast("int")
+        y = F.regexp_extract(c, p, 3).try_cast("int") + F.lit(century)
+        return valid_date(y, m, d)
+    # Shape first, then arithmetic validation: no parser exception per row.
+    return F.when(c.rlike(long_year), parts(long_year, 0)).when(c.rlike(short_year), parts(short_year, 2000))
 
 
 # ---------------------------------------------------------------------------

@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from spendloom.functions.scalars import (clean_amount, clean_description,
                                          format_description, iso_date_text,
-                                         month_day, norm_headers, regex_escape)
+                                         month_day, norm_headers, regex_escape,
+                                         valid_date)
 from spendloom.operators.ordered import DEFAULT_CHUNK_ROWS, rollover_count
 from spendloom.schema import (BROAD_NOISE_TERMS, DEFAULT_START_YEAR,
                               LEDGER_COLUMNS, LEDGER_SCHEMA, NARROW_NOISE_TERMS,
@@ -145,15 +146,19 @@ def normalise_statements(raw_rows: DataFrame, start_year: int = DEFAULT_START_YE
     has_txn, is_noise = transaction_predicates(
         F.col("cell_date_desc"), F.col("cell_deposit"), F.col("cell_withdrawal"),
         F.col("cell_balance"), F.col("has_deposit"), F.col("has_withdrawal"), extra)
+    # The description cleaner is its own projection, so the formatter below
+    # reads a column instead of copying the regex chain into each branch.
     ledger = (years.where(has_txn & ~is_noise)
+              .withColumn("__desc", clean_description(F.col("cell_date_desc"), extra))
               .select("statement_id", "table_idx", "row_idx", "value_date",
-                      F.try_to_date(F.col("value_date"), "yyyy-MM-dd").alias("value_date_valid"),
-                      format_description(clean_description(F.col("cell_date_desc"), extra)).alias("description"),
+                      valid_date(F.col("year"), F.col("month"), F.col("day")).alias("value_date_valid"),
+                      format_description(F.col("__desc")).alias("description"),
                       clean_amount(F.col("cell_deposit")).alias("deposit"),
                       clean_amount(F.col("cell_withdrawal")).alias("withdrawal"),
-                      clean_amount(F.col("cell_balance")).alias("balance"))
-              # P5: rows with every ledger column NULL go (never fires: the date is set).
-              .na.drop(how="all", subset=LEDGER_COLUMNS))
+                      clean_amount(F.col("cell_balance")).alias("balance")))
+    # P5 (drop all-NULL rows) cannot fire here: every kept row has its own
+    # value_date. Applying it anyway would make Catalyst push the check below
+    # the projection and copy the description chain into the filter.
     return sort_ledger(ledger) if sort else ledger
 
 
@@ -163,6 +168,11 @@ def sort_ledger(ledger: DataFrame) -> DataFrame:
     return ledger.orderBy(*keys)
 
 
+def drop_empty_rows(df: DataFrame) -> DataFrame:
+    """P5: drop rows whose canonical ledger columns are all NULL."""
+    return df.na.drop(how="all", subset=[c for c in LEDGER_COLUMNS if c in df.columns])
+
+
 def to_ledger(df: DataFrame) -> DataFrame:
     """The five canonical columns in fixed order; absent ones as NULL."""
     cols = []
