@@ -8,8 +8,8 @@ original tool defines but never calls, D = implied by the shipped data only.
 Regex dialect notes
 -------------------
 * Whitespace follows Python's ``str.strip``/``\\s``: Unicode White_Space plus
-  the four ASCII information separators (U+001C..U+001F). Java needs the
-  ``(?U)`` flag for that; Spark's ``trim`` only strips spaces.
+  the four ASCII information separators (U+001C..U+001F), spelled out as a
+  character class (``WS``); Spark's ``trim`` only strips spaces.
 * Digits are ASCII ``[0-9]``. Python would also accept other Unicode decimal
   digits; that is a documented divergence.
 """
@@ -31,8 +31,10 @@ from spendloom.schema import (AMOUNT_TOKEN_PATTERNS, DEPOSIT_KEYWORDS,
 
 ColumnOrName = "Column | str"
 
-#: One whitespace character as Python counts it.
-WS = r"[\s\x{1c}-\x{1f}]"
+#: One whitespace character as Python counts it (``str.isspace``), spelled
+#: out so Java needs no Unicode-property lookups ((?U) is much slower).
+WS = (r"[\t\n\x{0b}\x{0c}\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+      r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
 
 
 def _c(c) -> Column:
@@ -116,8 +118,10 @@ def clean_description(c, extra_noise_terms: Iterable[str] = ()) -> Column:
     """
     s = py_strip(c)
     for p in description_patterns(extra_noise_terms):
-        s = F.regexp_replace(s, "(?isU)" + p, "")
-    s = py_strip(F.regexp_replace(s, rf"(?U){WS}+", " "))
+        # Python's \d is any Unicode decimal digit (\p{Nd}); (?u) gives
+        # Unicode case folding like Python's IGNORECASE on text.
+        s = F.regexp_replace(s, "(?isu)" + p.replace(r"\d", r"\p{Nd}"), "")
+    s = py_strip(F.regexp_replace(s, rf"{WS}+", " "))
     return F.nullif(s, F.lit(""))
 
 
@@ -147,7 +151,7 @@ def format_description(c) -> Column:
 
 def is_bank_transfer(c) -> Column:
     """RTGS/NEFT credit or debit wording (detected only; text is unchanged)."""
-    return _c(c).rlike(rf"(?iU)(RTGS|NEFT){WS}+(CRED|DEB)")
+    return _c(c).rlike(rf"(?i)(RTGS|NEFT){WS}+(CRED|DEB)")
 
 
 # ---------------------------------------------------------------------------
@@ -155,7 +159,7 @@ def is_bank_transfer(c) -> Column:
 # ---------------------------------------------------------------------------
 
 #: First "three letters, whitespace, one or two digits" token.
-MONTH_DAY_PATTERN = rf"(?U)([A-Za-z]{{3}}){WS}+([0-9]{{1,2}})"
+MONTH_DAY_PATTERN = rf"([A-Za-z]{{3}}){WS}+([0-9]{{1,2}})"
 
 
 def month_day(c) -> Column:
@@ -242,8 +246,8 @@ def extract_deposit_amount(row_text, cell, balance) -> Column:
 
 _DMY4 = r"([0-9]{2})[/-]([0-9]{2})[/-]([0-9]{4})"
 _DMY2 = r"([0-9]{2})[/-]([0-9]{2})[/-]([0-9]{2})"
-_MDY = rf"(?U)([A-Za-z]{{3}}){WS}+([0-9]{{1,2}})(?:{WS}+([0-9]{{4}}))?"
-_DMY_TEXT = rf"(?U)([0-9]{{1,2}}){WS}+([A-Za-z]{{3}})(?:{WS}+([0-9]{{4}}))?"
+_MDY = rf"([A-Za-z]{{3}}){WS}+([0-9]{{1,2}})(?:{WS}+([0-9]{{4}}))?"
+_DMY_TEXT = rf"([0-9]{{1,2}}){WS}+([A-Za-z]{{3}})(?:{WS}+([0-9]{{4}}))?"
 
 
 def valid_iso_date(year, month, day) -> Column:
@@ -285,7 +289,7 @@ def _parse_text(frag: Column, month_first: bool, default_year: Column | None,
         mon, day = (g1, g2) if month_first else (g2, g1)
         year = g3 if default_year is None else F.coalesce(g3, default_year)
         return valid_iso_date(year, month_number(mon), _to_int(day))
-    parts = F.split(F.regexp_replace(frag, rf"(?U){WS}+", " "), " ", -1)
+    parts = F.split(F.regexp_replace(frag, rf"{WS}+", " "), " ", -1)
     return F.when(frag != "", bind(parts, read))
 
 

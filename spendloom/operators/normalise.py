@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from spendloom.functions.scalars import (clean_amount, clean_description,
                                          format_description, iso_date_text,
-                                         month_day, norm_headers, regex_escape,
+                                         month_day, regex_escape,
                                          valid_date)
 from spendloom.operators.ordered import DEFAULT_CHUNK_ROWS, rollover_count
 from spendloom.schema import (BROAD_NOISE_TERMS, DEFAULT_START_YEAR,
@@ -39,10 +39,28 @@ def _any(preds) -> Column:
     return reduce(lambda a, b: a | b, preds) if preds else F.lit(False)
 
 
-def role_position(headers: Column, aliases: Sequence[str]) -> Column:
-    """1-based position of the first header holding any alias; 0 if none."""
-    hit = F.transform(headers, lambda h: _any(h.contains(a) for a in aliases))
-    return F.array_position(hit, True).cast("int")
+#: Joins the headers of a row into one string; never inside a caption.
+HEADER_SEP = "\u0001"
+
+
+def joined_headers(headers: Column) -> Column:
+    """Lower-cased headers in one ``HEADER_SEP``-separated string (NULL -> 'nan')."""
+    return F.lower(F.array_join(headers, HEADER_SEP, "nan"))
+
+
+def role_position(joined: Column, aliases: Sequence[str]) -> Column:
+    """1-based position of the first header holding any alias; 0 if none.
+
+    Works on ``joined_headers``: the earliest alias hit in the joined string
+    lies in the left-most header holding one (aliases never contain the
+    separator), and the separators before it give the position. Stripping
+    the captions first (P1) cannot change a substring test, because no alias
+    starts or ends with whitespace. Plain regexes, so it stays in codegen.
+    """
+    alt = "(?:" + "|".join(regex_escape(a) for a in aliases) + ")"
+    prefix = F.regexp_extract(joined, f"(?s)^(.*?){alt}", 1)
+    seps = F.length(prefix) - F.length(F.replace(prefix, F.lit(HEADER_SEP), F.lit("")))
+    return F.when(joined.rlike(alt), seps + 1).otherwise(F.lit(0)).cast("int")
 
 
 def map_roles(raw_rows: DataFrame, aliases: dict[str, list[str]] | None = None) -> DataFrame:
@@ -54,14 +72,12 @@ def map_roles(raw_rows: DataFrame, aliases: dict[str, list[str]] | None = None)
     balance column (P3).
     """
     aliases = aliases or ROLE_ALIASES
-    hdrs = norm_headers("headers")
-    df = raw_rows
-    for role, opts in aliases.items():
-        df = df.withColumn(f"pos_{role}", role_position(hdrs, opts))
-    for role in aliases:
-        pos = F.col(f"pos_{role}")
-        df = df.withColumn(f"cell_{role}", F.when(pos > 0, F.get(F.col("cells"), pos - 1)))
-    return df.withColumn("usable", (F.col("pos_date_desc") > 0) & (F.col("pos_balance") > 0))
+    df = raw_rows.withColumn("__hdr", joined_headers(F.col("headers")))
+    df = df.select("*", *[role_position(F.col("__hdr"), opts).alias(f"pos_{role}")
+                          for role, opts in aliases.items()])
+    df = df.select("*", *[F.when(F.col(f"pos_{role}") > 0, F.get(F.col("cells"), F.col(f"pos_{role}") - 1))
+                          .alias(f"cell_{role}") for role in aliases])
+    return df.withColumn("usable", (F.col("pos_date_desc") > 0) & (F.col("pos_balance") > 0)).drop("__hdr")
 
 
 def noise_regex(terms: Iterable[str], extra_terms: Iterable[str] = ()) -> str:

@@ -78,11 +78,14 @@ def orders_raw_rows(orders: DataFrame) -> DataFrame:
         .when(variant == 1, F.array(*map(F.lit, ["Date", "Debit", "Credit", "Closing Balance"])))
         .when(variant == 2, F.array(*map(F.lit, ["Txn Date", "Description", "Amount"])))
         .otherwise(F.array(*map(F.lit, ["Name", "Value"]))))
-    cells = (
-        F.when(variant == 0, F.array(date_desc, deposit, withdrawal, balance))
-        .when(variant == 1, F.array(date_desc, withdrawal, deposit, balance))
-        .when(variant == 2, F.array(date_desc, F.lit("x"), money_text(price)))
-        .otherwise(F.array(F.concat(F.lit("cust "), F.col("o_custkey").cast("string")), money_text(price))))
+    # One CASE per cell position, so the date text is built once per row.
+    name = F.concat(F.lit("cust "), F.col("o_custkey").cast("string"))
+    c1 = F.when(variant == 3, name).otherwise(date_desc)
+    c2 = (F.when(variant == 0, deposit).when(variant == 1, withdrawal)
+          .when(variant == 2, F.lit("x")).otherwise(money_text(price)))
+    c3 = F.when(variant == 0, withdrawal).when(variant == 1, deposit).otherwise(money_text(price))
+    width = F.when(variant <= 1, 4).when(variant == 2, 3).otherwise(2)
+    cells = F.slice(F.array(c1, c2, c3, balance), F.lit(1), width)
     return o.select(
         F.concat(F.lit("stmt-"), F.col("o_custkey").cast("string")).alias("statement_id"),
         table_idx.alias("table_idx"),

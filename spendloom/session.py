@@ -14,6 +14,10 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # HotSpot does not JIT methods above 8000 bytes of bytecode. The cleaners
+    # fuse into long string pipelines; with this limit Spark runs such a stage
+    # with per-operator (split, JIT-able) code instead of one huge method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -141,7 +141,7 @@ def statement_meta(spark: SparkSession, path: str) -> DataFrame:
     loc = _located(statement_lines(spark, path))
     pre = loc.where(F.col("k") < F.col("hk"))
     parts = F.split(F.col("line"), "\t", 2)
-    key = F.lower(py_strip(F.regexp_replace(F.get(parts, 0), rf"(?U):{WS}*$", "")))
+    key = F.lower(py_strip(F.regexp_replace(F.get(parts, 0), rf":{WS}*$", "")))
     val = py_strip(F.get(parts, 1))
     kv = pre.select("statement_id", key.alias("key"), val.alias("val"))
     aggs = [F.max(F.when(F.col("key") == k, F.try_to_date(F.col("val"), STATEMENT_DATE_FORMAT)))
