@@ -117,9 +117,11 @@ def fill_forward(df: DataFrame, column: str, out: str, part=None, order=(),
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = df.withColumn("__local", F.last(column, ignorenulls=True).over(w_local))
 
-    lasts = (df.where(F.col(column).isNotNull())
-             .groupBy(*part, *ck)
-             .agg(F.max_by(F.col(column), _order_struct(order)).alias("__last")))
+    # Every chunk gets a summary row (NULL when it holds no value), so chunks
+    # of only NULLs still receive the carry; max_by skips NULL orderings.
+    nonnull_order = F.when(F.col(column).isNotNull(), _order_struct(order))
+    lasts = (df.groupBy(*part, *ck)
+             .agg(F.max_by(F.col(column), nonnull_order).alias("__last")))
     w_carry = (Window.partitionBy(*part).orderBy(*ck)
                .rowsBetween(Window.unboundedPreceding, -1))
     carry = lasts.select(*part, *ck, F.last("__last", ignorenulls=True).over(w_carry).alias("__carry"))

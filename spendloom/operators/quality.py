@@ -22,10 +22,12 @@ def extraction_stats(raw_rows: DataFrame, ledger: DataFrame,
     Two-step aggregation (per table, then per statement) so a statement with
     many tables is combined map-side.
     """
-    per_table = (map_roles(raw_rows)
-                 .groupBy("statement_id", "table_idx")
-                 .agg(F.max(F.col("usable").cast("int")).alias("usable"),
-                      F.count(F.lit(1)).alias("rows")))
+    # Headers belong to the table, so the role test runs once per table.
+    tables = (raw_rows.groupBy("statement_id", "table_idx")
+              .agg(F.min_by("headers", "row_idx").alias("headers"),
+                   F.count(F.lit(1)).alias("rows")))
+    per_table = (map_roles(tables.withColumn("cells", F.array().cast("array<string>")))
+                 .select("statement_id", "table_idx", F.col("usable").cast("int").alias("usable"), "rows"))
     per_stmt = (per_table.groupBy("statement_id")
                 .agg(F.count(F.lit(1)).alias("tables_found"),
                      F.sum("usable").cast("long").alias("usable_tables"),
