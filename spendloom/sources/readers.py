@@ -141,13 +141,13 @@ def statement_meta(spark: SparkSession, path: str) -> DataFrame:
     loc = _located(statement_lines(spark, path))
     pre = loc.where(F.col("k") < F.col("hk"))
     parts = F.split(F.col("line"), "\t", 2)
-    key = F.lower(py_strip(F.regexp_replace(F.get(parts, 0), rf":{WS}*$", "")))
+    raw_key = py_strip(F.regexp_replace(F.get(parts, 0), rf":{WS}*$", ""))
     val = py_strip(F.get(parts, 1))
-    kv = pre.select("statement_id", key.alias("key"), val.alias("val"))
+    kv = pre.select("statement_id", F.lower(raw_key).alias("key"), raw_key.alias("raw_key"), val.alias("val"))
     aggs = [F.max(F.when(F.col("key") == k, F.try_to_date(F.col("val"), STATEMENT_DATE_FORMAT)))
             .alias(name) for k, name in STATEMENT_META_KEYS.items()]
     is_open = F.col("key").startswith(OPENING_BALANCE_PREFIX)
-    open_date = py_strip(F.substring(F.col("key"), len(OPENING_BALANCE_PREFIX) + 1, 64))
+    open_date = py_strip(F.substring(F.col("raw_key"), len(OPENING_BALANCE_PREFIX) + 1, 64))
     aggs.append(F.max(F.when(is_open, clean_amount(F.col("val")))).alias("opening_balance"))
     aggs.append(F.max(F.when(is_open, F.try_to_date(open_date, STATEMENT_DATE_FORMAT)))
                 .alias("opening_balance_date"))
@@ -166,21 +166,25 @@ def read_statement_csv(spark: SparkSession, path: str) -> DataFrame:
     ref_no, debit, credit, balance.
     """
     raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    trimmed = {c.strip().lstrip("﻿").strip(): c for c in raw.columns}
-    df = _with_order(raw)
+    # Captions are padded and may hold dots; rename to canonical names first.
+    canon = {caption: name for name, caption in STATEMENT_TEXT_COLUMNS.items()}
+    names = []
+    for i, c in enumerate(raw.columns):
+        caption = c.lstrip("\ufeff").strip()
+        names.append(canon.get(caption, f"_c{i}"))
+    df = _with_order(raw.toDF(*names))
 
-    def field(caption: str) -> Column:
-        src = trimmed.get(caption)
-        return py_strip(F.col(f"`{src}`")) if src is not None else F.lit(None).cast("string")
+    def field(name: str) -> Column:
+        return py_strip(F.col(name)) if name in names else F.lit(None).cast("string")
 
     return df.select(
         F.col("source_file").alias("statement_id"), "src_block", "src_pos",
-        F.try_to_date(field("Value Date"), STATEMENT_CSV_DATE_FORMAT).alias("value_date"),
-        field("Description").alias("description"),
-        field("Ref No./Cheque No.").alias("ref_no"),
-        clean_amount(field("Debit")).alias("debit"),
-        clean_amount(field("Credit")).alias("credit"),
-        clean_amount(field("Balance")).alias("balance"),
+        F.try_to_date(field("value_date"), STATEMENT_CSV_DATE_FORMAT).alias("value_date"),
+        field("description").alias("description"),
+        field("ref_no").alias("ref_no"),
+        clean_amount(field("debit")).alias("debit"),
+        clean_amount(field("credit")).alias("credit"),
+        clean_amount(field("balance")).alias("balance"),
     )
 
 
