@@ -1,0 +1,13 @@
+"""Incremental normalisation of extracted tables as they land.
+
+The original tool processes one statement per run, as its file arrives. The
+streaming form is the same job on Structured Streaming: new ``raw_rows``
+files are picked up by a file source, and every micro-batch is normalised by
+the batch operator. Year inference never crosses statements, so a batch is
+exact as long as each statement lands whole in one file (what an extractor
+writing one file per statement does).
+"""
+
+from spendloom.streaming.landed import normalise_landed_tables
+
+__all__ = ["normalise_landed_tables"]

@@ -1,0 +1,38 @@
+"""File-source stream of landed ``raw_rows`` -> ledger batches."""
+
+from __future__ import annotations
+
+from typing import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from spendloom.operators.normalise import normalise_statements
+from spendloom.schema import DEFAULT_START_YEAR, RAW_ROWS_SCHEMA
+
+
+def normalise_landed_tables(spark: SparkSession, source: str, sink: str, checkpoint: str,
+                            fmt: str = "parquet", max_files_per_trigger: int | None = None,
+                            available_now: bool = True, start_year: int = DEFAULT_START_YEAR,
+                            extra_noise_terms: Iterable[str] = ()) -> StreamingQuery:
+    """Start a stream that normalises every newly landed statement file.
+
+    Each micro-batch is written to ``<sink>/batch_id=<id>`` with overwrite,
+    so a replayed batch (after a failure) replaces its own output instead of
+    duplicating it; the checkpoint records which files were consumed.
+    ``available_now`` processes what is there and stops (scheduled runs);
+    set it to False for a continuously running query.
+    """
+    reader = spark.readStream.schema(RAW_ROWS_SCHEMA).format(fmt)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.load(source)
+    extra = list(extra_noise_terms)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        ledger = normalise_statements(batch, start_year=start_year, extra_noise_terms=extra, sort=False)
+        ledger.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id={batch_id}")
+
+    writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
