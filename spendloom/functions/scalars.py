@@ -374,6 +374,17 @@ def parse_sheet_date(c) -> Column:
     return F.when(c.rlike(long_year), parts(long_year, 0)).when(c.rlike(short_year), parts(short_year, 2000))
 
 
+def parse_day_month_yy(c) -> Column:
+    """``dd-MMM-yy`` (statement CSV dates) -> date, two-digit years pivoted at
+    69 like Python's ``%y`` (69-99 -> 19xx, 00-68 -> 20xx)."""
+    c = _c(c)
+    pattern = r"^([0-9]{1,2})-([A-Za-z]{3})-([0-9]{2})$"
+    d = F.regexp_extract(c, pattern, 1).try_cast("int")
+    m = month_number(F.regexp_extract(c, pattern, 2))
+    y = _pivot_two_digit_year(F.regexp_extract(c, pattern, 3).try_cast("int"))
+    return F.when(c.rlike(pattern), valid_date(y, m, d))
+
+
 # ---------------------------------------------------------------------------
 # P1 header normalisation (W)
 # ---------------------------------------------------------------------------

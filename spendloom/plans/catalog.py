@@ -10,6 +10,7 @@ Column names and types match between the two sides.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,9 @@ from spendloom.operators.ordered import running_sum
 from spendloom.operators.quality import extraction_stats, header_inventory, reconcile
 from spendloom.operators.spend import cumulative, fill_forward, spend_by, spend_by_period
 from spendloom.plans import derive as D
-from spendloom.sources.readers import consolidate
+from spendloom.session import scratch_table_path
+from spendloom.sources.readers import (consolidate, read_statement_csv,
+                                       read_statement_text, statement_meta)
 
 #: "Today" for the date cleaners, fixed so results are repeatable.
 TODAY = _dt.date(2026, 6, 1)
@@ -198,6 +201,36 @@ def q_consolidate(spark, sf):
                                        "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
 
 
+def _statement_files(spark, sf, kind: str) -> str:
+    """Write the derived statement files to a fresh folder under the shared
+    checkpoint location and return the glob of the files."""
+    mv = D.orders_statement_movements(_orders(spark, sf), running_sum)
+    lines = D.statement_text_lines(mv) if kind == "text" else D.statement_csv_lines(mv)
+    path = scratch_table_path(spark, f"statements-{kind}-{uuid.uuid4().hex}")
+    D.write_statement_files(lines, path)
+    return f"{path}/stmt=*/*.txt"
+
+
+def _stmt_no(c="statement_id"):
+    return F.regexp_extract(F.col(c), r"stmt=([0-9]+)", 1).cast("long").alias("stmt")
+
+
+def q_statement_text(spark, sf):
+    rows = read_statement_text(spark, _statement_files(spark, sf, "text"))
+    return rows.select(_stmt_no(), "txn_date", "value_date", "description", "ref_no",
+                       "debit", "credit", "balance")
+
+
+def q_statement_meta(spark, sf):
+    meta = statement_meta(spark, _statement_files(spark, sf, "text"))
+    return meta.select(_stmt_no(), "period_start", "period_end", "opening_balance", "opening_balance_date")
+
+
+def q_statement_csv(spark, sf):
+    rows = read_statement_csv(spark, _statement_files(spark, sf, "csv"))
+    return rows.select(_stmt_no(), "value_date", "description", "ref_no", "debit", "credit", "balance")
+
+
 QUERIES: dict[str, Query] = {
     "spend_by_category": q_spend_by_category,
     "spend_by_month": q_spend_by_month,
@@ -222,6 +255,9 @@ QUERIES: dict[str, Query] = {
     "reconcile_balance": q_reconcile_balance,
     "parse_sheet_date": q_parse_sheet_date,
     "consolidate": q_consolidate,
+    "statement_text": q_statement_text,
+    "statement_meta": q_statement_meta,
+    "statement_csv": q_statement_csv,
 }
 
 
@@ -537,6 +573,35 @@ FROM orders WHERE year(o_orderdate) > 1996 AND year(o_orderdate) <= 1998
 UNION ALL
 SELECT CAST(2 AS BIGINT), o_orderkey, o_custkey, o_totalprice, o_orderpriority
 FROM orders WHERE year(o_orderdate) > 1998"""
+    stmt_rows = f"""
+WITH mv AS (
+  SELECT CAST(o_custkey % {D.STATEMENT_FILES} AS BIGINT) AS stmt, o_orderkey, o_orderdate, o_orderpriority,
+         o_orderstatus,
+         CASE WHEN o_orderstatus = 'F' THEN CAST(o_totalprice AS DECIMAL(12,2)) END AS debit,
+         CASE WHEN o_orderstatus = 'O' THEN CAST(o_totalprice AS DECIMAL(12,2)) END AS credit
+  FROM orders),
+bal AS (
+  SELECT *, {D.OPENING_BALANCE} + SUM(COALESCE(credit, 0) - COALESCE(debit, 0)) OVER (
+              PARTITION BY stmt ORDER BY o_orderdate, o_orderkey
+              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS balance
+  FROM mv)"""
+    cols = """o_orderpriority || '/' || o_orderstatus || '/' || CAST(o_orderkey AS VARCHAR) AS description,
+       'REF ' || CAST(o_orderkey AS VARCHAR) AS ref_no,
+       CAST(debit AS DOUBLE) AS debit, CAST(credit AS DOUBLE) AS credit, CAST(balance AS DOUBLE) AS balance"""
+    sql["statement_text"] = stmt_rows + f"""
+SELECT stmt, CAST(o_orderdate AS DATE) AS txn_date, CAST(o_orderdate AS DATE) AS value_date,
+       {cols}
+FROM bal"""
+    sql["statement_csv"] = stmt_rows + f"""
+SELECT stmt, CAST(o_orderdate AS DATE) AS value_date,
+       {cols}
+FROM bal"""
+    sql["statement_meta"] = f"""
+SELECT CAST(o_custkey % {D.STATEMENT_FILES} AS BIGINT) AS stmt,
+       CAST(MIN(o_orderdate) AS DATE) AS period_start, CAST(MAX(o_orderdate) AS DATE) AS period_end,
+       CAST({D.OPENING_BALANCE} AS DOUBLE) AS opening_balance,
+       CAST(MIN(o_orderdate) AS DATE) AS opening_balance_date
+FROM orders GROUP BY 1"""
     return {k: v.strip() for k, v in sql.items()}
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendloom.functions.scalars import WS, clean_amount, py_strip
+from spendloom.functions.scalars import WS, clean_amount, parse_day_month_yy, py_strip
 from spendloom.schema import (OPENING_BALANCE_PREFIX, RAW_ROWS_SCHEMA,
                               SHEET_SCHEMA, STATEMENT_META_KEYS)
 
@@ -70,7 +70,6 @@ STATEMENT_TEXT_COLUMNS = {
     "balance": "Balance",
 }
 STATEMENT_DATE_FORMAT = "d MMM yyyy"
-STATEMENT_CSV_DATE_FORMAT = "dd-MMM-yy"
 
 
 def statement_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -161,6 +160,7 @@ def statement_meta(spark: SparkSession, path: str) -> DataFrame:
 def read_statement_csv(spark: SparkSession, path: str) -> DataFrame:
     """Consolidated statement CSV (BOM, padded captions, ``' '`` blanks,
     quoted grouped amounts, ``dd-MMM-yy`` dates) -> typed statement rows.
+    Two-digit years pivot at 69 as in Python (Spark's ``yy`` always means 20yy).
 
     Columns: statement_id, src_block, src_pos, value_date, description,
     ref_no, debit, credit, balance.
@@ -179,7 +179,7 @@ def read_statement_csv(spark: SparkSession, path: str) -> DataFrame:
 
     return df.select(
         F.col("source_file").alias("statement_id"), "src_block", "src_pos",
-        F.try_to_date(field("value_date"), STATEMENT_CSV_DATE_FORMAT).alias("value_date"),
+        parse_day_month_yy(field("value_date")).alias("value_date"),
         field("description").alias("description"),
         field("ref_no").alias("ref_no"),
         clean_amount(field("debit")).alias("debit"),
