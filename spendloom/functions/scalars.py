@@ -116,11 +116,23 @@ def clean_description(c, extra_noise_terms: Iterable[str] = ()) -> Column:
     matching newlines; the header caption's three spaces are matched before
     whitespace is collapsed.
     """
-    s = py_strip(c)
-    for p in description_patterns(extra_noise_terms):
+    def java(p):
         # Python's \d is any Unicode decimal digit (\p{Nd}); (?u) gives
         # Unicode case folding like Python's IGNORECASE on text.
-        s = F.regexp_replace(s, "(?isu)" + p.replace(r"\d", r"\p{Nd}"), "")
+        return "(?isu)" + p.replace(r"\d", r"\p{Nd}")
+
+    pats = description_patterns(extra_noise_terms)
+    marker_pats = [p for p in pats if p.endswith(PHONE_MARKER)]
+    s = py_strip(c)
+    # Every span pattern ends at the phone marker: without a marker in the
+    # text none of them can match, so one scan decides whether to run them.
+    spans = s
+    for p in marker_pats:
+        spans = F.regexp_replace(spans, java(p), "")
+    s = F.when(s.rlike(java(PHONE_MARKER)), spans).otherwise(s)
+    for p in pats:
+        if p not in marker_pats:
+            s = F.regexp_replace(s, java(p), "")
     s = py_strip(F.regexp_replace(s, rf"{WS}+", " "))
     return F.nullif(s, F.lit(""))
 
@@ -219,12 +231,14 @@ def _extract_amount(row_text, cell, balance, keywords) -> Column:
     row_text, cell = _c(row_text), _c(cell)
     bal = clean_amount(balance)
     val = clean_amount(cell)
-
-    def differs(x):
-        return (x > 0) & (bal.isNull() | (x != bal))
-
-    from_cell = F.when(cell.isNotNull() & differs(val), val)
-    cands = F.filter(F.transform(amount_tokens(row_text), clean_amount), differs)
+    from_cell = F.when(cell.isNotNull() & (val > 0) & (bal.isNull() | (val != bal)), val)
+    # Tokens hold only digits, commas and dots, so cleaning one is dropping
+    # its commas: done on the joined list and cast as an array (no per-token
+    # lambda). Amounts are never negative, so removing the balance and the
+    # zeros leaves the candidates in order; the first one wins.
+    joined = F.array_join(amount_tokens(row_text), "|")
+    amounts = F.split(F.replace(joined, F.lit(","), F.lit("")), r"\|", -1).try_cast("array<double>")
+    cands = F.array_remove(F.array_remove(amounts, F.coalesce(bal, F.lit(-1.0))), F.lit(0.0))
     from_text = F.when(has_keyword(row_text, keywords), F.get(cands, 0))
     return F.coalesce(from_cell, from_text)
 
