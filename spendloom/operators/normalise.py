@@ -26,6 +26,7 @@ from spendloom.functions.scalars import (clean_amount, clean_description,
                                          format_description, iso_date_text,
                                          month_day, regex_escape,
                                          valid_date)
+from spendloom.operators.bind import bind
 from spendloom.operators.ordered import DEFAULT_CHUNK_ROWS, rollover_count
 from spendloom.schema import (BROAD_NOISE_TERMS, DEFAULT_START_YEAR,
                               LEDGER_COLUMNS, LEDGER_SCHEMA, NARROW_NOISE_TERMS,
@@ -72,12 +73,14 @@ def map_roles(raw_rows: DataFrame, aliases: dict[str, list[str]] | None = None)
     balance column (P3).
     """
     aliases = aliases or ROLE_ALIASES
-    df = raw_rows.withColumn("__hdr", joined_headers(F.col("headers")))
-    df = df.select("*", *[role_position(F.col("__hdr"), opts).alias(f"pos_{role}")
+    hdr = joined_headers(F.col("headers"))
+    # Positions are bound: the cells, ``usable`` and every later filter read
+    # them, and an inlined position would repeat the header regexes each time.
+    df = bind(raw_rows, *[role_position(hdr, opts).alias(f"pos_{role}")
                           for role, opts in aliases.items()])
     df = df.select("*", *[F.when(F.col(f"pos_{role}") > 0, F.get(F.col("cells"), F.col(f"pos_{role}") - 1))
                           .alias(f"cell_{role}") for role in aliases])
-    return df.withColumn("usable", (F.col("pos_date_desc") > 0) & (F.col("pos_balance") > 0)).drop("__hdr")
+    return df.withColumn("usable", (F.col("pos_date_desc") > 0) & (F.col("pos_balance") > 0))
 
 
 def noise_regex(terms: Iterable[str], extra_terms: Iterable[str] = ()) -> str:
@@ -112,11 +115,10 @@ def dated_rows(raw_rows: DataFrame, aliases: dict[str, list[str]] | None = None)
     Columns: statement_id, table_idx, row_idx, month, day, md (month*100+day)
     and the four role cells plus the role-present flags.
     """
-    roles = map_roles(raw_rows, aliases)
+    roles = map_roles(raw_rows, aliases).where(F.col("usable"))
     # A missing date/description cell reads as the text "nan", which has no date.
     md = month_day(F.coalesce(F.col("cell_date_desc"), F.lit("nan")))
-    return (roles.where(F.col("usable"))
-            .withColumn("__md", md)
+    return (bind(roles, md.alias("__md"))
             .where(F.col("__md.month").isNotNull())
             .select("statement_id", "table_idx", "row_idx",
                     F.col("__md.month").alias("month"), F.col("__md.day").alias("day"),

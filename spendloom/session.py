@@ -63,3 +63,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_table_path(spark: SparkSession, name: str) -> str:
     """A table location under the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def spread(df):
+    """Give an under-split input at least the session's parallelism.
+
+    A small file stored as one Parquet row group is read by one task, so all
+    per-row work after the scan (regex cleaning, role mapping) would run on
+    one core. When the scan yields fewer partitions than
+    ``defaultParallelism`` the rows are spread round-robin over that many;
+    filters and column pruning still reach the scan below the repartition.
+    Inputs that already have enough splits (any large table) are returned
+    unchanged, so no shuffle is added at scale.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
