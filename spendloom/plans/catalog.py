@@ -23,7 +23,7 @@ from spendloom.operators.quality import extraction_stats, header_inventory, reco
 from spendloom.operators.spend import cumulative, fill_forward, spend_by, spend_by_period
 from spendloom.plans import derive as D
 from spendloom.session import scratch_table_path
-from spendloom.sources.readers import (consolidate, read_statement_csv,
+from spendloom.sources.readers import (consolidate, read_sheet, read_statement_csv,
                                        read_statement_text, statement_meta)
 
 #: "Today" for the date cleaners, fixed so results are repeatable.
@@ -231,6 +231,28 @@ def q_statement_csv(spark, sf):
     return rows.select(_stmt_no(), "value_date", "description", "ref_no", "debit", "credit", "balance")
 
 
+def _filled_sheets(spark, sf):
+    """S1 + A11 + L2: sheets written from orders, read back, blank dates filled
+    from the row above within each file."""
+    rows = D.orders_sheet_rows(_orders(spark, sf))
+    path = scratch_table_path(spark, f"sheets-{uuid.uuid4().hex}")
+    D.write_sheet_files(rows, path)
+    sheet = read_sheet(spark, f"{path}/grp=*/*.csv").withColumn("d", S.parse_sheet_date("Date"))
+    filled = fill_forward(sheet, "d", order=["src_block", "src_pos"], part="source_file",
+                          out="sheet_date")
+    grp = F.regexp_extract(F.col("source_file"), r"grp=([0-9]+)", 1).cast("long")
+    return filled.withColumn("grp", grp)
+
+
+def q_sheet_fill_forward(spark, sf):
+    return _filled_sheets(spark, sf).select("grp", F.col("Item").alias("item"), "sheet_date")
+
+
+def q_sheet_spend_by_month(spark, sf):
+    return spend_by_period(_filled_sheets(spark, sf), "sheet_date", "Expenditure", "month",
+                           keys=["Category"], alias="total")
+
+
 QUERIES: dict[str, Query] = {
     "spend_by_category": q_spend_by_category,
     "spend_by_month": q_spend_by_month,
@@ -258,6 +280,8 @@ QUERIES: dict[str, Query] = {
     "statement_text": q_statement_text,
     "statement_meta": q_statement_meta,
     "statement_csv": q_statement_csv,
+    "sheet_fill_forward": q_sheet_fill_forward,
+    "sheet_spend_by_month": q_sheet_spend_by_month,
 }
 
 
@@ -602,6 +626,29 @@ SELECT CAST(o_custkey % {D.STATEMENT_FILES} AS BIGINT) AS stmt,
        CAST({D.OPENING_BALANCE} AS DOUBLE) AS opening_balance,
        CAST(MIN(o_orderdate) AS DATE) AS opening_balance_date
 FROM orders GROUP BY 1"""
+    # Sheets: the dated rows' dates, carried down each file in key order.
+    sheets = f"""
+WITH s AS (
+  SELECT CAST(o_custkey % {D.SHEET_FILES} AS BIGINT) AS grp, o_orderkey,
+         'order ' || CAST(o_orderkey AS VARCHAR) AS item,
+         CASE WHEN o_orderkey % 8 = 1 THEN CAST(o_orderdate AS DATE)
+              WHEN o_orderkey % 4 = 1 THEN make_date(CAST(2000 + year(o_orderdate) % 100 AS BIGINT),
+                                                     month(o_orderdate), day(o_orderdate))
+         END AS d,
+         CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS expenditure,
+         NULLIF(o_orderpriority, '5-LOW') AS category
+  FROM orders),
+f AS (
+  SELECT grp, item, expenditure, category,
+         last_value(d IGNORE NULLS) OVER (PARTITION BY grp ORDER BY o_orderkey
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sheet_date
+  FROM s)
+"""
+    sql["sheet_fill_forward"] = sheets + "SELECT grp, item, sheet_date FROM f"
+    sql["sheet_spend_by_month"] = sheets + """
+SELECT category AS Category, CAST(date_trunc('month', sheet_date) AS DATE) AS period,
+       CAST(SUM(CAST(expenditure AS DECIMAL(18,2))) AS DOUBLE) AS total
+FROM f GROUP BY 1, 2"""
     return {k: v.strip() for k, v in sql.items()}
 
 

@@ -307,3 +307,42 @@ def write_statement_files(lines: DataFrame, path: str) -> str:
      .select("stmt", "value")
      .write.mode("overwrite").partitionBy("stmt").text(path))
     return path
+
+
+# ---------------------------------------------------------------------------
+# Expense sheets (CSV) written from orders
+# ---------------------------------------------------------------------------
+
+#: Sheets (files) the orders are folded into: ``o_custkey % SHEET_FILES``.
+SHEET_FILES = 16
+
+
+def orders_sheet_rows(orders: DataFrame) -> DataFrame:
+    """Expense-sheet rows in the sheet's column order, plus ``grp`` and ``o_orderkey``.
+
+    Only every fourth order (``o_orderkey % 4 = 1``) carries a date, as
+    ``d-M-yyyy`` when ``o_orderkey % 8 = 1`` and ``d-M-yy`` otherwise; the
+    rest are blank and are filled from the row above. Expenditure is blank
+    for status ``P``; ``5-LOW`` orders have no category.
+    """
+    k = F.col("o_orderkey")
+    d = F.col("o_orderdate")
+    date_text = F.when(k % 4 == 1, F.when(k % 8 == 1, F.date_format(d, "d-M-yyyy"))
+                       .otherwise(F.date_format(d, "d-M-yy")))
+    none = F.lit(None).cast("double")
+    return orders.select(
+        (F.col("o_custkey") % SHEET_FILES).alias("grp"), "o_orderkey",
+        date_text.alias("Date"),
+        F.concat(F.lit("order "), k.cast("string")).alias("Item"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("Expenditure"),
+        none.alias("Cumulative - Monthly"), none.alias("Cumulative - Yearly"), none.alias("Comments"),
+        F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("Category"))
+
+
+def write_sheet_files(rows: DataFrame, path: str) -> str:
+    """One CSV per sheet with its header, rows in key order: ``<path>/grp=<n>/part-*``."""
+    (rows.repartition(SHEET_FILES, "grp")
+     .sortWithinPartitions("grp", "o_orderkey")
+     .drop("o_orderkey")
+     .write.mode("overwrite").partitionBy("grp").option("header", True).csv(path))
+    return path
