@@ -34,12 +34,12 @@ INVENTORY_TABLES = 3
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _orders(spark, sf):
-    return D.table(spark, sf, "orders")
+def _orders(spark, sf, cpu_heavy=False):
+    return D.table(spark, sf, "orders", cpu_heavy)
 
 
 def _raw(spark, sf):
-    return D.orders_raw_rows(_orders(spark, sf))
+    return D.orders_raw_rows(_orders(spark, sf, cpu_heavy=True))
 
 
 def _order_chunks():
@@ -69,46 +69,46 @@ def q_spend_by_year(spark, sf):
 
 
 def q_clean_amount(spark, sf):
-    li = D.lineitem_amount_text(D.table(spark, sf, "lineitem"))
+    li = D.lineitem_amount_text(D.table(spark, sf, "lineitem", cpu_heavy=True))
     return li.select("l_orderkey", "l_linenumber", "raw_amount", S.clean_amount("raw_amount").alias("amount"))
 
 
 def q_clean_date_compat(spark, sf):
-    t = D.orders_date_text(_orders(spark, sf))
+    t = D.orders_date_text(_orders(spark, sf, cpu_heavy=True))
     return t.select("o_orderkey", "date_text", S.clean_date("date_text", TODAY, "compat").alias("clean_date"))
 
 
 def q_clean_date_strict(spark, sf):
-    t = D.orders_date_text(_orders(spark, sf))
+    t = D.orders_date_text(_orders(spark, sf, cpu_heavy=True))
     return t.select("o_orderkey", "date_text", S.clean_date("date_text", TODAY, "strict").alias("clean_date"))
 
 
 def q_clean_description(spark, sf):
-    d = D.documents_with_boilerplate(D.table(spark, sf, "documents"))
+    d = D.documents_with_boilerplate(D.table(spark, sf, "documents", cpu_heavy=True))
     return d.select("doc_id", S.clean_description("txt").alias("description"))
 
 
 def q_format_description(spark, sf):
-    p = D.pages_payment_paths(D.table(spark, sf, "pages"))
+    p = D.pages_payment_paths(D.table(spark, sf, "pages", cpu_heavy=True))
     return p.select("page_id", S.format_description("txt").alias("description"),
                     S.is_bank_transfer("txt").alias("is_transfer"))
 
 
 def q_month_day(spark, sf):
-    t = D.orders_month_day_text(_orders(spark, sf))
+    t = D.orders_month_day_text(_orders(spark, sf, cpu_heavy=True))
     md = S.month_day("txt")
     return t.select("o_orderkey", "txt", md["month"].cast("long").alias("month"),
                     md["day"].cast("long").alias("day"))
 
 
 def q_extract_withdrawal(spark, sf):
-    t = D.orders_payment_text(_orders(spark, sf))
+    t = D.orders_payment_text(_orders(spark, sf, cpu_heavy=True))
     return t.select("o_orderkey", S.extract_withdrawal_amount("txt", "withdrawal_cell", "balance_cell")
                     .alias("withdrawal"))
 
 
 def q_extract_deposit(spark, sf):
-    t = D.orders_payment_text(_orders(spark, sf))
+    t = D.orders_payment_text(_orders(spark, sf, cpu_heavy=True))
     return t.select("o_orderkey", S.extract_deposit_amount("txt", "deposit_cell", "balance_cell")
                     .alias("deposit"))
 
@@ -187,7 +187,7 @@ def q_reconcile_balance(spark, sf):
 
 
 def q_parse_sheet_date(spark, sf):
-    t = D.orders_sheet_date_text(_orders(spark, sf))
+    t = D.orders_sheet_date_text(_orders(spark, sf, cpu_heavy=True))
     return t.select("o_orderkey", "sheet_text", S.parse_sheet_date("sheet_text").alias("sheet_date"))
 
 

@@ -33,8 +33,13 @@ from spendloom.session import spread
 START_YEAR_OFFSET = 1995
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, cpu_heavy: bool = False) -> DataFrame:
+    """A driver table. ``cpu_heavy`` marks inputs whose per-row work before the
+    first shuffle dominates (text cleaners, statement normalisation): those
+    are spread when the scan is under-split. Inputs that go straight into a
+    shuffle keep the scan's partitioning, so no extra exchange is added."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if cpu_heavy else df
 
 
 def money_text(c: Column) -> Column:
