@@ -25,7 +25,8 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
+from pyspark.sql.types import (BooleanType, DateType, IntegralType, NumericType,
+                               StringType, TimestampNTZType, TimestampType)
 
 #: Rows per chunk when the chunk is derived from an integral order column.
 DEFAULT_CHUNK_ROWS = 1 << 17
@@ -57,18 +58,53 @@ def default_chunks(df: DataFrame, order: Sequence[str],
     return head + [F.col(last)]
 
 
-def _with_chunks(df: DataFrame, chunks: Sequence[Column]) -> tuple[DataFrame, list[str]]:
-    names = [f"{_CHUNK_PREFIX}{i}" for i in range(len(chunks))]
-    for n, c in zip(names, chunks):
-        df = df.withColumn(n, c)
-    return df, names
+def _default(dtype) -> Column | None:
+    """A non-NULL stand-in of ``dtype`` for NULL keys (paired with a flag)."""
+    if isinstance(dtype, StringType):
+        return F.lit("")
+    if isinstance(dtype, (NumericType, BooleanType)):
+        return F.lit(0).cast(dtype)
+    if isinstance(dtype, (DateType, TimestampType, TimestampNTZType)):
+        return F.lit("1970-01-01").cast(dtype)
+    return None
+
+
+def _with_keys(df: DataFrame, part: Sequence[str],
+               chunks: Sequence[Column]) -> tuple[DataFrame, list[str], list[str]]:
+    """Add the non-NULL key columns the scan partitions, groups and joins on.
+
+    Every partition column and chunk becomes a pair ``(present, value)``:
+    ``present`` is ``value IS NOT NULL`` and ``value`` is coalesced to a
+    stand-in. Ascending order on the pair is NULLS FIRST order on the
+    original, so chunks stay non-decreasing along the order, and NULL keys
+    are one group. Because the keys are never NULL, the join-back is a plain
+    equi-join on exactly the columns the local window is hash-partitioned
+    by: the big side is not shuffled again, only the carry moves. Types
+    without a stand-in keep the raw column (joined NULL-safe).
+    """
+    exprs = [F.col(p) for p in part] + list(chunks)
+    names = []
+    for i, e in enumerate(exprs):
+        raw = f"{_CHUNK_PREFIX}{i}"
+        df = df.withColumn(raw, e)
+        dflt = _default(df.schema[raw].dataType)
+        if dflt is None:
+            names.append([raw])
+            continue
+        df = (df.withColumn(f"{raw}p", F.col(raw).isNotNull())
+              .withColumn(f"{raw}v", F.coalesce(F.col(raw), dflt)).drop(raw))
+        names.append([f"{raw}p", f"{raw}v"])
+    pk = [n for pair in names[:len(part)] for n in pair]
+    ck = [n for pair in names[len(part):] for n in pair]
+    return df, pk, ck
 
 
 def _join_back(rows: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join on ``keys`` with null-safe equality (NULL keys are a group)."""
+    """Left join on ``keys``; the stand-in keys are never NULL (plain equality)."""
     right = carry.select(*[F.col(k).alias(f"{k}__r") for k in keys],
                          *[c for c in carry.columns if c not in keys])
-    cond = [rows[k].eqNullSafe(right[f"{k}__r"]) for k in keys]
+    cond = [(rows[k] == right[f"{k}__r"]) if not rows.schema[k].nullable
+            else rows[k].eqNullSafe(right[f"{k}__r"]) for k in keys]
     out = rows.join(right, on=cond, how="left") if cond else rows.crossJoin(right)
     return out.drop(*[f"{k}__r" for k in keys])
 
@@ -86,24 +122,24 @@ def running_sum(df: DataFrame, value: str, out: str, part=None, order=(),
     """
     part, order = _cols(part), _cols(order)
     chunks = list(chunks) if chunks is not None else default_chunks(df, order)
-    df, ck = _with_chunks(df, chunks)
+    df, pk, ck = _with_keys(df, part, chunks)
     v = F.col(value).cast(as_decimal) if as_decimal else F.col(value)
     df = df.withColumn("__v", v)
 
-    w_local = (Window.partitionBy(*part, *ck).orderBy(*order)
+    w_local = (Window.partitionBy(*pk, *ck).orderBy(*order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = df.withColumn("__local", F.sum("__v").over(w_local))
 
-    totals = df.groupBy(*part, *ck).agg(F.sum("__v").alias("__tot"))
-    w_carry = (Window.partitionBy(*part).orderBy(*ck)
+    totals = df.groupBy(*pk, *ck).agg(F.sum("__v").alias("__tot"))
+    w_carry = (Window.partitionBy(*pk).orderBy(*ck)
                .rowsBetween(Window.unboundedPreceding, -1))
-    carry = totals.select(*part, *ck, F.sum("__tot").over(w_carry).alias("__carry"))
+    carry = totals.select(*pk, *ck, F.sum("__tot").over(w_carry).alias("__carry"))
 
-    res = _join_back(local, carry, part + ck)
+    res = _join_back(local, carry, pk + ck)
     total = F.col("__local") + F.coalesce(F.col("__carry"), F.lit(0).cast(res.schema["__local"].dataType))
     if as_decimal:
         total = total.cast("double")
-    return res.withColumn(out, total).drop("__v", "__local", "__carry", *ck)
+    return res.withColumn(out, total).drop("__v", "__local", "__carry", *pk, *ck)
 
 
 def fill_forward(df: DataFrame, column: str, out: str, part=None, order=(),
@@ -111,24 +147,24 @@ def fill_forward(df: DataFrame, column: str, out: str, part=None, order=(),
     """``out`` = last non-NULL ``column`` at or before this row, per ``part``."""
     part, order = _cols(part), _cols(order)
     chunks = list(chunks) if chunks is not None else default_chunks(df, order)
-    df, ck = _with_chunks(df, chunks)
+    df, pk, ck = _with_keys(df, part, chunks)
 
-    w_local = (Window.partitionBy(*part, *ck).orderBy(*order)
+    w_local = (Window.partitionBy(*pk, *ck).orderBy(*order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = df.withColumn("__local", F.last(column, ignorenulls=True).over(w_local))
 
     # Every chunk gets a summary row (NULL when it holds no value), so chunks
     # of only NULLs still receive the carry; max_by skips NULL orderings.
     nonnull_order = F.when(F.col(column).isNotNull(), _order_struct(order))
-    lasts = (df.groupBy(*part, *ck)
+    lasts = (df.groupBy(*pk, *ck)
              .agg(F.max_by(F.col(column), nonnull_order).alias("__last")))
-    w_carry = (Window.partitionBy(*part).orderBy(*ck)
+    w_carry = (Window.partitionBy(*pk).orderBy(*ck)
                .rowsBetween(Window.unboundedPreceding, -1))
-    carry = lasts.select(*part, *ck, F.last("__last", ignorenulls=True).over(w_carry).alias("__carry"))
+    carry = lasts.select(*pk, *ck, F.last("__last", ignorenulls=True).over(w_carry).alias("__carry"))
 
-    res = _join_back(local, carry, part + ck)
+    res = _join_back(local, carry, pk + ck)
     return (res.withColumn(out, F.coalesce(F.col("__local"), F.col("__carry")))
-            .drop("__local", "__carry", *ck))
+            .drop("__local", "__carry", *pk, *ck))
 
 
 def previous_value(df: DataFrame, column: str, out: str, part=None, order=(),
@@ -136,20 +172,20 @@ def previous_value(df: DataFrame, column: str, out: str, part=None, order=(),
     """``out`` = ``column`` of the previous row in order (``lag``), per ``part``."""
     part, order = _cols(part), _cols(order)
     chunks = list(chunks) if chunks is not None else default_chunks(df, order)
-    df, ck = _with_chunks(df, chunks)
+    df, pk, ck = _with_keys(df, part, chunks)
 
-    w_local = Window.partitionBy(*part, *ck).orderBy(*order)
+    w_local = Window.partitionBy(*pk, *ck).orderBy(*order)
     local = (df.withColumn("__lag", F.lag(column).over(w_local))
              .withColumn("__first", F.row_number().over(w_local) == 1))
 
-    lasts = (df.groupBy(*part, *ck)
+    lasts = (df.groupBy(*pk, *ck)
              .agg(F.max_by(F.col(column), _order_struct(order)).alias("__last")))
-    w_carry = Window.partitionBy(*part).orderBy(*ck)
-    carry = lasts.select(*part, *ck, F.lag("__last").over(w_carry).alias("__carry"))
+    w_carry = Window.partitionBy(*pk).orderBy(*ck)
+    carry = lasts.select(*pk, *ck, F.lag("__last").over(w_carry).alias("__carry"))
 
-    res = _join_back(local, carry, part + ck)
+    res = _join_back(local, carry, pk + ck)
     return (res.withColumn(out, F.when(F.col("__first"), F.col("__carry")).otherwise(F.col("__lag")))
-            .drop("__lag", "__first", "__carry", *ck))
+            .drop("__lag", "__first", "__carry", *pk, *ck))
 
 
 def rollover_count(df: DataFrame, key: str, out: str, part=None, order=(),
@@ -161,29 +197,29 @@ def rollover_count(df: DataFrame, key: str, out: str, part=None, order=(),
     """
     part, order = _cols(part), _cols(order)
     chunks = list(chunks) if chunks is not None else default_chunks(df, order)
-    df, ck = _with_chunks(df, chunks)
+    df, pk, ck = _with_keys(df, part, chunks)
 
-    w_local = Window.partitionBy(*part, *ck).orderBy(*order)
+    w_local = Window.partitionBy(*pk, *ck).orderBy(*order)
     w_run = w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     bumped = df.withColumn(
         "__bump", F.coalesce((F.col(key) < F.lag(key).over(w_local)).cast("int"), F.lit(0)))
     local = bumped.withColumn("__local", F.sum("__bump").over(w_run))
 
     ordk = _order_struct(order)
-    summary = bumped.groupBy(*part, *ck).agg(
+    summary = bumped.groupBy(*pk, *ck).agg(
         F.min_by(F.col(key), ordk).alias("__first_key"),
         F.max_by(F.col(key), ordk).alias("__last_key"),
         F.sum("__bump").alias("__inner"),
     )
-    w_chunks = Window.partitionBy(*part).orderBy(*ck)
+    w_chunks = Window.partitionBy(*pk).orderBy(*ck)
     edge = F.coalesce((F.col("__first_key") < F.lag("__last_key").over(w_chunks)).cast("int"), F.lit(0))
     carry = (summary.withColumn("__edge", edge)
              .withColumn("__carry",
                          F.sum(F.col("__edge") + F.col("__inner")).over(
                              w_chunks.rowsBetween(Window.unboundedPreceding, Window.currentRow))
                          - F.col("__inner"))
-             .select(*part, *ck, "__carry"))
+             .select(*pk, *ck, "__carry"))
 
-    res = _join_back(local, carry, part + ck)
+    res = _join_back(local, carry, pk + ck)
     return (res.withColumn(out, (F.col("__local") + F.col("__carry")).cast("int"))
-            .drop("__bump", "__local", "__carry", *ck))
+            .drop("__bump", "__local", "__carry", *pk, *ck))

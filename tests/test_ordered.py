@@ -11,7 +11,8 @@ def _data(seed=3, n=400):
     rnd = random.Random(seed)
     rows = []
     for i in range(n):
-        part = rnd.choice(["a", "b", "c", None])
+        # "" is the NULL stand-in of the scan keys: both must stay separate groups.
+        part = rnd.choice(["a", "b", "c", "", None])
         val = None if rnd.random() < 0.3 else round(rnd.uniform(-50, 50), 2)
         rows.append((part, i, val))
     rnd.shuffle(rows)
