@@ -97,20 +97,11 @@ def _is_header(line: Column) -> Column:
             & F.array_contains(fields, "Balance") & F.array_contains(fields, "Description"))
 
 
-def _located(lines: DataFrame, captions: dict[str, str] | None = None) -> DataFrame:
-    """Attach the header position/text and the first blank line after it.
-
-    With ``captions`` (name -> caption) the 1-based field position of each
-    caption in the header is added as ``pos_<name>`` (0 if absent); it is
-    worked out once per file, on the aggregated header row.
-    """
+def _located(lines: DataFrame) -> DataFrame:
+    """Attach the header position/text and the first blank line after it."""
     hdr = (lines.where(_is_header(F.col("line")))
            .groupBy("statement_id")
            .agg(F.min("k").alias("hk"), F.min_by("line", "k").alias("header_line")))
-    if captions:
-        hdr = hdr.withColumn("__fields", _header_fields(F.col("header_line")))
-        hdr = hdr.select("*", *[F.array_position(F.col("__fields"), cap).cast("int").alias(f"pos_{name}")
-                                for name, cap in captions.items()]).drop("__fields")
     j = lines.join(hdr, "statement_id")
     blank = (j.where((F.col("k") > F.col("hk")) & (py_strip(F.col("line")) == ""))
              .groupBy("statement_id").agg(F.min("k").alias("bk")))
@@ -126,17 +117,18 @@ def read_statement_text(spark: SparkSession, path: str) -> DataFrame:
     statement_id, src_block, src_pos, txn_date, value_date (dates),
     description, ref_no (stripped text), debit, credit, balance (doubles).
     """
-    loc = _located(statement_lines(spark, path), STATEMENT_TEXT_COLUMNS)
+    loc = _located(statement_lines(spark, path))
     rows = loc.where((F.col("k") > F.col("hk")) & (F.col("bk").isNull() | (F.col("k") < F.col("bk"))))
+    hdr = _header_fields(F.col("header_line"))
     fields = F.split(F.col("line"), "\t", -1)
 
-    def field(name: str) -> Column:
-        pos = F.col(f"pos_{name}")
+    def field(caption: str) -> Column:
+        pos = F.array_position(hdr, caption).cast("int")
         return F.when(pos > 0, py_strip(F.get(fields, pos - 1)))
 
     out = [F.col("statement_id"), F.col("src_block"), F.col("src_pos")]
-    for name in STATEMENT_TEXT_COLUMNS:
-        v = field(name)
+    for name, caption in STATEMENT_TEXT_COLUMNS.items():
+        v = field(caption)
         if name.endswith("_date"):
             v = F.try_to_date(v, STATEMENT_DATE_FORMAT)
         elif name in ("debit", "credit", "balance"):
