@@ -65,18 +65,26 @@ def scratch_table_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), name)
 
 
-def spread(df):
-    """Give an under-split input at least the session's parallelism.
+def spread(df, min_bytes_per_task: int = 256 << 10):
+    """Give an under-split input up to the session's parallelism.
 
     A small file stored as one Parquet row group is read by one task, so all
     per-row work after the scan (regex cleaning, role mapping) would run on
     one core. When the scan yields fewer partitions than
-    ``defaultParallelism`` the rows are spread round-robin over that many;
-    filters and column pruning still reach the scan below the repartition.
-    Inputs that already have enough splits (any large table) are returned
-    unchanged, so no shuffle is added at scale.
+    ``defaultParallelism`` the rows are spread round-robin over
+    ``min(defaultParallelism, estimated bytes / min_bytes_per_task)``
+    partitions, so a small table on a large cluster is not cut into
+    thousands of empty tasks. Filters and column pruning still reach the
+    scan below the repartition. Inputs that already have enough splits (any
+    large table) are returned unchanged, so no shuffle is added at scale.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    current = df.rdd.getNumPartitions()
+    if current >= target:
         return df
-    return df.repartition(target)
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        target = max(1, min(target, size // min_bytes_per_task))
+    except Exception:  # no size estimate: use the parallelism as it is
+        pass
+    return df.repartition(target) if target > current else df

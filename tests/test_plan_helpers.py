@@ -30,8 +30,14 @@ def test_filter_on_bound_column_is_not_inlined(spark):
 def test_spread_only_under_split_inputs(spark):
     target = spark.sparkContext.defaultParallelism
     one = spark.range(0, 1000, 1, numPartitions=1)
-    spread_one = spread(one)
+    spread_one = spread(one, min_bytes_per_task=1)
     assert spread_one.rdd.getNumPartitions() == target
     assert sorted(r.id for r in spread_one.collect()) == list(range(1000))
     many = spark.range(0, 1000, 1, numPartitions=target * 2)
     assert spread(many) is many
+
+
+def test_spread_keeps_tiny_inputs_whole(spark):
+    # 1000 longs are far below one task's worth of bytes: no repartition.
+    one = spark.range(0, 1000, 1, numPartitions=1)
+    assert spread(one) is one
