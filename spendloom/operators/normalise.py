@@ -74,12 +74,13 @@ def map_roles(raw_rows: DataFrame, aliases: dict[str, list[str]] | None = None)
     """
     aliases = aliases or ROLE_ALIASES
     hdr = joined_headers(F.col("headers"))
-    # Positions are bound: the cells, ``usable`` and every later filter read
-    # them, and an inlined position would repeat the header regexes each time.
+    # Positions and the cells array are bound: the role cells, ``usable`` and
+    # every later filter read them, and an inlined position (or a derived
+    # cells expression) would be re-evaluated at each reference.
     df = bind(raw_rows, *[role_position(hdr, opts).alias(f"pos_{role}")
-                          for role, opts in aliases.items()])
-    df = df.select("*", *[F.when(F.col(f"pos_{role}") > 0, F.get(F.col("cells"), F.col(f"pos_{role}") - 1))
-                          .alias(f"cell_{role}") for role in aliases])
+                          for role, opts in aliases.items()], F.col("cells").alias("__cells"))
+    df = df.select("*", *[F.when(F.col(f"pos_{role}") > 0, F.get(F.col("__cells"), F.col(f"pos_{role}") - 1))
+                          .alias(f"cell_{role}") for role in aliases]).drop("__cells")
     return df.withColumn("usable", (F.col("pos_date_desc") > 0) & (F.col("pos_balance") > 0))
 
 

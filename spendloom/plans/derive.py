@@ -27,7 +27,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendloom.operators.bind import bind
 from spendloom.session import spread
 
 START_YEAR_OFFSET = 1995
@@ -94,16 +93,13 @@ def orders_raw_rows(orders: DataFrame) -> DataFrame:
     c3 = F.when(variant == 0, withdrawal).when(variant == 1, deposit).otherwise(money_text(price))
     width = F.when(variant <= 1, 4).when(variant == 2, 3).otherwise(2)
     cells = F.slice(F.array(c1, c2, c3, balance), F.lit(1), width)
-    # The cells are bound (computed once per row, like a column of a stored
-    # table) so filters on the mapped cells do not re-derive them.
-    return bind(o.select(
+    return o.select(
         F.concat(F.lit("stmt-"), F.col("o_custkey").cast("string")).alias("statement_id"),
         table_idx.alias("table_idx"),
         F.col("o_orderkey").cast("long").alias("row_idx"),
         headers.alias("headers"),
-        *[F.col(c) for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-                             "o_orderdate", "o_orderpriority")],
-    ), cells.alias("cells"), keep=["statement_id", "table_idx", "row_idx", "headers"])
+        cells.alias("cells"),
+    )
 
 
 def lineitem_amount_text(lineitem: DataFrame) -> DataFrame:
