@@ -58,3 +58,35 @@ def test_global_order_without_partition(spark):
     f = fill_forward(df, "v", "out", order="i", chunks=[F.floor(F.col("i") / 4)])
     got = {x.i: x.out for x in f.collect()}
     assert got == {i: float(i - i % 3) for i in range(50)}
+
+
+def test_null_keys_stay_apart_from_their_stand_ins(spark):
+    """NULL date keys and 1970-01-01 keys (the NULL stand-in) are separate
+    groups; a NULL order value sorts first in its group, across chunks."""
+    import datetime as dt
+    epoch, other = dt.date(1970, 1, 1), dt.date(2024, 5, 6)
+    rnd = random.Random(11)
+    rows = []
+    keys = [None, epoch, other]
+    for n in range(300):
+        # One NULL order value per group (rows 0-2), so the order is total.
+        p = keys[n] if n < 3 else rnd.choice(keys)
+        i = None if n < 3 else n
+        rows.append((p, i, float(n % 13) + 1))
+    df = spark.createDataFrame(rows, "p date, i long, v double").repartition(4)
+
+    def brute():
+        out = {}
+        for key in (None, epoch, other):
+            seq = sorted((r for r in rows if r[0] == key), key=lambda r: (r[1] is not None, r[1] or 0))
+            total = 0.0
+            for r in seq:
+                total = round(total + r[2], 2)
+                out[(key, r[1], r[2])] = total
+        return out
+
+    for size in (1, 5, 1000):
+        chunks = [F.floor(F.col("i") / F.lit(size))]
+        r = running_sum(df, "v", "out", part="p", order="i", chunks=chunks, as_decimal="decimal(18,2)")
+        got = {(x.p, x.i, x.v): x.out for x in r.collect()}
+        assert got == brute()
