@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from spendloom.llm.common import read, texts
 from spendloom.llm.fingerprints import fingerprints_with_edits, near_counts
+from spendloom.llm.mixing import mix, taken
+from spendloom.llm.packing import best_fit_packing, token_pieces
+from spendloom.llm.repetition import quality_rules
 from spendloom.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +35,22 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = near_counts(prints.select("doc_id", "fingerprint"))
     return (prints.join(asked, "fingerprint", "left")
             .withColumn("n_near", F.when(F.col("doc_id") % 20 == 0, F.col("n_near"))))
+
+
+@query
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taken(mix(read(spark, sf_dir, "documents")))
+
+
+SEQUENCE_TOKENS = 2048
+
+
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = token_pieces(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), SEQUENCE_TOKENS)
+    return best_fit_packing(pieces, SEQUENCE_TOKENS)
+
+
+@query
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(read(spark, sf_dir, "documents"))

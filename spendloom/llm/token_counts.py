@@ -87,8 +87,8 @@ class LongestMatch:
         return count
 
 
-def byte_level_vocabulary(path: str) -> list[bytes]:
-    """Entries of a byte-level BPE tokenizer file as bytes.
+def byte_level_entries(path: str) -> dict[bytes, int]:
+    """Entries of a byte-level BPE tokenizer file, as bytes, and their ids.
 
     Such files write every byte as one printable character: the printable
     bytes of Latin-1 stand for themselves, the others for U+0100 onwards.
@@ -99,7 +99,7 @@ def byte_level_vocabulary(path: str) -> list[bytes]:
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     special = {t["content"] for t in spec.get("added_tokens", [])}
-    return [bytes(to_byte[c] for c in piece) for piece in spec["model"]["vocab"] if piece not in special]
+    return {bytes(to_byte[c] for c in piece): i for piece, i in spec["model"]["vocab"].items() if piece not in special}
 
 
 class CountedWords(dict):
@@ -121,7 +121,7 @@ _MEMO: dict[str, CountedWords] = {}
 def counted_words(path: str, limit: int) -> CountedWords:
     """One automaton a worker process and vocabulary file."""
     if path not in _MEMO:
-        _MEMO[path] = CountedWords(LongestMatch(byte_level_vocabulary(path)), limit)
+        _MEMO[path] = CountedWords(LongestMatch(list(byte_level_entries(path))), limit)
     return _MEMO[path]
 
 
