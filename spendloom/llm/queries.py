@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from spendloom.llm.common import read, texts
 from spendloom.llm.fingerprints import fingerprints_with_edits, near_counts
+from spendloom.llm.html_text import extract_text
 from spendloom.llm.mixing import mix, taken
 from spendloom.llm.packing import best_fit_packing, token_pieces
 from spendloom.llm.repetition import quality_rules
@@ -42,6 +43,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken(mix(read(spark, sf_dir, "documents")))
 
 
+@query
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(read(spark, sf_dir, "pages"))
+
+
 SEQUENCE_TOKENS = 2048
 
 
