@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from spendloom.llm.common import read, texts
 from spendloom.llm.fingerprints import fingerprints_with_edits, near_counts
 from spendloom.llm.html_text import extract_text
+from spendloom.llm.jaccard_join import jaccard_groups
 from spendloom.llm.mixing import mix, taken
 from spendloom.llm.packing import best_fit_packing, token_pieces
 from spendloom.llm.repetition import quality_rules
@@ -57,6 +58,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(pieces, SEQUENCE_TOKENS)
 
 
+@query
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups(read(spark, sf_dir, "documents"), percent=85, width=4).select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents"))
