@@ -27,7 +27,7 @@ def with_next(docs: DataFrame, fn: Pairs, schema: str) -> DataFrame:
     by partition number afterwards.
     """
     order = [F.col("doc_id").desc_nulls_last(), F.col("text")]
-    ranged = docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = docs.select("doc_id", "text").repartitionByRange(order[0]).sortWithinPartitions(*order)
     names = [c.split()[0] for c in schema.split(",")]
     inner = f"part int, edge string, text string, {schema}"
 
