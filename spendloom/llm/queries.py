@@ -34,9 +34,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = fingerprints_with_edits(texts(read(spark, sf_dir, "documents")))
-    asked = near_counts(prints.select("doc_id", "fingerprint"))
-    return (prints.join(asked, "fingerprint", "left")
-            .withColumn("n_near", F.when(F.col("doc_id") % 20 == 0, F.col("n_near"))))
+    near = near_counts(prints.select("doc_id", "fingerprint"), "doc_id % 20 = 0")
+    asked = F.coalesce(F.col("doc_id") % 20 == 0, F.lit(False))
+    others = prints.filter(~asked).withColumn("n_near", F.lit(None).cast("long"))
+    return prints.filter(asked).join(near, "fingerprint", "left").select(*others.columns).unionByName(others)
 
 
 @query
