@@ -15,6 +15,7 @@ from spendloom.llm.jaccard_join import jaccard_groups
 from spendloom.llm.mixing import mix, taken
 from spendloom.llm.packing import best_fit_packing, token_pieces
 from spendloom.llm.repetition import quality_rules
+from spendloom.llm.suffix_dedup import remove_repeats
 from spendloom.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,6 +65,11 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(read(spark, sf_dir, "documents"), percent=85, width=4).select("doc_id", "n_shingles", "component_id")
 
 
+@query
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read(spark, sf_dir, "documents")).drop("spans")
+
+
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents"))
