@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spendloom.session import checkpoint_dir
@@ -122,3 +122,44 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         before = (now.n, now.h)
     roots = edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots)
+
+
+def linked_groups(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Components (id, component) of the verified links among keys that share a bucket.
+
+    `buckets` has (sig, key); `verify` gets distinct pairs (a, b), a < b, and
+    returns (a, b, links). Pairs are never all made at once: each key is first
+    compared with one smallest neighbour, then with the smallest key of each of
+    its buckets; after that only keys that share a bucket but are still in
+    different components are paired. A group of near copies costs about one
+    comparison a key, and every link between components is found.
+    """
+    whole = Window.partitionBy("sig")
+    buckets = buckets.withColumn("low", F.min("key").over(whole)).withColumn("high", F.max("key").over(whole))
+    buckets = saved(buckets.filter("low <> high").drop("high"), "buckets")
+    stars = buckets.filter("key <> low").select(F.col("low").alias("a"), F.col("key").alias("b")).distinct()
+    seen = saved(verify(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")), "verified")
+    group = components(seen.filter("links").select("a", "b"))
+    for pairs in (lambda: _apart(stars, group), lambda: _bucket_pairs(buckets, group)):
+        more = saved(verify(pairs().join(seen.select("a", "b"), ["a", "b"], "left_anti")), "verified")
+        seen = seen.unionByName(more)
+        group = components(seen.filter("links").select("a", "b"))
+    return group
+
+
+def _apart(pairs: DataFrame, group: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose ends are in different components so far."""
+    return (pairs.join(group.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a", "left")
+            .join(group.select(F.col("id").alias("b"), F.col("component").alias("cb")), "b", "left")
+            .filter("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b"))
+
+
+def _bucket_pairs(buckets: DataFrame, group: DataFrame) -> DataFrame:
+    """Pairs of keys that share a bucket but no component; a bucket within one component is left out first."""
+    named = buckets.select("sig", "key").join(group.select(F.col("id").alias("key"), "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    whole = Window.partitionBy("sig")
+    apart = named.withColumn("low", F.min("component").over(whole)).withColumn("high", F.max("component").over(whole)).filter("low <> high")
+    apart = saved(apart.drop("low", "high"), "apart")
+    other = apart.select("sig", F.col("key").alias("b"), F.col("component").alias("cb"))
+    return (apart.select("sig", F.col("key").alias("a"), F.col("component").alias("ca")).join(other, "sig").filter("a < b and ca <> cb")
+            .select("a", "b").distinct())

@@ -12,6 +12,7 @@ from spendloom.llm.common import read, texts
 from spendloom.llm.fingerprints import fingerprints_with_edits, near_counts
 from spendloom.llm.html_text import extract_text
 from spendloom.llm.jaccard_join import jaccard_groups
+from spendloom.llm.line_dedup import dedup_lines
 from spendloom.llm.mixing import mix, taken
 from spendloom.llm.packing import best_fit_packing, token_pieces
 from spendloom.llm.repetition import quality_rules
@@ -41,6 +42,13 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prints.filter(asked).join(near, "fingerprint", "left").select(*others.columns).unionByName(others)
 
 
+@query
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    text = F.coalesce("text", F.lit(""))
+    return cut.select("doc_id", "n_lines", "n_removed", F.length(text).cast("long").alias("n_chars"), F.sha2(text, 256).alias("text_sha256"))
+
+
 @query
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken(mix(read(spark, sf_dir, "documents")))
