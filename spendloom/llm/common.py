@@ -64,6 +64,14 @@ def word_hashes(data: bytes) -> np.ndarray:
     return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, data.split())), ">u8").astype(np.uint64)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, with underscores added until no column of `df` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def utf8(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass")
 

@@ -163,20 +163,25 @@ def taken(mixed: DataFrame) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", total.alias("taken"), F.size("draws").cast("long").alias("n_draws"))
 
 
-def mixed_documents(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The mix itself: a row of `docs` for each draw, with its (shard, place).
+def mixed_documents(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_col: str = "shard",
+                    place_col: str = "place") -> DataFrame:
+    """The mix itself: a row of `docs` for each draw, with its shard and place.
 
     A draw of only some words keeps the text up to the end of the last of
-    them. To write the shards, repartition by `shard` and sort each partition
-    by `place`.
+    them. To write the shards, repartition by the shard and sort each
+    partition by the place.
     """
-    mine, theirs = Window.partitionBy("mix_id").orderBy("mix_size", "mix_hash"), Window.partitionBy("doc_id").orderBy("size", "text_hash")
-    left = (docs.withColumn("mix_id", F.col(id_col)).withColumn("mix_size", n_words(F.col(text_col))).withColumn("mix_hash", F.xxhash64(F.col(text_col)))
-            .withColumn("mix_row", F.row_number().over(mine)))
-    right = mixed.withColumn("mix_row", F.row_number().over(theirs)).select(F.col("doc_id").alias("mix_doc"), F.col("mix_row").alias("mix_row2"), "draws")
-    both = left.join(right, F.col("mix_id").eqNullSafe(F.col("mix_doc")) & (F.col("mix_row") == F.col("mix_row2")))
-    drawn = both.withColumn("mix_draw", F.explode("draws"))
-    head = F.regexp_extract(F.col(text_col), F.concat(F.lit(r"^(?s)((?:[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++){"), F.col("mix_draw.words").cast("string"), F.lit("})")), 1)
-    text = F.when(F.col("mix_draw.words") == F.col("mix_size"), F.col(text_col)).otherwise(head)
-    return drawn.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns],
-                        F.col("mix_draw.shard").alias("shard"), F.col("mix_draw.place").alias("place"))
+    own = F.struct(*[F.col(c) for c in docs.columns]).alias("own")
+    left = docs.select(own, F.col(id_col).alias("doc_id"), n_words(F.col(text_col)).alias("size"), F.xxhash64(F.col(text_col)).alias("text_hash"))
+    # equal rows are told apart by number; which is which does not matter
+    number = F.row_number().over(Window.partitionBy("doc_id").orderBy("size", "text_hash"))
+    right = mixed.withColumn("number", number).select(F.col("doc_id").alias("drawn_id"), F.col("number").alias("drawn_number"), "draws")
+    both = left.withColumn("number", number).join(right, F.col("doc_id").eqNullSafe(F.col("drawn_id")) & (F.col("number") == F.col("drawn_number")))
+    drawn = both.select("own", "size", F.explode("draws").alias("draw"))
+    # only the one text that a source cuts is split: after each word, so n parts end with the n-th word
+    text = F.col("own")[text_col]
+    parts = F.split(text, r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
+    head = F.array_join(F.slice(parts, F.lit(1), F.col("draw.words").cast("int")), "")
+    cut = F.when(F.col("draw.words") == F.col("size"), text).otherwise(head)
+    return drawn.select(*[cut.alias(c) if c == text_col else F.col("own")[c].alias(c) for c in docs.columns],
+                        F.col("draw.shard").alias(shard_col), F.col("draw.place").alias(place_col))

@@ -18,6 +18,7 @@ from spendloom.llm.packing import best_fit_packing, token_pieces
 from spendloom.llm.repetition import quality_rules
 from spendloom.llm.suffix_dedup import remove_repeats
 from spendloom.llm.token_counts import token_counts
+from spendloom.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -49,6 +50,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_removed", F.length(text).cast("long").alias("n_chars"), F.sha2(text, 256).alias("text_sha256"))
 
 
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @query
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken(mix(read(spark, sf_dir, "documents")))
