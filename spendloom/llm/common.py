@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spendloom.session import checkpoint_dir
@@ -132,23 +132,32 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots)
 
 
-def linked_groups(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked_groups(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame],
+                  may_link: Callable[[Column, Column], Column] = lambda x, y: F.lit(True)) -> DataFrame:
     """Components (id, component) of the verified links among keys that share a bucket.
 
-    `buckets` has (sig, key); `verify` gets distinct pairs (a, b), a < b, and
-    returns (a, b, links). Pairs are never all made at once: each key is first
-    compared with one smallest neighbour, then with the smallest key of each of
-    its buckets; after that only keys that share a bucket but are still in
-    different components are paired. A group of near copies costs about one
-    comparison a key, and every link between components is found.
+    `buckets` has (sig, key, facts): `facts` is a struct of what is known of a
+    key; the key with the smallest facts is a bucket's centre. `may_link` is a
+    cheap necessary condition on two facts. `verify` gets distinct pairs
+    (a, b), a < b, and returns (a, b, links).
+
+    Pairs are never all made at once: each key is first compared with one
+    centre, then with the centre of each of its buckets; after that only keys
+    that share a bucket, may link and are still in different components are
+    paired. A group of near copies costs about one comparison a key, and every
+    link between components is found.
     """
     whole = Window.partitionBy("sig")
-    buckets = buckets.withColumn("low", F.min("key").over(whole)).withColumn("high", F.max("key").over(whole))
-    buckets = saved(buckets.filter("low <> high").drop("high"), "buckets")
-    stars = buckets.filter("key <> low").select(F.col("low").alias("a"), F.col("key").alias("b")).distinct()
-    seen = saved(verify(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")), "verified")
+    centre = F.min(F.struct("facts", "key")).over(whole)
+    buckets = buckets.withColumn("centre", centre).withColumn("last", F.max(F.struct("facts", "key")).over(whole))
+    buckets = saved(buckets.filter("centre <> last").drop("last"), "buckets")
+    near = buckets.filter(F.col("key") != F.col("centre.key")).filter(may_link(F.col("facts"), F.col("centre.facts")))
+    pair = F.least("key", "centre.key").alias("a"), F.greatest("key", "centre.key").alias("b")
+    stars = saved(near.select("key", "centre", *pair).distinct(), "stars")
+    first = stars.groupBy("key").agg(F.min("centre").alias("centre")).select(*pair).distinct()
+    seen = saved(verify(first), "verified")
     group = components(seen.filter("links").select("a", "b"))
-    for pairs in (lambda: _apart(stars, group), lambda: _bucket_pairs(buckets, group)):
+    for pairs in (lambda: _apart(stars.select("a", "b").distinct(), group), lambda: _bucket_pairs(buckets, group, may_link)):
         more = saved(verify(pairs().join(seen.select("a", "b"), ["a", "b"], "left_anti")), "verified")
         seen = seen.unionByName(more)
         group = components(seen.filter("links").select("a", "b"))
@@ -162,12 +171,14 @@ def _apart(pairs: DataFrame, group: DataFrame) -> DataFrame:
             .filter("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b"))
 
 
-def _bucket_pairs(buckets: DataFrame, group: DataFrame) -> DataFrame:
+def _bucket_pairs(buckets: DataFrame, group: DataFrame, may_link: Callable[[Column, Column], Column]) -> DataFrame:
     """Pairs of keys that share a bucket but no component; a bucket within one component is left out first."""
-    named = buckets.select("sig", "key").join(group.select(F.col("id").alias("key"), "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    named = buckets.select("sig", "key", "facts").join(group.select(F.col("id").alias("key"), "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     whole = Window.partitionBy("sig")
     apart = named.withColumn("low", F.min("component").over(whole)).withColumn("high", F.max("component").over(whole)).filter("low <> high")
     apart = saved(apart.drop("low", "high"), "apart")
-    other = apart.select("sig", F.col("key").alias("b"), F.col("component").alias("cb"))
-    return (apart.select("sig", F.col("key").alias("a"), F.col("component").alias("ca")).join(other, "sig").filter("a < b and ca <> cb")
-            .select("a", "b").distinct())
+    left = apart.select("sig", F.col("key").alias("a"), F.col("component").alias("ca"), F.col("facts").alias("x"))
+    right = apart.select(F.col("sig").alias("sig2"), F.col("key").alias("b"), F.col("component").alias("cb"), F.col("facts").alias("y"))
+    # the conditions are part of the join, so pairs that cannot link are no rows
+    matched = (F.col("sig") == F.col("sig2")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & may_link(F.col("x"), F.col("y"))
+    return left.join(right, matched).select("a", "b").distinct()
