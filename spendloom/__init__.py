@@ -10,7 +10,6 @@ Layout
 ``operators``  statement normalisation, ordered scans, spending and quality
 ``sources``    readers and writers for sheets, extracted tables, statements
 ``plans``      the registered queries over the driver tables
-``streaming``  micro-batch normalisation of landed extracted tables
 """
 
 from spendloom.session import get_session, checkpoint_dir

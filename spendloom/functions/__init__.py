@@ -4,10 +4,10 @@ from spendloom.functions.scalars import (amount_tokens, clean_amount, clean_date
                                          clean_description, extract_deposit_amount,
                                          extract_withdrawal_amount, format_description,
                                          has_keyword, is_bank_transfer, iso_date_text,
-                                         month_day, month_number, norm_headers,
-                                         parse_sheet_date, py_strip, valid_iso_date)
+                                         month_day, month_number, parse_sheet_date,
+                                         py_strip, valid_iso_date)
 
 __all__ = ["amount_tokens", "clean_amount", "clean_date", "clean_description",
            "extract_deposit_amount", "extract_withdrawal_amount", "format_description",
            "has_keyword", "is_bank_transfer", "iso_date_text", "month_day", "month_number",
-           "norm_headers", "parse_sheet_date", "py_strip", "valid_iso_date"]
+           "parse_sheet_date", "py_strip", "valid_iso_date"]

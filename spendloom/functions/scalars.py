@@ -24,10 +24,10 @@ from typing import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from spendloom.schema import (AMOUNT_TOKEN_PATTERNS, DEPOSIT_KEYWORDS,
-                              DESCRIPTION_LABELS_HEAD, DESCRIPTION_LABELS_TAIL,
+from spendloom.schema import (AMOUNT_TOKEN_PATTERNS, BANK_TRANSFER_PATTERN, DATE_PATTERNS,
+                              DEPOSIT_KEYWORDS, DESCRIPTION_LABELS, DESCRIPTION_TERMS_AFTER,
                               DESCRIPTION_TRAILING_PATTERNS, MONTH_ABBREVIATIONS,
-                              PHONE_MARKER, WITHDRAWAL_KEYWORDS)
+                              MONTH_DAY_PATTERN, PHONE_MARKER, WITHDRAWAL_KEYWORDS)
 
 ColumnOrName = "Column | str"
 
@@ -37,6 +37,11 @@ WS = (r"[\t\n\x{0b}\x{0c}\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
       r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
 
 
+def _java(pattern: str) -> str:
+    """A fixed pattern with Python's white space."""
+    return pattern.replace(r"\s", WS)
+
+
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -90,7 +95,7 @@ def clean_amount(c) -> Column:
     ``--5`` -> 5.0, ``-``/empty/``1.2.3``/``500-`` -> NULL. NULL -> NULL.
     """
     z = F.regexp_replace(_c(c).cast("string"), r"[^0-9.\-]", "")
-    rest = F.substring(z, 2, 1 << 30)
+    rest = F.substr(z, F.lit(2))
     # Only text that is a number gets cast: Spark's try_cast catches a parse
     # exception per bad value, which is slow on dirty columns.
     parsed = (F.when(z.startswith("-"), -rest.try_cast("double"))
@@ -104,8 +109,8 @@ def clean_amount(c) -> Column:
 
 def description_patterns(extra_noise_terms: Iterable[str] = ()) -> list[str]:
     """The ordered removal patterns (flags not included)."""
-    labels = (DESCRIPTION_LABELS_HEAD + [regex_escape(t) for t in extra_noise_terms]
-              + DESCRIPTION_LABELS_TAIL)
+    at = DESCRIPTION_LABELS.index(DESCRIPTION_TERMS_AFTER) + 1
+    labels = DESCRIPTION_LABELS[:at] + [regex_escape(t) for t in extra_noise_terms] + DESCRIPTION_LABELS[at:]
     return [f"{label}.*?{PHONE_MARKER}" for label in labels] + DESCRIPTION_TRAILING_PATTERNS
 
 
@@ -163,17 +168,13 @@ def format_description(c) -> Column:
 
 def is_bank_transfer(c) -> Column:
     """RTGS/NEFT credit or debit wording (detected only; text is unchanged)."""
-    return _c(c).rlike(rf"(?i)(RTGS|NEFT){WS}+(CRED|DEB)")
+    return _c(c).rlike("(?i)" + _java(BANK_TRANSFER_PATTERN))
 
 
 # ---------------------------------------------------------------------------
 # A6 month_day (W)
 # ---------------------------------------------------------------------------
 
-#: First "three letters, whitespace, one or two digits" token.
-MONTH_DAY_PATTERN = rf"([A-Za-z]{{3}}){WS}+([0-9]{{1,2}})"
-
-
 def month_day(c) -> Column:
     """struct<month int, day int> from the first month-day token, else NULLs.
 
@@ -181,8 +182,8 @@ def month_day(c) -> Column:
     date, even when a real one follows. Days are not validated.
     """
     c = _c(c)
-    tok = F.regexp_extract(c, MONTH_DAY_PATTERN, 1)
-    day = F.regexp_extract(c, MONTH_DAY_PATTERN, 2)
+    tok = F.regexp_extract(c, _java(MONTH_DAY_PATTERN), 1)
+    day = F.regexp_extract(c, _java(MONTH_DAY_PATTERN), 2)
     month = month_number(tok)
     return F.struct(month.alias("month"),
                     F.when(month.isNotNull(), day.cast("int")).alias("day"))
@@ -191,10 +192,13 @@ def month_day(c) -> Column:
 def iso_date_text(year, month, day) -> Column:
     """``yyyy-MM-dd`` text without validating the day (``2024-02-99`` stays).
 
-    Built with ``lpad``/``concat`` (no ``java.util.Formatter`` per row).
+    Years beyond 9999 are printed whole. Built with ``lpad``/``concat`` (no
+    ``java.util.Formatter`` per row).
     """
     def pad(c, n):
-        return F.lpad(_c(c).cast("string"), n, "0")
+        # lpad also cuts what is longer
+        text = _c(c).cast("string")
+        return F.when(F.length(text) < n, F.lpad(text, n, "0")).otherwise(text)
     return F.concat(pad(year, 4), F.lit("-"), pad(month, 2), F.lit("-"), pad(day, 2))
 
 
@@ -258,10 +262,13 @@ def extract_deposit_amount(row_text, cell, balance) -> Column:
 # A2 clean_date (H)
 # ---------------------------------------------------------------------------
 
-_DMY4 = r"([0-9]{2})[/-]([0-9]{2})[/-]([0-9]{4})"
-_DMY2 = r"([0-9]{2})[/-]([0-9]{2})[/-]([0-9]{2})"
-_MDY = rf"([A-Za-z]{{3}}){WS}+([0-9]{{1,2}})(?:{WS}+([0-9]{{4}}))?"
-_DMY_TEXT = rf"([0-9]{{1,2}}){WS}+([A-Za-z]{{3}})(?:{WS}+([0-9]{{4}}))?"
+_DMY4, _DMY2, _MDY, _DMY_TEXT = map(_java, DATE_PATTERNS)
+_YMD = r"\d{4}-\d{2}-\d{2}"
+
+
+def _whole(pattern: str) -> str:
+    """Not inside a longer run of digits."""
+    return rf"(?<!\d)(?:{pattern})(?!\d)"
 
 
 def valid_iso_date(year, month, day) -> Column:
@@ -324,9 +331,11 @@ def clean_date(c, today: _dt.date | None = None, mode: str = "compat") -> Column
     (``dd/mm/yyyy``, ``dd/mm/yy``, ``Mon d yyyy``, ``d Mon yyyy``) and a final
     ``d Mon`` + current year fallback, where a pattern's matched text replaces
     the working text even if it then fails to parse. ``strict`` is the evident
-    intent: each pattern sees the whole text, ``-`` separators are accepted
-    and a missing year is the current one. ``today`` fixes "current" so runs
-    are repeatable.
+    intent: each pattern sees the whole text but never part of a longer run of
+    digits, ``-`` separators and ``yyyy-mm-dd`` are accepted, a missing year
+    is the current one, and a full date that does not exist is NULL, not read
+    again as something shorter. ``today`` fixes "current" so runs are
+    repeatable.
     """
     if mode not in ("compat", "strict"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -334,16 +343,20 @@ def clean_date(c, today: _dt.date | None = None, mode: str = "compat") -> Column
     cur_year = F.lit(today.year)
     c = _c(c)
     s0 = py_strip(c)
-    frags = F.struct(F.regexp_extract(s0, _DMY4, 0).alias("f1"),
-                     F.regexp_extract(s0, _DMY2, 0).alias("f2"),
-                     F.regexp_extract(s0, _MDY, 0).alias("f3"),
-                     F.regexp_extract(s0, _DMY_TEXT, 0).alias("f4"))
+    own = _whole if mode == "strict" else str
+    frags = F.struct(F.regexp_extract(s0, own(_DMY4), 0).alias("f1"),
+                     F.regexp_extract(s0, own(_DMY2), 0).alias("f2"),
+                     F.regexp_extract(s0, own(_MDY), 0).alias("f3"),
+                     F.regexp_extract(s0, own(_DMY_TEXT), 0).alias("f4"),
+                     F.regexp_extract(s0, own(_YMD), 0).alias("iso"))
 
     if mode == "strict":
         def pick(t):
-            f1, f2, f3, f4 = t["f1"], t["f2"], t["f3"], t["f4"]
+            f1, f2, f3, f4, iso = t["f1"], t["f2"], t["f3"], t["f4"], t["iso"]
+            year, month, day = (F.substring(iso, at, n).try_cast("int") for at, n in ((1, 4), (6, 2), (9, 2)))
             return F.coalesce(
                 _parse_numeric(f1, False, False),
+                F.when(iso != "", valid_iso_date(year, month, day)),
                 _parse_numeric(f2, True, False),
                 # Patterns with an explicit year win over the year-less readings.
                 _parse_text(f3, True, None),
@@ -397,12 +410,3 @@ def parse_day_month_yy(c) -> Column:
     m = month_number(F.regexp_extract(c, pattern, 2))
     y = _pivot_two_digit_year(F.regexp_extract(c, pattern, 3).try_cast("int"))
     return F.when(c.rlike(pattern), valid_date(y, m, d))
-
-
-# ---------------------------------------------------------------------------
-# P1 header normalisation (W)
-# ---------------------------------------------------------------------------
-
-def norm_headers(c) -> Column:
-    """array<string>: each header stripped (Python rules) and lower-cased."""
-    return F.transform(_c(c), lambda h: F.lower(py_strip(F.coalesce(h, F.lit("nan")))))

@@ -58,6 +58,8 @@ def role_position(joined: Column, aliases: Sequence[str]) -> Column:
     the captions first (P1) cannot change a substring test, because no alias
     starts or ends with whitespace. Plain regexes, so it stays in codegen.
     """
+    if not aliases:  # a role without aliases is absent from every table
+        return F.lit(0)
     alt = "(?:" + "|".join(regex_escape(a) for a in aliases) + ")"
     prefix = F.regexp_extract(joined, f"(?s)^(.*?){alt}", 1)
     seps = F.length(prefix) - F.length(F.replace(prefix, F.lit(HEADER_SEP), F.lit("")))
@@ -72,7 +74,7 @@ def map_roles(raw_rows: DataFrame, aliases: dict[str, list[str]] | None = None)
     Also adds ``usable``: the table has both a date/description and a
     balance column (P3).
     """
-    aliases = aliases or ROLE_ALIASES
+    aliases = {role: list((aliases or ROLE_ALIASES).get(role, ())) for role in ROLES}
     hdr = joined_headers(F.col("headers"))
     # Positions and the cells array are bound: the role cells, ``usable`` and
     # every later filter read them, and an inlined position (or a derived
@@ -130,16 +132,17 @@ def dated_rows(raw_rows: DataFrame, aliases: dict[str, list[str]] | None = None)
 
 
 def infer_year(dated: DataFrame, start_year: int = DEFAULT_START_YEAR,
-               chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+               chunk_rows: int = DEFAULT_CHUNK_ROWS, sizes_from: DataFrame | None = None) -> DataFrame:
     """L1: ``year`` and ``value_date`` text for dated rows, per statement.
 
     The year starts at ``start_year`` and moves on by one each time
     (month, day) strictly decreases from the previous dated row; the state
     crosses table boundaries within a statement and never crosses statements.
+    ``sizes_from``: the raw rows ``dated`` was made of, so that the sizes of
+    statements are counted without reading headers and dates.
     """
-    chunks = [F.col("table_idx"), F.floor(F.col("row_idx") / F.lit(chunk_rows))]
     out = rollover_count(dated, key="md", out="__bumps", part="statement_id",
-                         order=["table_idx", "row_idx"], chunks=chunks)
+                         order=["table_idx", "row_idx"], chunk_rows=chunk_rows, sizes_from=sizes_from)
     year = F.lit(start_year) + F.col("__bumps")
     return (out.withColumn("year", year.cast("int"))
             .withColumn("value_date", iso_date_text(F.col("year"), F.col("month"), F.col("day")))
@@ -161,7 +164,7 @@ def normalise_statements(raw_rows: DataFrame, start_year: int = DEFAULT_START_YE
     """
     extra = list(extra_noise_terms)
     dated = dated_rows(raw_rows, aliases)
-    years = infer_year(dated, start_year, chunk_rows)
+    years = infer_year(dated, start_year, chunk_rows, sizes_from=raw_rows)
     has_txn, is_noise = transaction_predicates(
         F.col("cell_date_desc"), F.col("cell_deposit"), F.col("cell_withdrawal"),
         F.col("cell_balance"), F.col("has_deposit"), F.col("has_withdrawal"), extra)

@@ -1,37 +1,45 @@
-"""Skew-safe ordered scans: running sums, fill-forward, lag and year roll-over.
+"""Ordered scans: running sums, fill-forward, lag and year roll-over, safe for hot keys.
 
 A plain ``Window.partitionBy(key).orderBy(...)`` sends every row of a key to
-one task. One statement, one account or one month may hold a third of all
-rows, so every ordered computation here is a two-level scan instead:
-
-1. Rows are cut into *chunks*: a chunk is a run of consecutive rows of one
-   partition key, named by ``chunk`` columns that are non-decreasing along the
-   order (e.g. ``row_idx div 131072``). The local window runs per
-   ``(key, chunk)``, so a hot key spreads over many tasks.
-2. Each chunk is reduced to one summary row (partial aggregation, so a hot
-   key never ships its rows through the shuffle twice).
-3. A window over the summaries (``rows / chunk_rows`` of them per key) carries
-   the state from chunk to chunk.
-4. The carry is joined back on ``(key, chunk)``. The big side is already
-   hash-partitioned on those columns by step 1, so only the small summary side
-   moves; AQE turns it into a broadcast when its measured size allows.
-
-The result is exact: nothing is capped or sampled.
+one task. That is right for the many small keys and wrong for a statement,
+account or month that holds a third of all rows. So each scan first asks how
+large its keys are: one aggregation over the key and order columns, with
+map-side combine. Keys of at most ``chunk_rows`` rows are one chunk. A larger
+key is cut into about ``rows / chunk_rows`` runs of consecutive rows, equally
+wide in the order columns' value range. Then
+
+1. the local window runs per ``(key, chunk)``;
+2. each chunk of a large key is reduced to one summary row;
+3. a window over a key's summaries carries the state from chunk to chunk: at
+   most about ``rows / chunk_rows`` rows in one group;
+4. the carry is joined back on ``(key, chunk)``. The sizes say how many carry
+   rows there can be, so the carry is broadcast while they are few and joined
+   on the window's own partitioning beyond that; either way the big side is
+   shuffled once.
+
+Without large keys, steps 2 to 4 have no rows and are left out. The result is
+exact in any case: nothing is capped or sampled.
+
+Chunks follow the leading numeric, date or timestamp order columns. Rows that
+agree in those (or an order that starts with a string) stay together, since
+nothing tells where to cut between them.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, DateType, IntegralType, NumericType,
-                               StringType, TimestampNTZType, TimestampType)
+from pyspark.sql.types import DataType, DateType, NumericType, TimestampNTZType, TimestampType
 
-#: Rows per chunk when the chunk is derived from an integral order column.
+#: Rows above which a key is cut into chunks, and the rows a chunk aims at.
 DEFAULT_CHUNK_ROWS = 1 << 17
+#: Large keys, or carry rows, up to which the small side is broadcast.
+BROADCAST_ROWS = 100_000
 
-_CHUNK_PREFIX = "__chunk"
+_CHUNK = "__chunk"
 
 
 def _cols(names) -> list[str]:
@@ -42,71 +50,105 @@ def _cols(names) -> list[str]:
     return list(names)
 
 
-def default_chunks(df: DataFrame, order: Sequence[str],
-                   chunk_rows: int = DEFAULT_CHUNK_ROWS) -> list[Column]:
-    """Chunk columns that are non-decreasing along ``order``.
-
-    All order columns but the last are kept as they are; the last is bucketed
-    by ``chunk_rows`` when it is integral (ids, row numbers), else kept as is.
-    Pass explicit chunks when a coarser monotone key is known.
-    """
-    order = list(order)
-    head = [F.col(c) for c in order[:-1]]
-    last = order[-1]
-    if isinstance(df.schema[last].dataType, IntegralType):
-        return head + [F.floor(F.col(last) / F.lit(chunk_rows))]
-    return head + [F.col(last)]
-
-
-def _default(dtype) -> Column | None:
-    """A non-NULL stand-in of ``dtype`` for NULL keys (paired with a flag)."""
-    if isinstance(dtype, StringType):
-        return F.lit("")
-    if isinstance(dtype, (NumericType, BooleanType)):
-        return F.lit(0).cast(dtype)
-    if isinstance(dtype, (DateType, TimestampType, TimestampNTZType)):
-        return F.lit("1970-01-01").cast(dtype)
+def _number(name: str, dtype: DataType) -> tuple[Column, bool] | None:
+    """(a double that never decreases along the column, whether it tells all values apart)."""
+    c = F.col(name)
+    if isinstance(dtype, NumericType):
+        return c.cast("double"), True
+    if isinstance(dtype, DateType):
+        return F.unix_date(c).cast("double"), True
+    if isinstance(dtype, TimestampType):
+        return F.unix_micros(c).cast("double"), True
+    if isinstance(dtype, TimestampNTZType):
+        return F.unix_date(c.cast("date")).cast("double"), False
     return None
 
 
-def _with_keys(df: DataFrame, part: Sequence[str],
-               chunks: Sequence[Column]) -> tuple[DataFrame, list[str], list[str]]:
-    """Add the non-NULL key columns the scan partitions, groups and joins on.
+@dataclass
+class Scan:
+    """Rows with a chunk number, and what is needed to scan them in order."""
+
+    rows: DataFrame
+    part: list[str]
+    order: list[str]
+    carry_rows: int  # 0: no key is cut
+
+    def window(self) -> WindowSpec:
+        return Window.partitionBy(*self.part, _CHUNK).orderBy(*self.order)
+
+    def up_to_here(self) -> WindowSpec:
+        return self.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def chunks(self) -> WindowSpec:
+        """Over the summaries of one key."""
+        return Window.partitionBy(*self.part).orderBy(_CHUNK)
 
-    Every partition column and chunk becomes a pair ``(present, value)``:
-    ``present`` is ``value IS NOT NULL`` and ``value`` is coalesced to a
-    stand-in. Ascending order on the pair is NULLS FIRST order on the
-    original, so chunks stay non-decreasing along the order, and NULL keys
-    are one group. Because the keys are never NULL, the join-back is a plain
-    equi-join on exactly the columns the local window is hash-partitioned
-    by: the big side is not shuffled again, only the carry moves. Types
-    without a stand-in keep the raw column (joined NULL-safe).
+    def summaries(self, rows: DataFrame, *aggregates: Column) -> DataFrame:
+        """One row per chunk of every key that is cut."""
+        return rows.where("__large").groupBy(*self.part, _CHUNK).agg(*aggregates)
+
+    def join_back(self, rows: DataFrame, carry: DataFrame) -> DataFrame:
+        """Left join of the carry on (key, chunk), NULL keys included."""
+        keys = [*self.part, _CHUNK]
+        right = carry.select(*[F.col(k).alias(f"{k}__r") for k in keys], *[c for c in carry.columns if c not in keys])
+        right = F.broadcast(right) if self.carry_rows <= BROADCAST_ROWS else right
+        matched = [rows[k].eqNullSafe(right[f"{k}__r"]) for k in keys]
+        return rows.join(right, on=matched, how="left").drop(*[f"{k}__r" for k in keys])
+
+    def done(self, rows: DataFrame, *extra: str) -> DataFrame:
+        return rows.drop(*extra, _CHUNK, "__large")
+
+
+def scan(df: DataFrame, part=None, order=(), chunk_rows: int = DEFAULT_CHUNK_ROWS,
+         sizes_from: DataFrame | None = None) -> Scan:
+    """Number the chunks of ``df``; runs the size aggregation.
+
+    ``sizes_from`` may name a cheaper frame to take the sizes from: the same
+    keys and order columns, and at least the rows of ``df`` (say, ``df`` before
+    an expensive filter).
     """
-    exprs = [F.col(p) for p in part] + list(chunks)
-    names = []
-    for i, e in enumerate(exprs):
-        raw = f"{_CHUNK_PREFIX}{i}"
-        df = df.withColumn(raw, e)
-        dflt = _default(df.schema[raw].dataType)
-        if dflt is None:
-            names.append([raw])
-            continue
-        df = (df.withColumn(f"{raw}p", F.col(raw).isNotNull())
-              .withColumn(f"{raw}v", F.coalesce(F.col(raw), dflt)).drop(raw))
-        names.append([f"{raw}p", f"{raw}v"])
-    pk = [n for pair in names[:len(part)] for n in pair]
-    ck = [n for pair in names[len(part):] for n in pair]
-    return df, pk, ck
-
-
-def _join_back(rows: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join on ``keys``; the stand-in keys are never NULL (plain equality)."""
-    right = carry.select(*[F.col(k).alias(f"{k}__r") for k in keys],
-                         *[c for c in carry.columns if c not in keys])
-    cond = [(rows[k] == right[f"{k}__r"]) if not rows.schema[k].nullable
-            else rows[k].eqNullSafe(right[f"{k}__r"]) for k in keys]
-    out = rows.join(right, on=cond, how="left") if cond else rows.crossJoin(right)
-    return out.drop(*[f"{k}__r" for k in keys])
+    part, order = _cols(part), _cols(order)
+    source = df if sizes_from is None else sizes_from
+    spans: list[tuple[Column, str]] = []
+    for name in order:
+        number = _number(name, source.schema[name].dataType)
+        if number is None:
+            break
+        spans.append((number[0], f"__o{len(spans)}"))
+        if not number[1]:
+            break
+    limits = [f(c).alias(f"{n}{s}") for c, n in spans for f, s in ((F.min, "_min"), (F.max, "_max"))]
+    sizes = source.groupBy(*part).agg(F.count(F.lit(1)).alias("__n"), *limits).where(F.col("__n") > chunk_rows)
+    n_large, carry_rows = 0, 0
+    if spans:
+        found = sizes.agg(F.count(F.lit(1)), F.sum(F.ceil(F.col("__n") / F.lit(chunk_rows)) + 1)).first()
+        n_large, carry_rows = found[0], found[1] or 0
+    if not n_large:
+        return Scan(df.withColumn(_CHUNK, F.lit(0).cast("long")).withColumn("__large", F.lit(False)), part, order, 0)
+
+    # position of a row in its key's value range, mixed radix over the order columns
+    place, width = F.lit(0.0), F.lit(1.0)
+    for column, name in reversed(spans):
+        low, high = F.col(f"{name}_min"), F.col(f"{name}_max")
+        span = F.coalesce(high - low, F.lit(0.0)) + 2
+        place = place + F.coalesce(column - low + 1, F.lit(0.0)) * width  # NULL is first
+        width = width * span
+    wanted = F.ceil(F.col("__n") / F.lit(chunk_rows)).cast("double")
+    chunk = F.least(wanted - 1, F.greatest(F.lit(0.0), F.floor(place / width * wanted).cast("double"))).cast("long")
+    if n_large <= BROADCAST_ROWS:  # so few rows are kept as they are, and not counted again
+        sizes = df.sparkSession.createDataFrame(sizes.collect(), sizes.schema)
+    if part:
+        small = sizes.select(*[F.col(k).alias(f"{k}__s") for k in part], *[c for c in sizes.columns if c not in part])
+        small = F.broadcast(small) if n_large <= BROADCAST_ROWS else small
+        rows = df.join(small, on=[df[k].eqNullSafe(small[f"{k}__s"]) for k in part], how="left")
+        rows = rows.drop(*[f"{k}__s" for k in part])
+    else:
+        one = sizes.first()
+        rows = df.select("*", *[F.lit(one[c]).alias(c) for c in sizes.columns])
+    rows = (rows.withColumn(_CHUNK, F.coalesce(chunk, F.lit(0).cast("long")))
+            .withColumn("__large", F.col("__n").isNotNull())
+            .drop("__n", *[f"{n}{s}" for _, n in spans for s in ("_min", "_max")]))
+    return Scan(rows, part, order, carry_rows)
 
 
 def _order_struct(order: Sequence[str]) -> Column:
@@ -114,112 +156,82 @@ def _order_struct(order: Sequence[str]) -> Column:
 
 
 def running_sum(df: DataFrame, value: str, out: str, part=None, order=(),
-                chunks: Sequence[Column] | None = None, as_decimal: str | None = None) -> DataFrame:
+                chunk_rows: int = DEFAULT_CHUNK_ROWS, sizes_from: DataFrame | None = None) -> DataFrame:
     """``out`` = sum of ``value`` over rows up to and including this one, per ``part``.
 
-    ``as_decimal`` sums in that decimal type (exact, order independent) and
-    returns a double.
+    Decimals stay decimals: sums are exact and independent of the partitioning.
     """
-    part, order = _cols(part), _cols(order)
-    chunks = list(chunks) if chunks is not None else default_chunks(df, order)
-    df, pk, ck = _with_keys(df, part, chunks)
-    v = F.col(value).cast(as_decimal) if as_decimal else F.col(value)
-    df = df.withColumn("__v", v)
-
-    w_local = (Window.partitionBy(*pk, *ck).orderBy(*order)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = df.withColumn("__local", F.sum("__v").over(w_local))
-
-    totals = df.groupBy(*pk, *ck).agg(F.sum("__v").alias("__tot"))
-    w_carry = (Window.partitionBy(*pk).orderBy(*ck)
-               .rowsBetween(Window.unboundedPreceding, -1))
-    carry = totals.select(*pk, *ck, F.sum("__tot").over(w_carry).alias("__carry"))
-
-    res = _join_back(local, carry, pk + ck)
-    total = F.col("__local") + F.coalesce(F.col("__carry"), F.lit(0).cast(res.schema["__local"].dataType))
-    if as_decimal:
-        total = total.cast("double")
-    return res.withColumn(out, total).drop("__v", "__local", "__carry", *pk, *ck)
-
-
-def fill_forward(df: DataFrame, column: str, out: str, part=None, order=(),
-                 chunks: Sequence[Column] | None = None) -> DataFrame:
-    """``out`` = last non-NULL ``column`` at or before this row, per ``part``."""
-    part, order = _cols(part), _cols(order)
-    chunks = list(chunks) if chunks is not None else default_chunks(df, order)
-    df, pk, ck = _with_keys(df, part, chunks)
-
-    w_local = (Window.partitionBy(*pk, *ck).orderBy(*order)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = df.withColumn("__local", F.last(column, ignorenulls=True).over(w_local))
-
-    # Every chunk gets a summary row (NULL when it holds no value), so chunks
-    # of only NULLs still receive the carry; max_by skips NULL orderings.
-    nonnull_order = F.when(F.col(column).isNotNull(), _order_struct(order))
-    lasts = (df.groupBy(*pk, *ck)
-             .agg(F.max_by(F.col(column), nonnull_order).alias("__last")))
-    w_carry = (Window.partitionBy(*pk).orderBy(*ck)
-               .rowsBetween(Window.unboundedPreceding, -1))
-    carry = lasts.select(*pk, *ck, F.last("__last", ignorenulls=True).over(w_carry).alias("__carry"))
-
-    res = _join_back(local, carry, pk + ck)
-    return (res.withColumn(out, F.coalesce(F.col("__local"), F.col("__carry")))
-            .drop("__local", "__carry", *pk, *ck))
+    s = scan(df, part, order, chunk_rows, sizes_from)
+    rows = s.rows.withColumn(out, F.sum(value).over(s.up_to_here()))
+    if not s.carry_rows:
+        return s.done(rows)
+    totals = s.summaries(s.rows, F.sum(value).alias("__total"))
+    before = s.chunks().rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(*s.part, _CHUNK, F.sum("__total").over(before).alias("__carry"))
+    rows = s.join_back(rows, carry)
+    dtype = rows.schema[out].dataType
+    # a running sum is NULL until the first value
+    total = F.when(F.col(out).isNull(), F.col("__carry").cast(dtype)).otherwise(
+        (F.col(out) + F.coalesce(F.col("__carry"), F.lit(0))).cast(dtype))
+    return s.done(rows.withColumn(out, total), "__carry")
+
+
+def fill_forward(df: DataFrame, column: str, out: str, part=None, order=(), chunk_rows: int = DEFAULT_CHUNK_ROWS,
+                 sizes_from: DataFrame | None = None, inclusive: bool = True) -> DataFrame:
+    """``out`` = last non-NULL ``column`` at or before this row, per ``part``.
+
+    Not ``inclusive``: strictly before this row.
+    """
+    s = scan(df, part, order, chunk_rows, sizes_from)
+    frame = s.window().rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
+    rows = s.rows.withColumn("__local", F.last(column, ignorenulls=True).over(frame))
+    if not s.carry_rows:
+        return s.done(rows.withColumn(out, F.col("__local")), "__local")
+    # max_by skips NULL orderings, so a chunk without a value has NULL here
+    known = F.when(F.col(column).isNotNull(), _order_struct(s.order))
+    lasts = s.summaries(s.rows, F.max_by(F.col(column), known).alias("__last"))
+    before = s.chunks().rowsBetween(Window.unboundedPreceding, -1)
+    carry = lasts.select(*s.part, _CHUNK, F.last("__last", ignorenulls=True).over(before).alias("__carry"))
+    rows = s.join_back(rows, carry)
+    return s.done(rows.withColumn(out, F.coalesce(F.col("__local"), F.col("__carry"))), "__local", "__carry")
 
 
 def previous_value(df: DataFrame, column: str, out: str, part=None, order=(),
-                   chunks: Sequence[Column] | None = None) -> DataFrame:
+                   chunk_rows: int = DEFAULT_CHUNK_ROWS, sizes_from: DataFrame | None = None) -> DataFrame:
     """``out`` = ``column`` of the previous row in order (``lag``), per ``part``."""
-    part, order = _cols(part), _cols(order)
-    chunks = list(chunks) if chunks is not None else default_chunks(df, order)
-    df, pk, ck = _with_keys(df, part, chunks)
-
-    w_local = Window.partitionBy(*pk, *ck).orderBy(*order)
-    local = (df.withColumn("__lag", F.lag(column).over(w_local))
-             .withColumn("__first", F.row_number().over(w_local) == 1))
-
-    lasts = (df.groupBy(*pk, *ck)
-             .agg(F.max_by(F.col(column), _order_struct(order)).alias("__last")))
-    w_carry = Window.partitionBy(*pk).orderBy(*ck)
-    carry = lasts.select(*pk, *ck, F.lag("__last").over(w_carry).alias("__carry"))
-
-    res = _join_back(local, carry, pk + ck)
-    return (res.withColumn(out, F.when(F.col("__first"), F.col("__carry")).otherwise(F.col("__lag")))
-            .drop("__lag", "__first", "__carry", *pk, *ck))
+    s = scan(df, part, order, chunk_rows, sizes_from)
+    rows = s.rows.withColumn("__lag", F.lag(column).over(s.window()))
+    if not s.carry_rows:
+        return s.done(rows.withColumn(out, F.col("__lag")), "__lag")
+    rows = rows.withColumn("__first", F.row_number().over(s.window()) == 1)
+    lasts = s.summaries(s.rows, F.max_by(F.col(column), _order_struct(s.order)).alias("__last"))
+    carry = lasts.select(*s.part, _CHUNK, F.lag("__last").over(s.chunks()).alias("__carry"))
+    rows = s.join_back(rows, carry)
+    value = F.when(F.col("__first"), F.col("__carry")).otherwise(F.col("__lag"))
+    return s.done(rows.withColumn(out, value), "__lag", "__first", "__carry")
 
 
 def rollover_count(df: DataFrame, key: str, out: str, part=None, order=(),
-                   chunks: Sequence[Column] | None = None) -> DataFrame:
+                   chunk_rows: int = DEFAULT_CHUNK_ROWS, sizes_from: DataFrame | None = None) -> DataFrame:
     """``out`` = number of strict decreases of ``key`` up to this row, per ``part``.
 
     Rows must all carry a non-NULL ``key`` (filter first). Used for year
     inference: every time (month, day) goes backwards the year moves on.
     """
-    part, order = _cols(part), _cols(order)
-    chunks = list(chunks) if chunks is not None else default_chunks(df, order)
-    df, pk, ck = _with_keys(df, part, chunks)
-
-    w_local = Window.partitionBy(*pk, *ck).orderBy(*order)
-    w_run = w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bumped = df.withColumn(
-        "__bump", F.coalesce((F.col(key) < F.lag(key).over(w_local)).cast("int"), F.lit(0)))
-    local = bumped.withColumn("__local", F.sum("__bump").over(w_run))
-
-    ordk = _order_struct(order)
-    summary = bumped.groupBy(*pk, *ck).agg(
-        F.min_by(F.col(key), ordk).alias("__first_key"),
-        F.max_by(F.col(key), ordk).alias("__last_key"),
-        F.sum("__bump").alias("__inner"),
-    )
-    w_chunks = Window.partitionBy(*pk).orderBy(*ck)
-    edge = F.coalesce((F.col("__first_key") < F.lag("__last_key").over(w_chunks)).cast("int"), F.lit(0))
+    s = scan(df, part, order, chunk_rows, sizes_from)
+    bump = F.coalesce((F.col(key) < F.lag(key).over(s.window())).cast("int"), F.lit(0))
+    bumped = s.rows.withColumn("__bump", bump)
+    rows = bumped.withColumn("__local", F.sum("__bump").over(s.up_to_here()))
+    if not s.carry_rows:
+        return s.done(rows.withColumn(out, F.col("__local").cast("int")), "__bump", "__local")
+    place = _order_struct(s.order)
+    summary = s.summaries(bumped, F.min_by(F.col(key), place).alias("__first_key"),
+                          F.max_by(F.col(key), place).alias("__last_key"), F.sum("__bump").alias("__inner"))
+    edge = F.coalesce((F.col("__first_key") < F.lag("__last_key").over(s.chunks())).cast("int"), F.lit(0))
+    so_far = s.chunks().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     carry = (summary.withColumn("__edge", edge)
-             .withColumn("__carry",
-                         F.sum(F.col("__edge") + F.col("__inner")).over(
-                             w_chunks.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-                         - F.col("__inner"))
-             .select(*pk, *ck, "__carry"))
-
-    res = _join_back(local, carry, pk + ck)
-    return (res.withColumn(out, (F.col("__local") + F.col("__carry")).cast("int"))
-            .drop("__bump", "__local", "__carry", *pk, *ck))
+             .withColumn("__carry", F.sum(F.col("__edge") + F.col("__inner")).over(so_far) - F.col("__inner"))
+             .select(*s.part, _CHUNK, "__carry"))
+    rows = s.join_back(rows, carry)
+    total = (F.col("__local") + F.coalesce(F.col("__carry"), F.lit(0))).cast("int")
+    return s.done(rows.withColumn(out, total), "__bump", "__local", "__carry")

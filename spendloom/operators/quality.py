@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendloom.operators.normalise import map_roles
-from spendloom.operators.ordered import previous_value
+from spendloom.operators.ordered import DEFAULT_CHUNK_ROWS, fill_forward, running_sum
 from spendloom.schema import MONEY_DECIMAL
 
 
@@ -62,19 +62,32 @@ def header_inventory(raw_rows: DataFrame, n: int = 30) -> DataFrame:
 def reconcile(ledger: DataFrame, part: Sequence[str] | str = "statement_id",
               order: Sequence[str] | str = ("table_idx", "row_idx"),
               debit: str = "withdrawal", credit: str = "deposit", balance: str = "balance",
-              chunks: Sequence[Column] | None = None, breaks_only: bool = True) -> DataFrame:
+              chunk_rows: int = DEFAULT_CHUNK_ROWS, breaks_only: bool = True) -> DataFrame:
     """L4: check ``previous balance - debit + credit = balance`` row by row.
 
-    Adds ``prev_balance`` and ``diff`` (decimal arithmetic, returned as
-    double); with ``breaks_only`` keeps rows whose ``diff`` is not 0. The first
-    row of each ``part`` has no previous balance and is never a break.
+    Adds ``prev_balance`` (the last known balance before the row), ``diff``
+    (what the movements since then lead to, minus the row's balance; decimal
+    arithmetic, returned as double) and ``status``: ``ok``, ``break``,
+    ``no_balance`` (the row's balance is missing, so it cannot be checked; the
+    next known one is checked across it) or ``first`` (nothing known before
+    it). With ``breaks_only`` rows of status ``break`` and ``no_balance`` stay.
     """
     part = [part] if isinstance(part, str) else list(part)
     order = [order] if isinstance(order, str) else list(order)
-    with_prev = previous_value(ledger, balance, "prev_balance", part=part, order=order, chunks=chunks)
-    dec = MONEY_DECIMAL
-    zero = F.lit(0).cast(dec)
-    diff = (F.col("prev_balance").cast(dec) - F.coalesce(F.col(debit).cast(dec), zero)
-            + F.coalesce(F.col(credit).cast(dec), zero) - F.col(balance).cast(dec))
-    out = with_prev.withColumn("diff", diff.cast("double"))
-    return out.where(F.col("diff") != 0) if breaks_only else out
+    zero = F.lit(0).cast(MONEY_DECIMAL)
+
+    def money(c: str) -> Column:
+        return F.coalesce(F.col(c).try_cast(MONEY_DECIMAL), zero)
+
+    known = F.col(balance).try_cast(MONEY_DECIMAL)
+    moved = running_sum(ledger.withColumn("__move", money(credit) - money(debit)), "__move", "__moved",
+                        part=part, order=order, chunk_rows=chunk_rows)
+    base = moved.withColumn("__known", F.when(known.isNotNull(), F.struct(known.alias("balance"), F.col("__moved").alias("moved"))))
+    before = fill_forward(base, "__known", "__before", part=part, order=order, chunk_rows=chunk_rows, inclusive=False)
+    diff = F.col("__before.balance") + (F.col("__moved") - F.col("__before.moved")) - known
+    status = (F.when(known.isNull(), "no_balance").when(F.col("__before").isNull(), "first")
+              .when(diff != 0, "break").otherwise("ok"))
+    out = (before.withColumn("prev_balance", F.col("__before.balance").cast("double"))
+           .withColumn("status", status).withColumn("diff", diff.cast("double"))
+           .drop("__move", "__moved", "__known", "__before"))
+    return out.where(F.col("status").isin("break", "no_balance")) if breaks_only else out

@@ -1,7 +1,8 @@
 """Spending analytics: totals by key and period, fill-forward, cumulative spend.
 
-Totals are summed as ``decimal(18,2)`` and cast back to double, so they are
-exact and independent of partitioning. Aggregations are partial + final
+Totals are summed as decimals and cast back to double, so they are exact and
+independent of partitioning; an amount the decimal cannot hold counts as
+missing. Aggregations are partial + final
 (map-side combine), so a hot category costs one row per map task in the
 shuffle. Ordered work goes through the skew-safe scans in ``ordered``.
 """
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendloom.operators.ordered import fill_forward as _fill_forward
-from spendloom.operators.ordered import running_sum
+from spendloom.operators.ordered import DEFAULT_CHUNK_ROWS, running_sum
 from spendloom.schema import MONEY_DECIMAL
 
 GRAINS = ("month", "year")
@@ -23,7 +24,7 @@ GRAINS = ("month", "year")
 def money_sum(c) -> Column:
     """Exact money total: decimal sum, returned as double (NULL if all NULL)."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.sum(col.cast(MONEY_DECIMAL)).cast("double")
+    return F.sum(col.try_cast(MONEY_DECIMAL)).cast("double")
 
 
 def spend_by(df: DataFrame, keys: Sequence[str] | str = "Category",
@@ -53,32 +54,30 @@ def spend_by_period(df: DataFrame, date_col: str, amount: str, grain: str = "mon
 
 def fill_forward(df: DataFrame, column: str, order: Sequence[str] | str,
                  part: Sequence[str] | str | None = None, out: str | None = None,
-                 chunks: Sequence[Column] | None = None) -> DataFrame:
+                 chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """L2: replace a NULL ``column`` with the last non-NULL value before it.
 
     ``order`` must be a total order within ``part`` (no partition = one
     ordered sheet; still spread over many tasks by chunks).
     """
     order = [order] if isinstance(order, str) else list(order)
-    return _fill_forward(df, column, out or column, part=part, order=order, chunks=chunks)
+    return _fill_forward(df, column, out or column, part=part, order=order, chunk_rows=chunk_rows)
 
 
 def cumulative(df: DataFrame, date_col: str, amount: str, grain: str = "month",
                order: Sequence[str] | str = (), keys: Sequence[str] = (),
-               out: str | None = None, chunks: Sequence[Column] | None = None) -> DataFrame:
+               out: str | None = None, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """L3: running spend that resets every calendar month / year.
 
     Rows with a NULL amount add nothing but still carry the running figure.
     ``order`` defaults to ``date_col``; add a unique tie-breaker for a total
-    order. ``chunks`` must be non-decreasing along the order (see
-    ``ordered.default_chunks`` for the default).
+    order.
     """
     order = [order] if isinstance(order, str) else list(order)
     order = order or [date_col]
     out = out or f"cumulative_{grain}"
-    dfp = df.withColumn("__period", period_start(date_col, grain))
-    res = running_sum(dfp.withColumn("__amt", F.coalesce(F.col(amount).cast(MONEY_DECIMAL),
-                                                            F.lit(0).cast(MONEY_DECIMAL))),
-                      value="__amt", out=out, part=list(keys) + ["__period"], order=order,
-                      chunks=chunks, as_decimal=MONEY_DECIMAL)
-    return res.drop("__period", "__amt")
+    zero = F.lit(0).cast(MONEY_DECIMAL)
+    dated = (df.withColumn("__period", period_start(date_col, grain))
+             .withColumn("__amount", F.coalesce(F.col(amount).try_cast(MONEY_DECIMAL), zero)))
+    res = running_sum(dated, value="__amount", out=out, part=[*keys, "__period"], order=order, chunk_rows=chunk_rows)
+    return res.withColumn(out, F.col(out).cast("double")).drop("__period", "__amount")

@@ -23,8 +23,10 @@ from spendloom.operators.quality import extraction_stats, header_inventory, reco
 from spendloom.operators.spend import cumulative, fill_forward, spend_by, spend_by_period
 from spendloom.plans import derive as D
 from spendloom.session import scratch_table_path
-from spendloom.sources.readers import (consolidate, read_sheet, read_statement_csv,
+from spendloom.schema import LEDGER_HEADERS
+from spendloom.sources.readers import (consolidate, read_raw_tables, read_sheet, read_statement_csv,
                                        read_statement_text, statement_meta)
+from spendloom.sources.sinks import preview, write_ledger
 
 #: "Today" for the date cleaners, fixed so results are repeatable.
 TODAY = _dt.date(2026, 6, 1)
@@ -42,11 +44,6 @@ def _raw(spark, sf):
     return D.orders_raw_rows(_orders(spark, sf, cpu_heavy=True))
 
 
-def _order_chunks():
-    # Non-decreasing along (o_orderdate, o_orderkey); a hot day is still split.
-    return [F.to_date("o_orderdate"), F.floor(F.col("o_orderkey") / F.lit(1 << 17))]
-
-
 # ---------------------------------------------------------------------------
 # Spark side
 # ---------------------------------------------------------------------------
@@ -120,7 +117,8 @@ def q_map_roles(spark, sf):
 
 
 def q_infer_year(spark, sf):
-    y = N.infer_year(N.dated_rows(_raw(spark, sf)))
+    raw = _raw(spark, sf)
+    y = N.infer_year(N.dated_rows(raw), sizes_from=raw)
     return y.select("statement_id", F.col("table_idx").cast("long").alias("table_idx"), "row_idx",
                     F.col("year").cast("long").alias("year"), "value_date")
 
@@ -145,8 +143,33 @@ def q_ledger_head(spark, sf):
 
 
 def q_extraction_stats(spark, sf):
+    """Every customer's statement, also those that extraction found no table in."""
     raw = _raw(spark, sf)
-    return extraction_stats(raw, N.normalise_statements(raw, sort=False))
+    asked = D.table(spark, sf, "customer").select(F.concat(F.lit("stmt-"), F.col("c_custkey").cast("string")).alias("statement_id"))
+    return extraction_stats(raw, N.normalise_statements(raw, sort=False), asked)
+
+
+def q_raw_tables(spark, sf):
+    """Land the extracted tables, read the contract back, normalise."""
+    path = scratch_table_path(spark, f"raw-{uuid.uuid4().hex}")
+    _raw(spark, sf).write.parquet(path)
+    led = N.normalise_statements(read_raw_tables(spark, path), sort=False)
+    return led.withColumn("table_idx", F.col("table_idx").cast("long"))
+
+
+def q_ledger_csv(spark, sf):
+    """The five-column ledger as written, read back as text."""
+    ledger = N.drop_empty_rows(N.normalise_statements(_raw(spark, sf)))
+    path = write_ledger(ledger, scratch_table_path(spark, f"ledger-{uuid.uuid4().hex}"))
+    return spark.read.option("header", True).csv(path, schema=", ".join(f"`{c}` string" for c in LEDGER_HEADERS))
+
+
+def q_preview(spark, sf):
+    """The first rows of the ordered ledger and its size."""
+    ledger = q_normalise_statements(spark, sf)
+    head, total = preview(ledger, n=10, show=False)
+    shown = spark.createDataFrame(head, ledger.schema)
+    return shown.select("statement_id", "row_idx", "value_date", "description").withColumn("total_rows", F.lit(total).cast("long"))
 
 
 def q_header_inventory(spark, sf):
@@ -165,25 +188,25 @@ def q_cumulative_spend(spark, sf):
     o = _orders(spark, sf).select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     order = ["o_orderdate", "o_orderkey"]
     m = cumulative(o, "o_orderdate", "o_totalprice", "month", order=order, keys=["o_custkey"],
-                   out="cumulative_month", chunks=_order_chunks())
+                   out="cumulative_month")
     y = cumulative(m, "o_orderdate", "o_totalprice", "year", order=order, keys=["o_custkey"],
-                   out="cumulative_year", chunks=_order_chunks())
+                   out="cumulative_year")
     return y.select("o_orderkey", "o_custkey", "cumulative_month", "cumulative_year")
 
 
 def q_reconcile_balance(spark, sf):
+    """Accounts far above 1e15, with planted breaks (key % 97) and planted missing balances (key % 89)."""
     mv = D.orders_account_movements(_orders(spark, sf))
-    dec = "decimal(18,2)"
+    dec = "decimal(28,2)"
     mv = mv.withColumn("__delta", F.coalesce(F.col("credit").cast(dec), F.lit(0).cast(dec))
                        - F.coalesce(F.col("debit").cast(dec), F.lit(0).cast(dec)))
     order = ["o_orderdate", "o_orderkey"]
-    run = running_sum(mv, "__delta", "__running", part="o_custkey", order=order,
-                      chunks=_order_chunks(), as_decimal=dec)
-    planted = F.when(F.col("o_orderkey") % 97 == 0, F.lit(1.0)).otherwise(F.lit(0.0))
-    acct = run.withColumn("balance", (F.col("__running").cast(dec) + planted.cast(dec)).cast("double"))
-    breaks = reconcile(acct, part="o_custkey", order=order, debit="debit", credit="credit",
-                       balance="balance", chunks=_order_chunks())
-    return breaks.select("o_custkey", "o_orderkey", "balance", "prev_balance", "diff")
+    run = running_sum(mv, "__delta", "__running", part="o_custkey", order=order)
+    planted = F.when(F.col("o_orderkey") % 97 == 0, F.lit(1)).otherwise(F.lit(0))
+    balance = (F.col("__running") + F.lit(D.ACCOUNT_OPENING).cast(dec) + planted).cast(dec)
+    acct = run.withColumn("balance", F.when(F.col("o_orderkey") % 89 != 0, balance))
+    breaks = reconcile(acct, part="o_custkey", order=order, debit="debit", credit="credit", balance="balance")
+    return breaks.select("o_custkey", "o_orderkey", F.col("balance").cast("double").alias("balance"), "prev_balance", "diff", "status")
 
 
 def q_parse_sheet_date(spark, sf):
@@ -191,20 +214,29 @@ def q_parse_sheet_date(spark, sf):
     return t.select("o_orderkey", "sheet_text", S.parse_sheet_date("sheet_text").alias("sheet_date"))
 
 
-def q_consolidate(spark, sf):
-    o = _orders(spark, sf).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority",
-                                  F.year("o_orderdate").alias("y"))
-    a = o.where(F.col("y") <= 1996).drop("y")
-    b = o.where((F.col("y") > 1996) & (F.col("y") <= 1998)).drop("y", "o_orderpriority")
-    c = o.where(F.col("y") > 1998).drop("y")
-    return consolidate(a, b, c).select(F.col("period_idx").cast("long").alias("period_idx"),
-                                       "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+#: First days of the statement periods that U2 joins; each slice of ``orders`` is a pushed date range.
+PERIODS = (None, "1997-01-01", "1999-01-01", None)
 
 
-def _statement_files(spark, sf, kind: str) -> str:
+def q_consolidate(spark, sf):
+    """Text statements of three periods, read back and joined: each period's files are written on their own."""
+    periods = []
+    for first, after in zip(PERIODS, PERIODS[1:]):
+        o = _orders(spark, sf)
+        if first:
+            o = o.where(F.col("o_orderdate") >= F.lit(first).cast("timestamp_ntz"))
+        if after:
+            o = o.where(F.col("o_orderdate") < F.lit(after).cast("timestamp_ntz"))
+        periods.append(read_statement_text(spark, _statement_files(spark, o, "text")))
+    rows = consolidate(*periods)
+    return rows.select(_stmt_no(), F.col("period_idx").cast("long").alias("period_idx"), "value_date", "description",
+                       "ref_no", "debit", "credit", "balance")
+
+
+def _statement_files(spark, orders, kind: str) -> str:
     """Write the derived statement files to a fresh folder under the shared
     checkpoint location and return the glob of the files."""
-    mv = D.orders_statement_movements(_orders(spark, sf), running_sum)
+    mv = D.orders_statement_movements(orders, running_sum)
     lines = D.statement_text_lines(mv) if kind == "text" else D.statement_csv_lines(mv)
     path = scratch_table_path(spark, f"statements-{kind}-{uuid.uuid4().hex}")
     D.write_statement_files(lines, path)
@@ -216,18 +248,18 @@ def _stmt_no(c="statement_id"):
 
 
 def q_statement_text(spark, sf):
-    rows = read_statement_text(spark, _statement_files(spark, sf, "text"))
+    rows = read_statement_text(spark, _statement_files(spark, _orders(spark, sf), "text"))
     return rows.select(_stmt_no(), "txn_date", "value_date", "description", "ref_no",
                        "debit", "credit", "balance")
 
 
 def q_statement_meta(spark, sf):
-    meta = statement_meta(spark, _statement_files(spark, sf, "text"))
-    return meta.select(_stmt_no(), "period_start", "period_end", "opening_balance", "opening_balance_date")
+    meta = statement_meta(spark, _statement_files(spark, _orders(spark, sf), "text"))
+    return meta.select(_stmt_no(), "period_start", "period_end", "opening_balance", "opening_balance_date", "status")
 
 
 def q_statement_csv(spark, sf):
-    rows = read_statement_csv(spark, _statement_files(spark, sf, "csv"))
+    rows = read_statement_csv(spark, _statement_files(spark, _orders(spark, sf), "csv"))
     return rows.select(_stmt_no(), "value_date", "description", "ref_no", "debit", "credit", "balance")
 
 
@@ -272,6 +304,9 @@ QUERIES: dict[str, Query] = {
     "ledger_head": q_ledger_head,
     "extraction_stats": q_extraction_stats,
     "header_inventory": q_header_inventory,
+    "raw_tables": q_raw_tables,
+    "ledger_csv": q_ledger_csv,
+    "preview": q_preview,
     "fill_forward": q_fill_forward,
     "cumulative_spend": q_cumulative_spend,
     "reconcile_balance": q_reconcile_balance,
@@ -372,48 +407,25 @@ t AS (
   FROM orders)
 """
 
+# The planted payment rows: which number a text leads with, told from its shape.
+# The first token of an amount pattern is at most three digits long unless a
+# two-digit fraction follows them.
 _PAYMENT = f"""
 t AS (
-  SELECT o_orderkey,
-         CAST(o_orderkey % 1000 + 1 AS VARCHAR) || '.' || lpad(CAST(o_custkey % 100 AS VARCHAR), 2, '0') AS amt,
-         o_orderstatus, o_custkey, {_MONEY} AS balance_cell
+  SELECT o_orderkey, o_orderkey % 5 AS k, {_PRICE} AS bal,
+         o_orderkey % 1000 + 1 AS units, CAST(o_custkey % 100 AS DOUBLE) / 100 AS cents,
+         NULLIF(CAST(substr(CAST(o_custkey AS VARCHAR), 1, 3) AS DOUBLE), 0) AS payee,
+         NULLIF(CAST(substr(CAST(o_orderkey AS VARCHAR), 1, 3) AS DOUBLE), 0) AS ref,
+         o_orderstatus AS status, o_orderkey % 3 = 0 AS has_cell
   FROM orders),
-u AS (
-  SELECT o_orderkey, balance_cell,
-         CASE o_orderkey % 5
-           WHEN 0 THEN 'UPI/PAYEE ' || CAST(o_custkey AS VARCHAR) || '/' || amt
-           WHEN 1 THEN 'SALARY CREDIT ' || amt
-           WHEN 2 THEN 'NEFT CREDIT ref ' || CAST(o_orderkey AS VARCHAR) || ' amt ' || amt
-           WHEN 3 THEN 'POS PURCHASE ' || amt || ' bal ' || balance_cell
-           ELSE 'misc ' || amt END AS txt,
-         CASE WHEN o_orderstatus = 'F' AND o_orderkey % 3 = 0 THEN amt END AS withdrawal_cell,
-         CASE WHEN o_orderstatus = 'O' AND o_orderkey % 3 = 0 THEN amt END AS deposit_cell
-  FROM t),
 v AS (
-  SELECT *, {_clean_amount('balance_cell')} AS bal,
-         list_concat(list_concat(
-             regexp_extract_all(txt, '(\\d{{1,3}}(?:,\\d{{3}})*(?:\\.\\d{{2}})?)', 1),
-             regexp_extract_all(txt, '(\\d+\\.\\d{{2}})', 1)),
-             regexp_extract_all(txt, '(\\d+)', 1)) AS toks
-  FROM u)
+  SELECT *, CAST(units AS DOUBLE) + cents AS amt,
+         CASE WHEN units = 1000 THEN 100.0 ELSE CAST(units AS DOUBLE) + cents END AS lead
+  FROM t)
 """
 
 
-def _extract_sql(cell: str, words: list[str], out: str) -> str:
-    cell_amt = _clean_amount(cell)
-    kw = " OR ".join(f"strpos(upper(txt), '{w}') > 0" for w in words)
-    cands = (f"list_filter(list_transform(toks, lambda t: {_clean_amount('t')}), "
-             f"lambda a: a > 0 AND (bal IS NULL OR a <> bal))")
-    return (_with(_PAYMENT) +
-            f"SELECT o_orderkey, COALESCE("
-            f"CASE WHEN {cell} IS NOT NULL AND {cell_amt} > 0 AND (bal IS NULL OR {cell_amt} <> bal) "
-            f"THEN {cell_amt} END, "
-            f"CASE WHEN {kw} THEN {cands}[1] END) AS {out} FROM v")
-
-
 def _oracles() -> dict[str, str]:
-    from spendloom.schema import DEPOSIT_KEYWORDS, WITHDRAWAL_KEYWORDS
-
     sql: dict[str, str] = {}
     sql["spend_by_category"] = """
 SELECT NULLIF(o_orderpriority, '5-LOW') AS Category,
@@ -451,29 +463,16 @@ FROM t"""
     sql["clean_date_strict"] = _with(_DATE_SHAPES) + """
 SELECT o_orderkey, date_text,
        CASE k WHEN 5 THEN this_year WHEN 6 THEN this_year
-              -- yyyy-mm-dd: the dd?mm?yy pattern reads "yy-mm-dd" from the 3rd
-              -- character, a real date only when yy = 01 (day 1, year 20dd).
-              WHEN 9 THEN CASE WHEN year(o_orderdate) = 2001
-                               THEN strftime(make_date(2000 + day(o_orderdate), month(o_orderdate), 1), '%Y-%m-%d')
-                          END
               WHEN 8 THEN CASE WHEN month(o_orderdate) = 5 THEN iso END
               ELSE iso END AS clean_date
 FROM t"""
-    steps = "txt"
-    for p in S.description_patterns():
-        steps = f"regexp_replace({steps}, '(?is){p}', '', 'g')"
-    collapsed = f"regexp_replace({steps}, '{_WS}+', ' ', 'g')"
+    # With a phone marker the statement date line goes, up to the marker; a
+    # closing balance line and a header caption go; the rest keeps its words.
     sql["clean_description"] = f"""
 WITH t AS (
-  SELECT doc_id,
-         CASE doc_id % 5
-           WHEN 0 THEN 'STATEMENT DATE ' || text || ' Phone No.: 12345 tail'
-           WHEN 1 THEN text || ' Balance Brought Forward'
-           WHEN 2 THEN 'Date   Value Description Date ' || text
-           WHEN 3 THEN 'ACCOUNT NO ' || text
-           ELSE text END AS txt
+  SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'tail' WHEN 3 THEN 'ACCOUNT NO ' || text ELSE text END AS left_over
   FROM documents)
-SELECT doc_id, NULLIF({_strip(collapsed)}, '') AS description FROM t"""
+SELECT doc_id, NULLIF({_strip(f"regexp_replace(left_over, '{_WS}+', ' ', 'g')")}, '') AS description FROM t"""
     sql["format_description"] = f"""
 WITH t AS (
   SELECT page_id,
@@ -512,8 +511,15 @@ SELECT o_orderkey, txt,
        CASE WHEN k IN (0, 2, 3, 4) THEN m END AS month,
        CASE WHEN k IN (0, 2, 3) THEN d WHEN k = 4 THEN century_digits END AS day
 FROM t"""
-    sql["extract_withdrawal"] = _extract_sql("withdrawal_cell", WITHDRAWAL_KEYWORDS, "withdrawal")
-    sql["extract_deposit"] = _extract_sql("deposit_cell", DEPOSIT_KEYWORDS, "deposit")
+    # UPI, NEFT and POS PURCHASE rows are withdrawals, SALARY and NEFT CREDIT rows deposits
+    sql["extract_withdrawal"] = _with(_PAYMENT) + """
+SELECT o_orderkey, CASE WHEN status = 'F' AND has_cell AND amt <> bal THEN amt
+                        WHEN k = 0 THEN COALESCE(payee, lead) WHEN k = 2 THEN COALESCE(ref, lead) WHEN k = 3 THEN lead END AS withdrawal
+FROM v"""
+    sql["extract_deposit"] = _with(_PAYMENT) + """
+SELECT o_orderkey, CASE WHEN status = 'O' AND has_cell AND amt <> bal THEN amt
+                        WHEN k = 1 THEN lead WHEN k = 2 THEN COALESCE(ref, lead) END AS deposit
+FROM v"""
     sql["map_roles"] = _with(_ORDERS_BASE) + """
 SELECT statement_id, table_idx, row_idx,
        CAST(CASE variant WHEN 3 THEN 0 ELSE 1 END AS BIGINT) AS pos_date_desc,
@@ -533,13 +539,23 @@ FROM dated"""
     sql["ledger_head"] = (_with(_ORDERS_BASE) +
                           "SELECT * FROM ledger ORDER BY value_date, statement_id, table_idx, row_idx LIMIT 10")
     sql["extraction_stats"] = _with(_ORDERS_BASE) + """
-SELECT o.statement_id,
+SELECT s.statement_id,
        CAST(COUNT(DISTINCT o.table_idx) AS BIGINT) AS tables_found,
        CAST(COUNT(DISTINCT CASE WHEN o.variant IN (0, 1) THEN o.table_idx END) AS BIGINT) AS usable_tables,
-       CAST(COUNT(*) AS BIGINT) AS raw_rows,
+       CAST(COUNT(o.row_idx) AS BIGINT) AS raw_rows,
        CAST(COUNT(l.row_idx) AS BIGINT) AS ledger_rows
-FROM o LEFT JOIN ledger l ON o.statement_id = l.statement_id AND o.row_idx = l.row_idx
-GROUP BY o.statement_id"""
+FROM (SELECT 'stmt-' || CAST(c_custkey AS VARCHAR) AS statement_id FROM customer) s
+LEFT JOIN o ON o.statement_id = s.statement_id
+LEFT JOIN ledger l ON o.statement_id = l.statement_id AND o.row_idx = l.row_idx
+GROUP BY s.statement_id"""
+    sql["raw_tables"] = _with(_ORDERS_BASE) + "SELECT * FROM ledger"
+    sql["ledger_csv"] = _with(_ORDERS_BASE) + """
+SELECT value_date AS "Value Date", description AS "Description", CAST(deposit AS VARCHAR) AS "Deposit",
+       CAST(withdrawal AS VARCHAR) AS "Withdrawal", CAST(balance AS VARCHAR) AS "Balance"
+FROM ledger"""
+    sql["preview"] = _with(_ORDERS_BASE) + """
+SELECT statement_id, row_idx, value_date, description, (SELECT COUNT(*) FROM ledger) AS total_rows
+FROM ledger ORDER BY value_date, statement_id, table_idx, row_idx LIMIT 10"""
     sql["header_inventory"] = _with(_ORDERS_BASE) + f"""
 SELECT statement_id, table_idx,
        CASE variant WHEN 0 THEN ' Value Date |Deposits|Withdrawals|Balance'
@@ -562,24 +578,26 @@ SELECT o_orderkey, o_custkey,
          PARTITION BY o_custkey, date_trunc('year', o_orderdate) ORDER BY o_orderdate, o_orderkey
          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS cumulative_year
 FROM orders"""
-    sql["reconcile_balance"] = """
+    sql["reconcile_balance"] = f"""
 WITH mv AS (
   SELECT o_custkey, o_orderkey, o_orderdate,
-         CASE WHEN o_orderstatus = 'F' THEN CAST(o_totalprice AS DECIMAL(12,2)) END AS debit,
-         CASE WHEN o_orderstatus = 'O' THEN CAST(o_totalprice AS DECIMAL(12,2)) END AS credit
+         CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'F' THEN -1 ELSE 0 END * CAST(o_totalprice AS DECIMAL(12,2)) AS move
   FROM orders),
 acct AS (
-  SELECT *, SUM(COALESCE(credit, 0) - COALESCE(debit, 0)) OVER (
-              PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
-              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-            + CASE WHEN o_orderkey % 97 = 0 THEN 1 ELSE 0 END AS bal
+  SELECT *, SUM(move) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS moved,
+         CASE WHEN o_orderkey % 97 = 0 THEN 1 ELSE 0 END AS planted
   FROM mv),
+bal AS (
+  SELECT *, CASE WHEN o_orderkey % 89 <> 0 THEN CAST({D.ACCOUNT_OPENING} AS DECIMAL(28,2)) + moved + planted END AS bal FROM acct),
 chk AS (
-  SELECT *, LAG(bal) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS prev
-  FROM acct)
+  SELECT *, LAST_VALUE(bal IGNORE NULLS) OVER w AS prev,
+         LAST_VALUE(CASE WHEN bal IS NOT NULL THEN planted END IGNORE NULLS) OVER w AS prev_planted
+  FROM bal WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
 SELECT o_custkey, o_orderkey, CAST(bal AS DOUBLE) AS balance, CAST(prev AS DOUBLE) AS prev_balance,
-       CAST(prev - COALESCE(debit, 0) + COALESCE(credit, 0) - bal AS DOUBLE) AS diff
-FROM chk WHERE prev - COALESCE(debit, 0) + COALESCE(credit, 0) - bal <> 0"""
+       CASE WHEN bal IS NOT NULL THEN CAST(prev_planted - planted AS DOUBLE) END AS diff,
+       CASE WHEN bal IS NULL THEN 'no_balance' ELSE 'break' END AS status
+FROM chk WHERE bal IS NULL OR prev_planted <> planted"""
     sql["parse_sheet_date"] = """
 SELECT o_orderkey,
        CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%-d-%-m-%Y')
@@ -588,18 +606,9 @@ SELECT o_orderkey,
             ELSE make_date(CAST(2000 + year(o_orderdate) % 100 AS BIGINT), month(o_orderdate),
                            day(o_orderdate)) END AS sheet_date
 FROM orders"""
-    sql["consolidate"] = """
-SELECT CAST(0 AS BIGINT) AS period_idx, o_orderkey, o_custkey, o_totalprice, o_orderpriority
-FROM orders WHERE year(o_orderdate) <= 1996
-UNION ALL
-SELECT CAST(1 AS BIGINT), o_orderkey, o_custkey, o_totalprice, NULL
-FROM orders WHERE year(o_orderdate) > 1996 AND year(o_orderdate) <= 1998
-UNION ALL
-SELECT CAST(2 AS BIGINT), o_orderkey, o_custkey, o_totalprice, o_orderpriority
-FROM orders WHERE year(o_orderdate) > 1998"""
     stmt_rows = f"""
 WITH mv AS (
-  SELECT CAST(o_custkey % {D.STATEMENT_FILES} AS BIGINT) AS stmt, o_orderkey, o_orderdate, o_orderpriority,
+  SELECT CAST(o_custkey // {D.STATEMENT_CUSTOMERS} AS BIGINT) AS stmt, o_orderkey, o_orderdate, o_orderpriority,
          o_orderstatus,
          CASE WHEN o_orderstatus = 'F' THEN CAST(o_totalprice AS DECIMAL(12,2)) END AS debit,
          CASE WHEN o_orderstatus = 'O' THEN CAST(o_totalprice AS DECIMAL(12,2)) END AS credit
@@ -615,21 +624,29 @@ bal AS (
     sql["statement_text"] = stmt_rows + f"""
 SELECT stmt, CAST(o_orderdate AS DATE) AS txn_date, CAST(o_orderdate AS DATE) AS value_date,
        {cols}
+FROM bal"""
+    # Every period's file opens at the same balance and runs on its own.
+    sql["consolidate"] = stmt_rows.replace("PARTITION BY stmt", "PARTITION BY stmt, period_idx").replace(
+        "SELECT CAST(o_custkey //", """SELECT CAST(CASE WHEN o_orderdate < TIMESTAMP '1997-01-01' THEN 0
+                   WHEN o_orderdate < TIMESTAMP '1999-01-01' THEN 1 ELSE 2 END AS BIGINT) AS period_idx,
+         CAST(o_custkey //""") + f"""
+SELECT stmt, period_idx, CAST(o_orderdate AS DATE) AS value_date,
+       {cols}
 FROM bal"""
     sql["statement_csv"] = stmt_rows + f"""
 SELECT stmt, CAST(o_orderdate AS DATE) AS value_date,
        {cols}
 FROM bal"""
     sql["statement_meta"] = f"""
-SELECT CAST(o_custkey % {D.STATEMENT_FILES} AS BIGINT) AS stmt,
+SELECT CAST(o_custkey // {D.STATEMENT_CUSTOMERS} AS BIGINT) AS stmt,
        CAST(MIN(o_orderdate) AS DATE) AS period_start, CAST(MAX(o_orderdate) AS DATE) AS period_end,
        CAST({D.OPENING_BALANCE} AS DOUBLE) AS opening_balance,
-       CAST(MIN(o_orderdate) AS DATE) AS opening_balance_date
+       CAST(MIN(o_orderdate) AS DATE) AS opening_balance_date, 'ok' AS status
 FROM orders GROUP BY 1"""
     # Sheets: the dated rows' dates, carried down each file in key order.
     sheets = f"""
 WITH s AS (
-  SELECT CAST(o_custkey % {D.SHEET_FILES} AS BIGINT) AS grp, o_orderkey,
+  SELECT CAST(o_custkey // {D.SHEET_CUSTOMERS} AS BIGINT) AS grp, o_orderkey,
          'order ' || CAST(o_orderkey AS VARCHAR) AS item,
          CASE WHEN o_orderkey % 8 = 1 THEN CAST(o_orderdate AS DATE)
               WHEN o_orderkey % 4 = 1 THEN make_date(CAST(2000 + year(o_orderdate) % 100 AS BIGINT),

@@ -27,18 +27,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendloom.session import spread
-
 START_YEAR_OFFSET = 1995
 
 
+#: Session setting: deal the rows of ``cpu_heavy`` inputs out to so many tasks.
+#: Unset by default; for tables stored as one row group, which no reader
+#: setting can split.
+INPUT_PARTITIONS = "spendloom.input.partitions"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, cpu_heavy: bool = False) -> DataFrame:
     """A driver table. ``cpu_heavy`` marks inputs whose per-row work before the
-    first shuffle dominates (text cleaners, statement normalisation): those
-    are spread when the scan is under-split. Inputs that go straight into a
-    shuffle keep the scan's partitioning, so no extra exchange is added."""
+    first shuffle dominates (text cleaners, statement normalisation); only for
+    those, INPUT_PARTITIONS counts."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if cpu_heavy else df
+    wanted = spark.conf.get(INPUT_PARTITIONS, None) if cpu_heavy else None
+    return df.repartition(int(wanted)) if wanted else df
 
 
 def money_text(c: Column) -> Column:
@@ -48,7 +52,7 @@ def money_text(c: Column) -> Column:
 
 def grouped_text(c: Column) -> Column:
     """``123,456.50``: 2-decimal text with thousands separators."""
-    return F.format_number(c.cast("decimal(12,2)"), 2)
+    return F.format_number(c.cast("decimal(28,2)"), 2)
 
 
 def orders_raw_rows(orders: DataFrame) -> DataFrame:
@@ -210,8 +214,11 @@ def orders_sheet_date_text(orders: DataFrame) -> DataFrame:
 # Statement files (text and consolidated CSV) written from orders
 # ---------------------------------------------------------------------------
 
-#: Statements (files) the orders are folded into: ``o_custkey % STATEMENT_FILES``.
-STATEMENT_FILES = 64
+#: Customers per derived statement (file): ``o_custkey div STATEMENT_CUSTOMERS``,
+#: so the number of statements follows the data.
+STATEMENT_CUSTOMERS = 256
+#: Opening balance of every derived account: beyond what a double holds to the cent.
+ACCOUNT_OPENING = "1000000000000000000"
 #: Opening balance of every derived statement.
 OPENING_BALANCE = 100000
 STATEMENT_HEADER = "\t".join(["Txn Date", "Value Date", "Description", "Ref No./Cheque No.",
@@ -227,18 +234,15 @@ def orders_statement_movements(orders: DataFrame, running_sum) -> DataFrame:
     """
     price = F.col("o_totalprice").cast("decimal(12,2)")
     mv = orders.select(
-        (F.col("o_custkey") % STATEMENT_FILES).alias("stmt"), "o_orderkey", "o_orderdate",
+        F.expr(f"o_custkey div {STATEMENT_CUSTOMERS}").alias("stmt"), "o_orderkey", "o_orderdate",
         "o_orderpriority", "o_orderstatus",
         F.when(F.col("o_orderstatus") == "F", price).alias("debit"),
         F.when(F.col("o_orderstatus") == "O", price).alias("credit"))
     dec = "decimal(18,2)"
     mv = mv.withColumn("__delta", F.coalesce(F.col("credit").cast(dec), F.lit(0).cast(dec))
                        - F.coalesce(F.col("debit").cast(dec), F.lit(0).cast(dec)))
-    chunks = [F.to_date("o_orderdate"), F.floor(F.col("o_orderkey") / F.lit(1 << 17))]
-    run = running_sum(mv, "__delta", "__run", part="stmt", order=["o_orderdate", "o_orderkey"],
-                      chunks=chunks, as_decimal=dec)
-    return run.withColumn("balance", (F.col("__run").cast(dec) + F.lit(OPENING_BALANCE)).cast("decimal(18,2)")) \
-              .drop("__delta", "__run")
+    run = running_sum(mv, "__delta", "__run", part="stmt", order=["o_orderdate", "o_orderkey"])
+    return run.withColumn("balance", (F.col("__run") + F.lit(OPENING_BALANCE)).cast("decimal(28,2)")).drop("__delta", "__run")
 
 
 def _blank_or(text: Column) -> Column:
@@ -303,7 +307,7 @@ def write_statement_files(lines: DataFrame, path: str) -> str:
     Rows are hash-partitioned by statement and sorted within each task, so
     every statement is written by one task in line order.
     """
-    (lines.repartition(STATEMENT_FILES, "stmt")
+    (lines.repartition("stmt")
      .sortWithinPartitions("stmt", "section", "k1", "k2")
      .select("stmt", "value")
      .write.mode("overwrite").partitionBy("stmt").text(path))
@@ -314,8 +318,8 @@ def write_statement_files(lines: DataFrame, path: str) -> str:
 # Expense sheets (CSV) written from orders
 # ---------------------------------------------------------------------------
 
-#: Sheets (files) the orders are folded into: ``o_custkey % SHEET_FILES``.
-SHEET_FILES = 16
+#: Customers per derived sheet (file): ``o_custkey div SHEET_CUSTOMERS``.
+SHEET_CUSTOMERS = 1024
 
 
 def orders_sheet_rows(orders: DataFrame) -> DataFrame:
@@ -332,7 +336,7 @@ def orders_sheet_rows(orders: DataFrame) -> DataFrame:
                        .otherwise(F.date_format(d, "d-M-yy")))
     none = F.lit(None).cast("double")
     return orders.select(
-        (F.col("o_custkey") % SHEET_FILES).alias("grp"), "o_orderkey",
+        F.expr(f"o_custkey div {SHEET_CUSTOMERS}").alias("grp"), "o_orderkey",
         date_text.alias("Date"),
         F.concat(F.lit("order "), k.cast("string")).alias("Item"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("Expenditure"),
@@ -342,7 +346,7 @@ def orders_sheet_rows(orders: DataFrame) -> DataFrame:
 
 def write_sheet_files(rows: DataFrame, path: str) -> str:
     """One CSV per sheet with its header, rows in key order: ``<path>/grp=<n>/part-*``."""
-    (rows.repartition(SHEET_FILES, "grp")
+    (rows.repartition("grp")
      .sortWithinPartitions("grp", "o_orderkey")
      .drop("o_orderkey")
      .write.mode("overwrite").partitionBy("grp").option("header", True).csv(path))

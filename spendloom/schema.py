@@ -8,7 +8,7 @@ defaults: callers pass their own through ``extra_noise_terms``.
 
 from __future__ import annotations
 
-from pyspark.sql.types import (ArrayType, DateType, DoubleType, IntegerType,
+from pyspark.sql.types import (ArrayType, DoubleType, IntegerType,
                                LongType, StringType, StructField, StructType)
 
 # ---------------------------------------------------------------------------
@@ -48,22 +48,10 @@ LEDGER_SCHEMA = StructType([
     StructField("balance", DoubleType()),
 ])
 
-#: Normalised ledger with lineage and order keys kept.
-NORMALISED_SCHEMA = StructType([
-    StructField("statement_id", StringType()),
-    StructField("table_idx", IntegerType()),
-    StructField("row_idx", LongType()),
-    StructField("value_date", StringType()),
-    StructField("value_date_valid", DateType()),
-    StructField("description", StringType()),
-    StructField("deposit", DoubleType()),
-    StructField("withdrawal", DoubleType()),
-    StructField("balance", DoubleType()),
-])
-
-#: Money is summed as this decimal, then cast back to double, so totals do
-#: not depend on the order rows reach the aggregate.
-MONEY_DECIMAL = "decimal(18,2)"
+#: Money is summed as this decimal and cast to double in the last projection,
+#: so totals do not depend on the order rows reach the aggregate. Amounts it
+#: cannot hold (beyond 24 digits before the point) become NULL.
+MONEY_DECIMAL = "decimal(30,6)"
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES (must match the reference behaviour exactly)
@@ -109,11 +97,28 @@ NARROW_NOISE_TERMS = ["STATEMENT DATE", "CURRENCY", "ACCOUNT TYPE", "ACCOUNT NO"
                       "NOMINEE REGISTERED", "BRANCH ADDRESS", "IFSC", "MICR CODE",
                       "Phone No", "Balance Brought Forward"]
 
+#: Date patterns of the date cleaner, tried in this order. Java's \s knows
+#: fewer white-space characters than Python's, so the cleaners put their own
+#: class in its place; nothing else changes.
+DATE_PATTERNS = [
+    r"(\d{2})[/-](\d{2})[/-](\d{4})",
+    r"(\d{2})[/-](\d{2})[/-](\d{2})",
+    r"([A-Za-z]{3})\s+(\d{1,2})(?:\s+(\d{4}))?",
+    r"(\d{1,2})\s+([A-Za-z]{3})(?:\s+(\d{4}))?",
+]
+
+#: First "three letters, white space, one or two digits" token.
+MONTH_DAY_PATTERN = r"([A-Za-z]{3})\s+(\d{1,2})"
+
+#: RTGS or NEFT credit or debit wording (case-insensitive).
+BANK_TRANSFER_PATTERN = r"(RTGS|NEFT)\s+(CRED|DEB)"
+
 #: Description clean-up: each label starts a span that runs to the next
-#: phone marker. Locality terms (caller supplied) go after BRANCH ADDRESS.
-DESCRIPTION_LABELS_HEAD = ["STATEMENT DATE", "CURRENCY", "ACCOUNT TYPE", "ACCOUNT NO",
-                           "NOMINEE REGISTERED", "BRANCH ADDRESS"]
-DESCRIPTION_LABELS_TAIL = ["IFSC", "MICR CODE"]
+#: phone marker.
+DESCRIPTION_LABELS = ["STATEMENT DATE", "CURRENCY", "ACCOUNT TYPE", "ACCOUNT NO",
+                      "NOMINEE REGISTERED", "BRANCH ADDRESS", "IFSC", "MICR CODE"]
+#: The caller's locality terms go after this label.
+DESCRIPTION_TERMS_AFTER = "BRANCH ADDRESS"
 #: Span terminator, the bare marker, and two literal captions, in this order.
 PHONE_MARKER = r"Phone No\.: \d+"
 DESCRIPTION_TRAILING_PATTERNS = [r"Phone No\.: \d+", r"Balance Brought Forward",

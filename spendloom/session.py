@@ -2,89 +2,61 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every job relies on: ANSI off-path behaviour is handled with try_*
-# functions, so ANSI mode is left at Spark's default (on).
+#: Set where the session does not say otherwise.
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # HotSpot does not JIT methods above 8000 bytes of bytecode. The cleaners
-    # fuse into long string pipelines; with this limit Spark runs such a stage
-    # with per-operator (split, JIT-able) code instead of one huge method.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
 }
 
 
 def get_session(app: str = "spendloom", master: str | None = None,
                 shuffle_partitions: int | None = None,
                 extra: dict[str, str] | None = None) -> SparkSession:
-    """Return the active session, or build one with the library defaults.
+    """Return the active session, or build one.
 
-    On a cluster the launcher already made the session; this only fills in
-    settings that are unset. ``master`` is used for local runs and tests.
+    Settings that the launcher made stay as they are; only those that are
+    unset get the library's defaults. ``master``, ``shuffle_partitions`` and
+    ``extra`` are the caller's own wishes, for local runs and tests.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = dict(_DEFAULTS)
-    if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+    for k, v in (extra or {}).items():
         builder = builder.config(k, v)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    made = spark.conf.getAll
+    for k, v in _DEFAULTS.items():
+        if k not in made:
+            spark.conf.set(k, v)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting wins. Only when it is unset (local runs, tests) is a
-    fresh scratch folder created and registered, so lineage cuts never land in
-    a machine-local folder on a real cluster.
+    The cluster's setting wins. A temporary folder stands in for it on a local
+    master only: on a cluster every executor would write to its own disk.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="spendloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
     return path
 
 
 def scratch_table_path(spark: SparkSession, name: str) -> str:
-    """A table location under the shared checkpoint folder."""
-    return os.path.join(checkpoint_dir(spark), name)
-
-
-def spread(df, min_bytes_per_task: int = 256 << 10):
-    """Give an under-split input up to the session's parallelism.
-
-    A small file stored as one Parquet row group is read by one task, so all
-    per-row work after the scan (regex cleaning, role mapping) would run on
-    one core. When the scan yields fewer partitions than
-    ``defaultParallelism`` the rows are spread round-robin over
-    ``min(defaultParallelism, estimated bytes / min_bytes_per_task)``
-    partitions, so a small table on a large cluster is not cut into
-    thousands of empty tasks. Filters and column pruning still reach the
-    scan below the repartition. Inputs that already have enough splits (any
-    large table) are returned unchanged, so no shuffle is added at scale.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    current = df.rdd.getNumPartitions()
-    if current >= target:
-        return df
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        target = max(1, min(target, size // min_bytes_per_task))
-    except Exception:  # no size estimate: use the parallelism as it is
-        pass
-    return df.repartition(target) if target > current else df
+    """A table location under the shared checkpoint folder, removed when the application ends."""
+    path = f"{checkpoint_dir(spark)}/{name}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path

@@ -5,18 +5,30 @@ single-task step: ``_metadata.file_block_start`` orders the splits of a file
 and ``monotonically_increasing_id()`` orders lines inside a split, so
 ``(source_file, src_block, src_pos)`` follows the file's line order while the
 file is still read by many tasks in parallel.
+
+Columns are found by caption, and every file has its own header line: files
+with other column orders can be read together. The header lines and the lines
+that end a statement are few; one scan finds them, they are written to the
+shared scratch folder, and the rows are joined to their file's.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendloom.functions.scalars import WS, clean_amount, parse_day_month_yy, py_strip
 from spendloom.schema import (OPENING_BALANCE_PREFIX, RAW_ROWS_SCHEMA,
                               SHEET_SCHEMA, STATEMENT_META_KEYS)
+from spendloom.session import scratch_table_path
 
 ORDER_COLUMNS = ["source_file", "src_block", "src_pos"]
+#: Files up to which their header lines are broadcast.
+BROADCAST_FILES = 10_000
+BOM = "\ufeff"
 
 
 def _with_order(df: DataFrame) -> DataFrame:
@@ -26,19 +38,78 @@ def _with_order(df: DataFrame) -> DataFrame:
                      *[F.col(c) for c in df.columns])
 
 
+def _kept(df: DataFrame, label: str) -> DataFrame:
+    """Write a small table to the shared scratch folder and read it back."""
+    path = scratch_table_path(df.sparkSession, f"{label}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _per_file(rows: DataFrame, files: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join each file's few facts to its rows; broadcast while the files are few.
+
+    Beyond that, a join on the file that Spark can split where one file is large.
+    """
+    return rows.join(F.broadcast(files) if files.count() <= BROADCAST_FILES else files, key, how)
+
+
+# ---------------------------------------------------------------------------
+# CSV with captions
+# ---------------------------------------------------------------------------
+
+def captioned_csv(spark: SparkSession, path: str, captions: Mapping[str, str]) -> DataFrame:
+    """CSV files as text columns found by caption, each file by its own header.
+
+    ``captions`` maps output names to captions, compared after stripping
+    white space and a byte order mark. A caption that a file lacks gives NULL.
+    The header is a file's first line that is not blank; blank lines are
+    skipped; a quoted field may hold commas but no line break.
+    """
+    lines = (_with_order(spark.read.text(path))
+             .select(*ORDER_COLUMNS, F.regexp_replace("value", r"\r$", "").alias("line"))
+             .where(py_strip("line") != ""))
+    place = F.struct("src_block", "src_pos")
+    first = lines.groupBy("source_file").agg(F.min(place).alias("at"), F.min_by("line", place).alias("header"))
+    first = _kept(first.withColumn("header", F.regexp_replace("header", f"^{BOM}", "")), "csv-headers")
+    width = first.agg(F.max(F.size(F.split("header", ",", -1)))).first()[0] or 1
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    fields = F.array(*[F.col(f"f.c{i}") for i in range(width)])
+    heads = (first.withColumn("f", F.from_csv("header", schema)).withColumn("heads", F.transform(fields, py_strip))
+             .select("source_file", "at", *[F.array_position("heads", caption).cast("int").alias(f"at_{name}") for name, caption in captions.items()]))
+    rows = _per_file(lines, heads, "source_file").where(place > F.col("at"))
+    rows = rows.withColumn("f", F.from_csv("line", schema)).withColumn("cells", fields)
+    return rows.select(*ORDER_COLUMNS, *[F.when(F.col(f"at_{name}") > 0, F.get("cells", F.col(f"at_{name}") - 1)).alias(name) for name in captions])
+
+
 # ---------------------------------------------------------------------------
 # S1 sheet
 # ---------------------------------------------------------------------------
 
 def read_sheet(spark: SparkSession, path: str, schema=SHEET_SCHEMA, infer: bool = False,
                with_order: bool = True) -> DataFrame:
-    """CSV with a header row. An explicit schema avoids the inference pass;
-    ``infer=True`` reproduces header + inferSchema. With ``with_order`` the
-    file order columns ``source_file, src_block, src_pos`` are added."""
-    reader = spark.read.option("header", True)
-    reader = reader.option("inferSchema", True) if infer else reader.schema(schema)
-    df = reader.csv(path)
-    return _with_order(df) if with_order else df
+    """CSV with a header row, columns found by caption.
+
+    Amounts are read as text and cleaned (``"1,250.50"`` is 1250.5). With
+    ``with_order`` the file order columns ``source_file, src_block, src_pos``
+    and ``bad_cells`` (filled amount cells of the row that hold no amount) are
+    added. ``infer=True`` reproduces header + inferSchema instead.
+    """
+    if infer:
+        df = spark.read.option("header", True).option("inferSchema", True).csv(path)
+        return _with_order(df) if with_order else df
+    raw = captioned_csv(spark, path, {f.name: f.name for f in schema.fields})
+    bad = F.lit(0)
+    out = []
+    for f in schema.fields:
+        # an empty cell is a missing one; the reader strips nothing else from text
+        cell = F.when(py_strip(F.col(f"`{f.name}`")) != "", F.col(f"`{f.name}`"))
+        if f.dataType.typeName() == "double":
+            value = clean_amount(cell)
+            bad = bad + (cell.isNotNull() & value.isNull()).cast("int")
+            out.append(value.alias(f.name))
+        else:
+            out.append(cell.cast(f.dataType).alias(f.name))
+    return raw.select(*ORDER_COLUMNS, *out, bad.alias("bad_cells")) if with_order else raw.select(*out)
 
 
 # ---------------------------------------------------------------------------
@@ -97,15 +168,22 @@ def _is_header(line: Column) -> Column:
             & F.array_contains(fields, "Balance") & F.array_contains(fields, "Description"))
 
 
-def _located(lines: DataFrame) -> DataFrame:
-    """Attach the header position/text and the first blank line after it."""
-    hdr = (lines.where(_is_header(F.col("line")))
-           .groupBy("statement_id")
-           .agg(F.min("k").alias("hk"), F.min_by("line", "k").alias("header_line")))
-    j = lines.join(hdr, "statement_id")
-    blank = (j.where((F.col("k") > F.col("hk")) & (py_strip(F.col("line")) == ""))
-             .groupBy("statement_id").agg(F.min("k").alias("bk")))
-    return j.join(blank, "statement_id", "left")
+def _marks(lines: DataFrame) -> DataFrame:
+    """Per file: where its header stands, the header line, and the first blank line after it.
+
+    One scan keeps the header and blank lines; a file without a header line
+    is listed with NULLs.
+    """
+    header, blank = _is_header(F.col("line")), py_strip(F.col("line")) == ""
+    marked = _kept(lines.groupBy("statement_id", F.when(header, "h").when(blank, "b").alias("kind"),
+                                 F.when(header | blank, F.col("k")).alias("k"))
+                   .agg(F.max(F.when(header, F.col("line"))).alias("line")), "statement-marks")
+    files = marked.select("statement_id").distinct()
+    heads = (marked.where("kind = 'h'").groupBy("statement_id")
+             .agg(F.min("k").alias("hk"), F.min_by("line", "k").alias("header_line")))
+    ends = (marked.where("kind = 'b'").join(heads, "statement_id").where(F.col("k") > F.col("hk"))
+            .groupBy("statement_id").agg(F.min("k").alias("bk")))
+    return _kept(files.join(heads, "statement_id", "left").join(ends, "statement_id", "left"), "statement-parts")
 
 
 def read_statement_text(spark: SparkSession, path: str) -> DataFrame:
@@ -113,11 +191,13 @@ def read_statement_text(spark: SparkSession, path: str) -> DataFrame:
 
     Skips the ``key : value`` preamble up to the header line, stops at the
     first blank line after it and ignores the trailer. Header captions are
-    matched after stripping (padded names, trailing empty field). Columns:
+    matched after stripping (padded names, trailing empty field). A file
+    without a header line has no rows; ``statement_meta`` reports it. Columns:
     statement_id, src_block, src_pos, txn_date, value_date (dates),
     description, ref_no (stripped text), debit, credit, balance (doubles).
     """
-    loc = _located(statement_lines(spark, path))
+    lines = statement_lines(spark, path)
+    loc = _per_file(lines, _marks(lines).where("hk is not null"), "statement_id")
     rows = loc.where((F.col("k") > F.col("hk")) & (F.col("bk").isNull() | (F.col("k") < F.col("bk"))))
     hdr = _header_fields(F.col("header_line"))
     fields = F.split(F.col("line"), "\t", -1)
@@ -141,23 +221,28 @@ def statement_meta(spark: SparkSession, path: str) -> DataFrame:
     """Allow-listed preamble facts per statement file.
 
     Columns: statement_id, period_start, period_end (dates),
-    opening_balance (double) and opening_balance_date (date, from the
-    ``Balance on <date>`` key). Other preamble keys are never read out.
+    opening_balance (double) and opening_balance_date (date), both from the
+    first ``Balance on <date>`` line, and status: ``ok``, or ``no_header``
+    for a file without a header line (all its lines are read as preamble).
+    Other preamble keys are never read out.
     """
-    loc = _located(statement_lines(spark, path))
-    pre = loc.where(F.col("k") < F.col("hk"))
+    lines = statement_lines(spark, path)
+    marks = _marks(lines)
+    pre = _per_file(lines, marks, "statement_id").where(F.col("hk").isNull() | (F.col("k") < F.col("hk")))
     parts = F.split(F.col("line"), "\t", 2)
     raw_key = py_strip(F.regexp_replace(F.get(parts, 0), rf":{WS}*$", ""))
     val = py_strip(F.get(parts, 1))
-    kv = pre.select("statement_id", F.lower(raw_key).alias("key"), raw_key.alias("raw_key"), val.alias("val"))
+    kv = pre.select("statement_id", "k", F.lower(raw_key).alias("key"), raw_key.alias("raw_key"), val.alias("val"))
     aggs = [F.max(F.when(F.col("key") == k, F.try_to_date(F.col("val"), STATEMENT_DATE_FORMAT)))
             .alias(name) for k, name in STATEMENT_META_KEYS.items()]
     is_open = F.col("key").startswith(OPENING_BALANCE_PREFIX)
-    open_date = py_strip(F.substring(F.col("raw_key"), len(OPENING_BALANCE_PREFIX) + 1, 64))
-    aggs.append(F.max(F.when(is_open, clean_amount(F.col("val")))).alias("opening_balance"))
-    aggs.append(F.max(F.when(is_open, F.try_to_date(open_date, STATEMENT_DATE_FORMAT)))
-                .alias("opening_balance_date"))
-    return kv.groupBy("statement_id").agg(*aggs)
+    open_date = py_strip(F.substr(F.col("raw_key"), F.lit(len(OPENING_BALANCE_PREFIX) + 1)))
+    opening = F.struct(clean_amount(F.col("val")).alias("amount"), F.try_to_date(open_date, STATEMENT_DATE_FORMAT).alias("day"))
+    facts = kv.groupBy("statement_id").agg(*aggs, F.min_by(opening, F.when(is_open, F.col("k"))).alias("opening"))
+    status = F.when(F.col("hk").isNull(), "no_header").otherwise("ok")
+    return marks.join(facts, "statement_id", "left").select(
+        "statement_id", *STATEMENT_META_KEYS.values(), F.col("opening.amount").alias("opening_balance"),
+        F.col("opening.day").alias("opening_balance_date"), status.alias("status"))
 
 
 # ---------------------------------------------------------------------------
@@ -168,31 +253,19 @@ def read_statement_csv(spark: SparkSession, path: str) -> DataFrame:
     """Consolidated statement CSV (BOM, padded captions, ``' '`` blanks,
     quoted grouped amounts, ``dd-MMM-yy`` dates) -> typed statement rows.
     Two-digit years pivot at 69 as in Python (Spark's ``yy`` always means 20yy).
+    Every file's columns are found by its own header.
 
     Columns: statement_id, src_block, src_pos, value_date, description,
     ref_no, debit, credit, balance.
     """
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    # Captions are padded and may hold dots; rename to canonical names first.
-    canon = {caption: name for name, caption in STATEMENT_TEXT_COLUMNS.items()}
-    names = []
-    for i, c in enumerate(raw.columns):
-        caption = c.lstrip("\ufeff").strip()
-        names.append(canon.get(caption, f"_c{i}"))
-    df = _with_order(raw.toDF(*names))
-
-    def field(name: str) -> Column:
-        return py_strip(F.col(name)) if name in names else F.lit(None).cast("string")
-
-    return df.select(
+    captions = {name: caption for name, caption in STATEMENT_TEXT_COLUMNS.items() if name != "txn_date"}
+    raw = captioned_csv(spark, path, captions)
+    return raw.select(
         F.col("source_file").alias("statement_id"), "src_block", "src_pos",
-        parse_day_month_yy(field("value_date")).alias("value_date"),
-        field("description").alias("description"),
-        field("ref_no").alias("ref_no"),
-        clean_amount(field("debit")).alias("debit"),
-        clean_amount(field("credit")).alias("credit"),
-        clean_amount(field("balance")).alias("balance"),
-    )
+        parse_day_month_yy(py_strip("value_date")).alias("value_date"),
+        py_strip("description").alias("description"),
+        py_strip("ref_no").alias("ref_no"),
+        *[clean_amount(py_strip(c)).alias(c) for c in ("debit", "credit", "balance")])
 
 
 # ---------------------------------------------------------------------------

@@ -5,8 +5,8 @@ from __future__ import annotations
 import datetime as _dt
 import os
 
-from pyspark.sql import DataFrame, Row
-from pyspark.sql import functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from spendloom.operators.normalise import sort_ledger, to_ledger
 from spendloom.schema import LEDGER_HEADERS
@@ -21,28 +21,34 @@ def write_ledger(ledger: DataFrame, path: str, now: _dt.datetime | None = None)
     """S3: write the sorted ledger as CSV with a header row; return the path.
 
     The target is overwritten, as the original overwrites its output file.
-    If that write is refused, the ledger goes to the sibling
-    ``<stem>_processed_<yyyyMMdd_HHmmss>`` instead. Spark writes one part file
+    If the target may not be written, which is asked before the job starts,
+    the ledger goes to the sibling ``<stem>_processed_<yyyyMMdd_HHmmss>``
+    instead; any other error is the caller's. Spark writes one part file
     per task (in sort order), each with the header; an empty ledger still
     yields a header-only file.
     """
-    frame = ledger_csv_frame(ledger)
+    target = path
+    if not writable(ledger.sparkSession, path):
+        stamp = (now or _dt.datetime.now()).strftime("%Y%m%d_%H%M%S")
+        stem, ext = os.path.splitext(path.rstrip("/"))
+        target = f"{stem}_processed_{stamp}{ext}"
+    ledger_csv_frame(ledger).write.option("header", True).mode("overwrite").csv(target)
+    return target
 
-    def _write(target: str) -> None:
-        frame.write.option("header", True).mode("overwrite").csv(target)
 
+def writable(spark: SparkSession, path: str) -> bool:
+    """Whether the file system lets this user replace ``path`` (or, if there is none yet, does not say no)."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop
+    target = hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     try:
-        _write(path)
-        return path
-    except Exception as err:  # only a refused (locked / read-only) target falls back
-        msg = str(err).lower()
-        if "permission" not in msg and "denied" not in msg and "read-only" not in msg:
-            raise
-        stamp = (now or _dt.datetime.now()).strftime("%Y%m%d_%H%M%S")
-        stem, ext = os.path.splitext(path.rstrip("/"))
-        fallback = f"{stem}_processed_{stamp}{ext}"
-        _write(fallback)
-        return fallback
+        if fs.exists(target):
+            fs.access(target, hadoop.fs.permission.FsAction.WRITE)
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getName() == "org.apache.hadoop.security.AccessControlException":
+            return False
+        raise
+    return True
 
 
 def preview(df: DataFrame, n: int = 10, show: bool = True) -> tuple[list[Row], int]:

@@ -12,7 +12,7 @@ from spendloom.session import checkpoint_dir, get_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     s = get_session("spendloom-tests", master="local[4]", shuffle_partitions=8,
-                    extra={"spark.driver.memory": "4g",
+                    extra={"spark.driver.memory": "4g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
                            "spark.sql.adaptive.coalescePartitions.enabled": "false"})
     checkpoint_dir(s)
     yield s

@@ -6,9 +6,9 @@ import os
 
 from pyspark.sql import functions as F
 
-from spendloom.operators import normalise_statements, reconcile
+from spendloom.operators import extraction_stats, normalise_statements, reconcile, running_sum, spend_by
 from spendloom.schema import LEDGER_SCHEMA, RAW_ROWS_SCHEMA
-from spendloom.sources import (consolidate, preview, read_raw_tables, read_statement_csv,
+from spendloom.sources import (consolidate, preview, read_raw_tables, read_sheet, read_statement_csv,
                                read_statement_text, statement_meta, write_ledger)
 
 T = "\t"
@@ -64,7 +64,71 @@ def test_statement_meta(spark, tmp_dir):
     assert (m1.opening_balance, m1.opening_balance_date) == (1000.0, dt.date(2024, 1, 1))
     assert m2.opening_balance == 100600.0
     assert set(m1.asDict()) == {"statement_id", "period_start", "period_end", "opening_balance",
-                                "opening_balance_date"}
+                                "opening_balance_date", "status"}
+
+
+def test_header_less_and_repeated_opening_balance(spark, tmp_dir):
+    twice = P1.replace("Start Date", f"Balance on 31 Jan 2024        :{T}10.00\nStart Date", 1)
+    long_key = P1.replace("Balance on 1 Jan 2024", "Balance on" + " " * 80 + "1 Jan 2024")
+    d = _files(tmp_dir, {"p1.txt": P1, "none.txt": f"Start Date :{T}1 Jan 2024\nno header here\n", "twice.txt": twice, "long.txt": long_key})
+    meta = {os.path.basename(r.statement_id): r for r in statement_meta(spark, os.path.join(d, "*.txt")).collect()}
+    assert meta["none.txt"].status == "no_header" and meta["none.txt"].period_start == dt.date(2024, 1, 1)
+    for name in ("p1.txt", "twice.txt", "long.txt"):
+        m = meta[name]
+        assert (m.status, m.opening_balance, m.opening_balance_date) == ("ok", 1000.0, dt.date(2024, 1, 1))
+    rows = read_statement_text(spark, os.path.join(d, "*.txt"))
+    assert {os.path.basename(r.statement_id) for r in rows.collect()} == {"p1.txt", "twice.txt", "long.txt"}
+
+
+def test_every_csv_file_has_its_own_column_order(spark, tmp_dir):
+    swapped = "Credit,Balance,Value Date,Extra\n10.00,\"1,010.00\",05-Mar-24,x\n\n , 900.00 ,06-Mar-24,\"a,b\"\n"
+    d = _files(tmp_dir, {"a.csv": CSV, "b.csv": swapped})
+    rows = {os.path.basename(r.statement_id) + str(r.value_date): r for r in read_statement_csv(spark, os.path.join(d, "*.csv")).collect()}
+    b = rows["b.csv2024-03-05"]
+    assert (b.debit, b.credit, b.balance, b.description) == (None, 10.0, 1010.0, None)
+    assert rows["b.csv2024-03-06"].credit is None and rows["b.csv2024-03-06"].balance == 900.0
+    assert rows["a.csv2024-01-01"].debit == 400.0 and len(rows) == 5
+
+
+def test_sheet_columns_by_caption(spark, tmp_dir):
+    d = _files(tmp_dir, {"s.csv": "Category,Expenditure,Date,Item\nFood,\"1,250.50\",1-6-2025,\"Apples, Pears\"\nAuto,n/a,,Bus\n"})
+    rows = read_sheet(spark, os.path.join(d, "s.csv")).orderBy("src_pos").collect()
+    assert (rows[0].Date, rows[0].Item, rows[0].Expenditure, rows[0].Category, rows[0].bad_cells) == ("1-6-2025", "Apples, Pears", 1250.5, "Food", 0)
+    assert (rows[1].Date, rows[1].Expenditure, rows[1].Comments, rows[1].bad_cells) == (None, None, None, 1)
+
+
+def test_missing_balance_hides_no_break(spark):
+    rows = [("a", 0, None, None, 100.0), ("a", 1, None, None, None), ("a", 2, None, None, 500.0), ("a", 3, 50.0, None, 450.0)]
+    df = spark.createDataFrame(rows, "acct string, n int, debit double, credit double, balance double")
+    got = [(r.n, r.status, r.prev_balance, r.diff) for r in
+           reconcile(df, "acct", "n", "debit", "credit", "balance").orderBy("n").collect()]
+    assert got == [(1, "no_balance", 100.0, None), (2, "break", 100.0, -400.0)]
+    for size in (1, 2):
+        cut = reconcile(df, "acct", "n", "debit", "credit", "balance", chunk_rows=size).orderBy("n").collect()
+        assert [(r.n, r.status, r.prev_balance, r.diff) for r in cut] == got
+
+
+def test_large_amounts_are_exact_or_missing(spark):
+    df = spark.createDataFrame([("a", 0.005), ("a", 0.005), ("b", 1e17), ("c", 1e300), ("c", 1.0)], "k string, v double")
+    assert {r.k: r.t for r in spend_by(df, "k", "v", "t").collect()} == {"a": 0.01, "b": 1e17, "c": 1.0}
+    big = spark.createDataFrame([("a", 1, "900000000000000.01"), ("a", 2, "0.03")], "p string, i int, v string").withColumn("v", F.col("v").cast("decimal(18,2)"))
+    assert [str(r.s) for r in running_sum(big, "v", "s", "p", "i").orderBy("i").collect()] == ["900000000000000.01", "900000000000000.04"]
+
+
+def test_refused_target_falls_back(spark, tmp_dir):
+    target = os.path.join(tmp_dir, "ledger.csv")
+    os.mkdir(target, 0o555)
+    written = write_ledger(spark.createDataFrame([], LEDGER_SCHEMA), target, now=dt.datetime(2026, 6, 1, 12, 0, 5))
+    assert written == os.path.join(tmp_dir, "ledger_processed_20260601_120005.csv")
+    assert os.listdir(target) == [] and os.listdir(written)
+
+
+def test_statement_without_any_table(spark):
+    from test_normalise import F2_ROWS
+    raw = spark.createDataFrame(F2_ROWS, RAW_ROWS_SCHEMA)
+    asked = spark.createDataFrame([("A",), ("C",)], "statement_id string")
+    stats = {r.statement_id: r for r in extraction_stats(raw, normalise_statements(raw, sort=False), asked).collect()}
+    assert set(stats) == {"A", "C"} and (stats["C"].tables_found, stats["C"].ledger_rows) == (0, 0)
 
 
 def test_consolidated_csv_equals_text_periods(spark, tmp_dir):

@@ -1,9 +1,10 @@
-"""Plan helpers: ``bind`` (evaluate once, filters stay above) and ``spread``."""
+"""``bind`` (evaluate once, filters stay above), the session and its scratch folder."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from spendloom.operators.bind import bind
-from spendloom.session import spread
+from spendloom.session import checkpoint_dir, get_session
 
 
 def test_bind_values_equal_unbound_expressions(spark):
@@ -27,17 +28,29 @@ def test_filter_on_bound_column_is_not_inlined(spark):
     assert sorted(r.id for r in q.collect()) == [7, 17, 27, 37, 47]
 
 
-def test_spread_only_under_split_inputs(spark):
-    target = spark.sparkContext.defaultParallelism
-    one = spark.range(0, 1000, 1, numPartitions=1)
-    spread_one = spread(one, min_bytes_per_task=1)
-    assert spread_one.rdd.getNumPartitions() == target
-    assert sorted(r.id for r in spread_one.collect()) == list(range(1000))
-    many = spark.range(0, 1000, 1, numPartitions=target * 2)
-    assert spread(many) is many
+def test_launcher_settings_survive(spark):
+    keys = {"spark.sql.session.timeZone": "Asia/Kolkata", "spark.sql.adaptive.skewJoin.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        again = get_session("another")
+        assert {k: again.conf.get(k) for k in keys} == keys
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
-def test_spread_keeps_tiny_inputs_whole(spark):
-    # 1000 longs are far below one task's worth of bytes: no repartition.
-    one = spark.range(0, 1000, 1, numPartitions=1)
-    assert spread(one) is one
+def test_no_machine_local_scratch_on_a_cluster():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError):
+        checkpoint_dir(Session())

@@ -107,6 +107,22 @@ def test_parse_sheet_date(spark):
     assert got == [dt.date(2025, 6, 1), dt.date(2025, 6, 2), dt.date(2025, 6, 16), None, None]
 
 
-def test_norm_headers(spark):
-    df = spark.createDataFrame([([" Value Date ", "\tDEBIT\n", None],)], "h array<string>")
-    assert df.select(S.norm_headers("h")).first()[0] == ["value date", "debit", "nan"]
+def test_strict_dates_read_no_part_of_a_longer_number(spark):
+    cases = {"2001-05-03": "2001-05-03", "29/02/2023": None, "29/02/2024": "2024-02-29", "2023-02-29": None, "29-02-24": "2024-02-29",
+             "129/02/2024": None, "29/02/20245": None, "May 12 20015": None, "3 May 1999": "1999-05-03", "": None, None: None}
+    got = one_col(spark, list(cases), lambda c: S.clean_date(c, today=dt.date(2026, 6, 1), mode="strict"))
+    assert got == list(cases.values())
+
+
+def test_years_beyond_9999_stay_whole(spark):
+    got = one_col(spark, [12, 2024, 9999, 10000, 12345], lambda c: S.iso_date_text(c, F.lit(1), F.lit(2)), "int")
+    assert got == ["0012-01-02", "2024-01-02", "9999-01-02", "10000-01-02", "12345-01-02"]
+
+
+def test_headers_are_read_stripped_and_in_any_case(spark):
+    from spendloom.operators.normalise import map_roles
+    df = spark.createDataFrame([([" Value Date ", "\tDEBIT\n", None, "Balance"], ["a", "b", "c", "d"])], "headers array<string>, cells array<string>")
+    row = map_roles(df).first()
+    assert (row.pos_date_desc, row.pos_withdrawal, row.pos_deposit, row.pos_balance, row.usable) == (1, 2, 0, 4, True)
+    # a role without aliases is absent, and a table without it is unusable
+    assert map_roles(df, {"date_desc": ["date"]}).first().usable is False
