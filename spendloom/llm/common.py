@@ -64,6 +64,20 @@ def word_hashes(data: bytes) -> np.ndarray:
     return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, data.split())), ">u8").astype(np.uint64)
 
 
+#: Rows of one or two numbers up to which a side is broadcast (about 10 MB).
+BROADCAST_ROWS = 400_000
+
+
+def semi_join(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of `df` whose `key` is in the column `key` of `keys`.
+
+    The distinct keys are written and counted; up to BROADCAST_ROWS they are
+    broadcast, so `df` is not shuffled, and beyond that joined plainly.
+    """
+    keys = saved(keys.select(key).distinct(), "keys")
+    return df.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, key, "left_semi")
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """`name`, with underscores added until no column of `df` is called so."""
     taken = {c.lower() for c in df.columns}

@@ -47,7 +47,7 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
     text = F.coalesce("text", F.lit(""))
-    return cut.select("doc_id", "n_lines", "n_removed", F.length(text).cast("long").alias("n_chars"), F.sha2(text, 256).alias("text_sha256"))
+    return cut.select("doc_id", "n_removed", "emptied", F.length(text).cast("long").alias("n_chars"), F.sha2(text, 256).alias("text_sha256"))
 
 
 @query
