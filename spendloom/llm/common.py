@@ -61,7 +61,12 @@ def by_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None
 
 def word_hashes(data: bytes) -> np.ndarray:
     """64-bit hashes of the words of UTF-8 text: runs of anything but space and \\t to \\r."""
-    return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, data.split())), ">u8").astype(np.uint64)
+    return hashes_of(data.split())
+
+
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), ">u8").astype(np.uint64)
 
 
 #: Rows of one or two numbers up to which a side is broadcast (about 10 MB).

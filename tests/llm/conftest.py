@@ -47,3 +47,13 @@ def docs(spark, rows):
 @pytest.fixture(scope="session")
 def empty(spark):
     return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(autouse=True, scope="package")
+def few_partitions(spark):
+    """The small tables here need no more; many rounds of small jobs run faster."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "2")
+    yield
+    spark.conf.set(key, before)

@@ -12,7 +12,7 @@ from llm_helpers import words_of
 from pyspark.sql import functions as F
 
 from spendloom.llm import jaccard_join, line_dedup, mixing, packing, suffix_dedup, toxicity
-from spendloom.llm.common import components, linked_groups
+from spendloom.llm.common import components, hashes_of, linked_groups
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -145,7 +145,7 @@ def test_line_fingerprints_are_majorities():
 
 def lines_brute(rows, similarity=0.8):
     forms = sorted({f for _, t, *_ in rows for f in line_dedup.normalised_lines(t or "") if f})
-    hashes = [line_dedup.word_hashes(f.encode()) for f in forms]
+    hashes = [hashes_of(list(set(f.split()))) for f in forms]
     prints = line_dedup.simhashes(np.concatenate(hashes), np.array([len(h) for h in hashes]))
     groups, blocks = Groups(forms), defaultdict(list)
     for form, lanes in zip(forms, prints.tolist()):
@@ -157,7 +157,7 @@ def lines_brute(rows, similarity=0.8):
         for i, a in enumerate(block):
             for b in block[:i]:
                 bits = sum((x ^ y).bit_count() for x, y in zip(lanes_of[a], lanes_of[b]))
-                if bits <= line_dedup.MOST_BITS and line_dedup.alike(a, b, similarity):
+                if bits <= line_dedup.MOST_BITS and line_dedup.alike(a.decode(), b.decode(), similarity):
                     groups.join(a, b)
     keeper = {}
     for doc_id, text, *_ in rows:
