@@ -152,7 +152,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
 
 
 def linked_groups(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame],
-                  may_link: Callable[[Column, Column], Column] = lambda x, y: F.lit(True)) -> DataFrame:
+                  may_link: Callable[[Column, Column], Column] = lambda x, y: F.lit(True),
+                  refine: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None) -> DataFrame:
     """Components (id, component) of the verified links among keys that share a bucket.
 
     `buckets` has (sig, key, facts): `facts` is a struct of what is known of a
@@ -164,7 +165,9 @@ def linked_groups(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame],
     centre, then with the centre of each of its buckets; after that only keys
     that share a bucket, may link and are still in different components are
     paired. A group of near copies costs about one comparison a key, and every
-    link between components is found.
+    link between components is found. For the last step, `refine` may turn the
+    keys that are left (key, component) into sharper facts (key, facts) and
+    pairs (a, b) to compare whatever the facts say.
     """
     whole = Window.partitionBy("sig")
     centre = F.min(F.struct("facts", "key")).over(whole)
@@ -176,7 +179,7 @@ def linked_groups(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame],
     first = stars.groupBy("key").agg(F.min("centre").alias("centre")).select(*pair).distinct()
     seen = saved(verify(first), "verified")
     group = components(seen.filter("links").select("a", "b"))
-    for pairs in (lambda: _apart(stars.select("a", "b").distinct(), group), lambda: _bucket_pairs(buckets, group, may_link)):
+    for pairs in (lambda: _apart(stars.select("a", "b").distinct(), group), lambda: _bucket_pairs(buckets, group, may_link, refine)):
         more = saved(verify(pairs().join(seen.select("a", "b"), ["a", "b"], "left_anti")), "verified")
         seen = seen.unionByName(more)
         group = components(seen.filter("links").select("a", "b"))
@@ -190,14 +193,19 @@ def _apart(pairs: DataFrame, group: DataFrame) -> DataFrame:
             .filter("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b"))
 
 
-def _bucket_pairs(buckets: DataFrame, group: DataFrame, may_link: Callable[[Column, Column], Column]) -> DataFrame:
+def _bucket_pairs(buckets: DataFrame, group: DataFrame, may_link: Callable[[Column, Column], Column],
+                  refine: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None) -> DataFrame:
     """Pairs of keys that share a bucket but no component; a bucket within one component is left out first."""
     named = buckets.select("sig", "key", "facts").join(group.select(F.col("id").alias("key"), "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     whole = Window.partitionBy("sig")
     apart = named.withColumn("low", F.min("component").over(whole)).withColumn("high", F.max("component").over(whole)).filter("low <> high")
-    apart = saved(apart.drop("low", "high"), "apart")
+    apart, more = saved(apart.drop("low", "high"), "apart"), None
+    if refine:
+        facts, more = refine(saved(apart.select("key", "component").distinct(), "apart-keys"))
+        apart = apart.drop("facts").join(facts, "key")
     left = apart.select("sig", F.col("key").alias("a"), F.col("component").alias("ca"), F.col("facts").alias("x"))
     right = apart.select(F.col("sig").alias("sig2"), F.col("key").alias("b"), F.col("component").alias("cb"), F.col("facts").alias("y"))
     # the conditions are part of the join, so pairs that cannot link are no rows
     matched = (F.col("sig") == F.col("sig2")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & may_link(F.col("x"), F.col("y"))
-    return left.join(right, matched).select("a", "b").distinct()
+    pairs = left.join(right, matched).select("a", "b")
+    return (pairs.unionByName(more) if more else pairs).distinct()

@@ -76,7 +76,9 @@ def test_jaccard_groups(docs, rows, percent, width):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == jaccard_brute(rows, percent, width)
 
 
-def test_jaccard_groups_of_many_near_copies(spark):
+@pytest.mark.parametrize("rare", [1, 3, 12])
+def test_jaccard_groups_of_many_near_copies(spark, monkeypatch, rare):
+    monkeypatch.setattr(jaccard_join, "RARE", rare)
     rnd = random.Random(7)
     base = ["w%d" % rnd.randrange(5000) for _ in range(90)]
     rows = [(0, " ".join(base))]
