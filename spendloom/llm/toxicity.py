@@ -3,13 +3,14 @@
 Words are hidden by look-alike characters (1d10t), by spacing (m o r o n) and
 by repeated letters (looooser). A hidden spelling is a lattice: every
 character offers the letters it may stand for, or nothing, or a word break; a
-run of one letter offers one, two or all of them. Viterbi decoding picks the
+run of three or more of one letter offers one, two or all of them, and every
+space of a spaced run may be a word break. Spellings may have any length. Viterbi decoding picks the
 path with the best sum of channel costs and character trigram
 log-probabilities. The trigram model is counted over all documents. Only
 spellings that need it are decoded; plain words are their own best path.
 
 A document's features are its restored words and their beginnings (inflected
-forms of one stem share them). A logistic regression over the features most
+forms of one stem share them), as they are and with runs of a letter as one. A logistic regression over the features most
 associated with the label is fitted on a bounded sample of labelled training
 rows (SAMPLE_ROWS); scores look at text alone.
 
@@ -46,11 +47,12 @@ DROP_COST, BREAK_COST = 2.0, 1.0  # of a symbol: nothing, or a word break
 LOOKALIKE_DROP_COST, LOOKALIKE_BREAK_COST = 9.0, 9.0  # of each character that may stand for a letter
 REPEAT_COST = 0.7  # for each letter taken off a run
 JOIN_COST = 0.5  # for each space taken out of a spaced word
-LONGEST = 48  # letters of a decoded spelling; longer ones are split at their symbols
+REMEMBERED = 64  # letters of a decoded spelling that is kept in memory
 
 _SPACED = re.compile(r"(?<!\w)(?:[^\W_][ .\-_*]){2,}[^\W_](?!\w)")
 _TRIPLE = re.compile(r"([^\W\d_])\1\1")
 _RUNS = re.compile(r"[^\W\d_]+")
+_REPEATED = re.compile(r"(.)\1+", re.S)
 _EDGES = re.compile(r"[\W_]+")
 _TAIL = re.compile(r"[\W_]+$")
 _EDGE_LETTERS = frozenset("@$+(|€£")  # not ! or <, which mostly end or open something
@@ -130,14 +132,11 @@ class Restorer:
         return out
 
     def _spaced(self, match: re.Match) -> str:
-        """A run of single characters: one word where the model prefers that."""
+        """A run of single characters, joined into words where the model prefers that."""
         found = match[0]
-        letters = found[::2]
-        if len(letters) > LONGEST:
-            return found
-        joined, cost = self.decode(letters)
-        apart = sum(self.decode(c)[1] for c in letters)
-        return " ".join(joined) if cost + JOIN_COST * (len(letters) - 1) < apart else found
+        words = self.decode(found[::2], spaced=True)[0]
+        # digits alone are no words unless they stand in for one whole word
+        return found if len(words) != 1 and not any(map(str.isalpha, found)) else " ".join(words)
 
     def token(self, token: str) -> tuple[str, ...]:
         core = token
@@ -156,8 +155,10 @@ class Restorer:
                 core += after[:1]
         if core.isalpha() and not _TRIPLE.search(core):
             return (core,)
-        if len(core) > LONGEST or 2 * sum(map(str.isalpha, core)) < len(core) and not self._all_stand_in(core):
+        if not self._mostly_letters(core) and not self._mostly_letters(_REPEATED.sub(r"\1", core)) and not self._all_stand_in(core):
             return tuple(_RUNS.findall(core))
+        if len(core) > REMEMBERED:
+            return self.decode(core)[0]
         found = self.known.get(core)
         if found is None:
             if len(self.known) >= self.limit:
@@ -165,16 +166,23 @@ class Restorer:
             found = self.known[core] = self.decode(core)[0]
         return found
 
+    @staticmethod
+    def _mostly_letters(core: str) -> bool:
+        return 2 * sum(map(str.isalpha, core)) >= len(core)
+
     @staticmethod
     def _all_stand_in(core: str) -> bool:
         return any(map(str.isalpha, core)) and all(c.isalpha() or c in LOOKALIKES for c in core)
 
-    def decode(self, spelling: str) -> tuple[tuple[str, ...], float]:
-        """(words, cost) of the best path through the lattice of a spelling."""
-        model = self.model
-        # state: classes of the last two letters; value: cost and path
-        states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-        for c, run in groupby(spelling):
+    def decode(self, spelling: str, spaced: bool = False) -> tuple[tuple[str, ...], float]:
+        """(words, cost) of the best path through the lattice of a spelling, in time linear in its length.
+
+        Between the characters of a `spaced` spelling there is a space, to be
+        kept as a word break or taken out.
+        """
+        # state: classes of the last two letters; value: cost and path, as (letters, path before)
+        states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+        for at, (c, run) in enumerate(groupby(spelling)):
             n = len(list(run))
             edges: list[tuple[float, str]] = []
             if c.isalpha():
@@ -187,19 +195,36 @@ class Restorer:
                 edges += [(LOOKALIKE_DROP_COST * n, ""), (LOOKALIKE_BREAK_COST * n, " ")]
             else:
                 edges += [(DROP_COST, ""), (BREAK_COST, " ")]
-            after: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (cost, path) in states.items():
-                for extra, letters in edges:
-                    x, y, total = a, b, cost + extra
-                    for letter in letters:
-                        z = 0 if letter == " " else _CLASS.get(letter, 1)
-                        total -= float(model[x, y, z])
-                        x, y = (0, 0) if z == 0 else (y, z)
-                    if (x, y) not in after or total < after[x, y][0]:
-                        after[x, y] = (total, path + letters)
-            states = after
-        cost, path = min((cost - float(model[a, b, 0]), path) for (a, b), (cost, path) in states.items())
-        return tuple(path.split()), cost
+            if spaced:
+                if at:
+                    states = self._step(states, [(JOIN_COST, ""), (0.0, " ")])
+                edges = [(cost + JOIN_COST * (n - 1), letters) for cost, letters in edges]
+                if n > 1 and c.isalpha():
+                    # one word ends and the next begins in the run, or every letter stands alone
+                    edges += [(JOIN_COST * (n - 2) + REPEAT_COST * (n - i - k), c * i + " " + c * k) for i in (1, 2) for k in (1, 2) if i + k <= n]
+                    edges.append((0.0, " ".join(c * n)))
+            states = self._step(states, edges)
+        cost, path = min(((cost - float(self.model[a, b, 0]), path) for (a, b), (cost, path) in states.items()), key=lambda x: x[0])
+        letters = []
+        while path:
+            letters.append(path[0])
+            path = path[1]
+        return tuple("".join(reversed(letters)).split()), cost
+
+    def _step(self, states: dict[tuple[int, int], tuple[float, tuple | None]], edges: list[tuple[float, str]]) -> dict[tuple[int, int], tuple[float, tuple | None]]:
+        """The best way into each state by one of the edges."""
+        model = self.model
+        after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for (a, b), (cost, path) in states.items():
+            for extra, letters in edges:
+                x, y, total = a, b, cost + extra
+                for letter in letters:
+                    z = 0 if letter == " " else _CLASS.get(letter, 1)
+                    total -= float(model[x, y, z])
+                    x, y = (0, 0) if z == 0 else (y, z)
+                if (x, y) not in after or total < after[x, y][0]:
+                    after[x, y] = (total, (letters, path) if letters else path)
+        return after
 
 
 #: Features are words and their first 3 to 7 letters, hashed.
@@ -213,7 +238,9 @@ ROUNDS = 300
 
 
 def word_features(word: str) -> tuple[int, ...]:
-    names = ["=" + word] + [word[:k] for k in BEGINNINGS if k <= len(word)]
+    names = []
+    for form in {word, _REPEATED.sub(r"\1", word)}:
+        names += ["=" + form] + [form[:k] for k in BEGINNINGS if k <= len(form)]
     return tuple(zlib.crc32(n.encode("utf-8", "surrogatepass")) >> (32 - FEATURE_BITS) for n in names)
 
 
