@@ -9,7 +9,9 @@ about pi * (bits that differ) / BITS, so the likeness is the cosine of that,
 Near fingerprints: two fingerprints within `radius` bits agree on at least one
 of `radius + 1` blocks. There is one table per block, the fingerprints keyed
 by that block (the block permuted to the front); equal keys are compared
-exactly. Equal fingerprints are compared once, as one class.
+exactly. Equal fingerprints are compared once, as one class. Texts of a likeness
+of 0.8 are NEAR_BITS bits apart, where no block is long enough to be worth a
+table: there the fingerprints asked for are compared with all others, 32 bytes each.
 
 Defined results: null text is empty; a text without words has the fingerprint
 of all zero bits, and two such texts have likeness 1. Repeated rows get equal
@@ -19,13 +21,15 @@ fingerprints and are counted each.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendloom.llm.common import MASK, mix64, shingle_hashes, utf8, word_hashes
+from spendloom.llm.common import MASK, mix64, saved, shingle_hashes, utf8, word_hashes
 from spendloom.llm.neighbours import with_next
 
 LANES = 4  # 64-bit words of a fingerprint
@@ -119,10 +123,71 @@ def _distance(a: str, b: str):
     return total
 
 
+#: Radius up to which blocks are long enough to tell fingerprints apart.
+EXACT_BITS = 15
+#: Bits in which fingerprints of a likeness of 0.8 differ: cos(pi * 52 / 256) = 0.803, cos(pi * 53 / 256) = 0.796.
+NEAR_BITS = 52
+#: Query fingerprints that are compared in one pass over the others (32 bytes each).
+SCAN_ROWS = 200_000
+_SCAN_TILE = (16, 4096)
+
+
+def _lanes(prints: list[str]) -> np.ndarray:
+    """(LANES, prints) of hex fingerprints."""
+    return np.ascontiguousarray(np.frombuffer(bytes.fromhex("".join(prints)), np.uint64).reshape(len(prints), LANES).T)
+
+
+def add_near(totals: np.ndarray, asked: np.ndarray, held: np.ndarray, weights: np.ndarray, radius: int) -> None:
+    """Add to `totals` for each fingerprint `asked` the weights of those `held` within `radius` bits; both are (LANES, n)."""
+    half = LANES // 2
+    for i in range(0, held.shape[1], _SCAN_TILE[0]):
+        some = held[:, i : i + _SCAN_TILE[0], None]
+        for k in range(0, asked.shape[1], _SCAN_TILE[1]):
+            part = asked[:, None, k : k + _SCAN_TILE[1]]
+            bits = sum(np.bitwise_count(some[lane] ^ part[lane]) for lane in range(half))
+            x, y = np.nonzero(bits <= radius)  # few by chance: half of the bits differ in as many as the radius allows
+            bits = bits[x, y] + sum(np.bitwise_count(held[lane, i + x] ^ asked[lane, k + y]).astype(np.int64) for lane in range(half, LANES))
+            near = bits <= radius
+            np.add.at(totals, k + y[near], weights[i + x[near]])
+
+
+def scanned_counts(classes: DataFrame, radius: int) -> DataFrame:
+    """(fingerprint, total): the rows within `radius` bits of each fingerprint asked, itself included, whatever the radius.
+
+    `classes` has (fingerprint, n, asked). Each pass compares SCAN_ROWS of the
+    fingerprints asked with all others, where these lie; no pair is a row.
+    """
+    asked = classes.filter("asked").select("fingerprint")
+    passes = max(1, -(-asked.count() // SCAN_ROWS))
+    found = []
+    for i in range(passes):
+        prints = sorted(r.fingerprint for r in asked.filter(F.pmod(F.xxhash64("fingerprint"), F.lit(passes)) == i).collect())
+        found.append(classes.select("fingerprint", "n").mapInArrow(_scan(prints, radius), "fingerprint string, total long"))
+    return reduce(DataFrame.unionByName, found).groupBy("fingerprint").agg(F.sum("total").alias("total"))
+
+
+def _scan(prints: list[str], radius: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, totals = _lanes(prints), np.zeros(len(prints), np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                add_near(totals, asked, _lanes(batch.column("fingerprint").to_pylist()), batch.column("n").to_numpy(), radius)
+        some = np.flatnonzero(totals)
+        yield pa.RecordBatch.from_arrays([pa.array([prints[i] for i in some], pa.string()), pa.array(totals[some])], names=["fingerprint", "total"])
+
+    return scan
+
+
 def near_counts(prints: DataFrame, query: str = "doc_id % 20 = 0", radius: int = 3) -> DataFrame:
     """(fingerprint, n_near): for the fingerprints of the rows `query` selects,
     how many other rows of `prints` lie within `radius` bits (equal ones too).
+    All of them are counted: up to EXACT_BITS they are found by blocks, beyond
+    by comparing with every fingerprint.
     """
+    if radius > EXACT_BITS:
+        marked = prints.withColumn("asked", F.coalesce(F.expr(query), F.lit(False)))
+        classes = saved(marked.groupBy("fingerprint").agg(F.count("*").alias("n"), F.max("asked").alias("asked")), "fingerprint-classes")
+        return scanned_counts(classes, radius).select("fingerprint", (F.col("total") - 1).alias("n_near"))
     classes = prints.groupBy("fingerprint").agg(F.count("*").alias("n"))
     asked = prints.filter(query).select("fingerprint").distinct()
     pairs = near_fingerprints(asked, classes, radius)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendloom.llm.common import read, texts
-from spendloom.llm.fingerprints import fingerprints_with_edits, near_counts
+from spendloom.llm.fingerprints import NEAR_BITS, fingerprints_with_edits, near_counts
 from spendloom.llm.html_text import extract_text
 from spendloom.llm.jaccard_join import jaccard_groups
 from spendloom.llm.line_dedup import dedup_lines
@@ -37,7 +37,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = fingerprints_with_edits(texts(read(spark, sf_dir, "documents")))
-    near = near_counts(prints.select("doc_id", "fingerprint"), "doc_id % 20 = 0")
+    near = near_counts(prints.select("doc_id", "fingerprint"), "doc_id % 20 = 0", NEAR_BITS)
     asked = F.coalesce(F.col("doc_id") % 20 == 0, F.lit(False))
     others = prints.filter(~asked).withColumn("n_near", F.lit(None).cast("long"))
     return prints.filter(asked).join(near, "fingerprint", "left").select(*others.columns).unionByName(others)
