@@ -13,8 +13,10 @@ the two smoothed frequencies' ratio, counted over all labelled pages; the
 smoothing is a prior (words +1, link words -1, tags -0.2) that also holds
 where nothing is labelled.
 
-Containers that are no article text by name never count: menus, headers,
-footers, sidebars, notices, adverts, forms, scripts, styles, comments.
+Containers that are no article text never count: menus, headers, footers,
+asides, forms, scripts, styles by their tag; sidebars, notices, adverts, comments by
+their class, id or role, unless they hold an <article> or <main> that is not
+named so itself, or, where a page has neither, FRAME_SHARE of its words.
 
 Defined results: null or empty html, and pages without words outside such
 containers, give empty text. Unclosed elements are closed where their parent
@@ -48,6 +50,9 @@ NO_TEXT_NAMES = frozenset("ad ads adv advert adverts advertisement advertising s
                           "popup modal overlay newsletter subscribe subscription signup login nav navbar navigation menu menubar breadcrumb breadcrumbs pagination pager sidebar "
                           "sidenav aside complementary widget widgets related recommended recommendations share sharing social comment comments commentlist reply replies respond "
                           "disqus footer contentinfo masthead topbar toolbar skip copyright search alert".split())
+MODIFIERS = frozenset("has have with without no not hide hides".split())
+#: Share of a page's words from which an element is the page's frame, whatever its name.
+FRAME_SHARE = 0.75
 _NAME = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 CONTENT = ("article", "main")
@@ -63,13 +68,24 @@ def _unwanted(tag: str, attributes: str) -> bool:
         return False
     for name, a, b, c, bare in _ATTRIBUTE.findall(attributes):
         name, value = (name or bare).lower(), a or b or c
-        if name in ("class", "id", "role") and not NO_TEXT_NAMES.isdisjoint(_NAME.findall(_CAMEL.sub("-", value).lower())):
-            return True
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
             return True
     return False
 
 
+def _named(attributes: str) -> bool:
+    """Whether the class, id or role names what is no article text; what follows a modifier (has-sidebar) names something else."""
+    for name, a, b, c, bare in _ATTRIBUTE.findall(attributes):
+        if (name or bare).lower() in ("class", "id", "role"):
+            for part in _CAMEL.sub("-", a or b or c).lower().split():
+                for word in _NAME.findall(part):
+                    if word in MODIFIERS:
+                        break
+                    if word in NO_TEXT_NAMES:
+                        return True
+    return False
+
+
 class Page:
     """Blocks and tags of a page, in order, outside unwanted containers.
 
@@ -84,6 +100,7 @@ class Page:
         self._parts: list[tuple[str, bool]] = []
         self._tag = "body"
         self._link = 0
+        self._words: list[int] | None = None
         opened: list[tuple[str, int]] = []
         tokens = [(m.start(), m.end(), bool(m[1]), (m[2] or "").lower(), m[3] or "") for m in _TOKEN.finditer(source)]
         at = i = 0
@@ -97,7 +114,7 @@ class Page:
             i += 1
             if not tag:
                 continue
-            if not closes and tag not in VOID and _unwanted(tag, attributes):
+            if not closes and tag not in VOID and (_unwanted(tag, attributes) or self._other_by_name(source, tokens, i, tag, attributes)):
                 self._break()
                 if not attributes.rstrip().endswith("/"):
                     i = self._after(tokens, i, tag)
@@ -121,6 +138,34 @@ class Page:
         self._break()
         self.spans += [(*start, len(self.items)) for start in opened]
 
+    def _other_by_name(self, source: str, tokens: list, i: int, tag: str, attributes: str) -> bool:
+        """Whether the element that opened before token i is no article text by its name, and its content does not tell otherwise."""
+        if not attributes or tag in ("html", "body", *CONTENT) or not _named(attributes):
+            return False
+        end = len(tokens) if attributes.rstrip().endswith("/") else self._after(tokens, i, tag)
+        if any(name in CONTENT and not closes and not _named(own) for _, _, closes, name, own in tokens[i:end]):
+            return False  # it holds the content
+        if any(name in CONTENT for _, _, _, name, _ in tokens):
+            return True
+        if self._words is None:
+            self._words = self._words_before(source, tokens)
+        inside = self._words[min(end, len(tokens))] - self._words[i - 1]
+        return not inside or inside < FRAME_SHARE * self._words[-1]
+
+    def _words_before(self, source: str, tokens: list) -> list[int]:
+        """Words before each token, and of the whole page, outside elements that never hold text."""
+        counts, total, at, skip = [], 0, 0, 0
+        for k, (start, end, closes, tag, attributes) in enumerate(tokens):
+            if k >= skip:
+                total += len(source[at:start].split())
+            counts.append(total)
+            at = end
+            if k >= skip and tag and not closes and tag not in VOID and _unwanted(tag, attributes) and not attributes.rstrip().endswith("/"):
+                skip = self._after(tokens, k + 1, tag)
+                if skip == len(tokens) and not (tokens[-1][2] and tokens[-1][3] == tag):
+                    skip += 1  # never closed
+        return [*counts, total + (len(source[at:].split()) if skip <= len(tokens) else 0)]
+
     @staticmethod
     def _after(tokens: list, i: int, tag: str) -> int:
         """The token after an unwanted element that opened before token i."""
