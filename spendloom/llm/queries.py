@@ -15,6 +15,7 @@ from spendloom.llm.jaccard_join import jaccard_groups
 from spendloom.llm.line_dedup import dedup_lines
 from spendloom.llm.mixing import mix, taken
 from spendloom.llm.packing import best_fit_packing, token_pieces
+from spendloom.llm.quality_score import quality_scores
 from spendloom.llm.repetition import quality_rules
 from spendloom.llm.suffix_dedup import remove_repeats
 from spendloom.llm.token_counts import token_counts
@@ -87,3 +88,8 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents"))
+
+
+@query
+def op13_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
