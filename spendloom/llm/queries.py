@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendloom.llm.common import read, texts
+from spendloom.llm.conversations import damaged, repair_conversations
 from spendloom.llm.fingerprints import NEAR_BITS, fingerprints_with_edits, near_counts
 from spendloom.llm.html_text import extract_text
+from spendloom.llm.importance import importance_sample
 from spendloom.llm.jaccard_join import jaccard_groups
 from spendloom.llm.line_dedup import dedup_lines
 from spendloom.llm.mixing import mix, taken
@@ -90,6 +92,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents"))
 
 
+@query
+def op11_importance_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_sample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(read(spark, sf_dir, "conversations"), damage=damaged)
+
+
 @query
 def op13_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
