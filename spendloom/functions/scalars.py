@@ -107,11 +107,32 @@ def clean_amount(c) -> Column:
 # A3 clean_description (W)
 # ---------------------------------------------------------------------------
 
-def description_patterns(extra_noise_terms: Iterable[str] = ()) -> list[str]:
-    """The ordered removal patterns (flags not included)."""
+def description_labels(extra_noise_terms: Iterable[str] = ()) -> list[str]:
+    """The patterns that begin a span, in order (flags not included)."""
     at = DESCRIPTION_LABELS.index(DESCRIPTION_TERMS_AFTER) + 1
-    labels = DESCRIPTION_LABELS[:at] + [regex_escape(t) for t in extra_noise_terms] + DESCRIPTION_LABELS[at:]
-    return [f"{label}.*?{PHONE_MARKER}" for label in labels] + DESCRIPTION_TRAILING_PATTERNS
+    return DESCRIPTION_LABELS[:at] + [regex_escape(t) for t in extra_noise_terms] + DESCRIPTION_LABELS[at:]
+
+
+def _without_spans(text: Column, label: str) -> Column:
+    """Drop every span from a label to the next phone marker; a label with no marker after it stays.
+
+    Only the text up to the last marker is searched for labels: each label
+    there has a marker after it, so each search ends where the next one
+    begins, and the time is linear in the text however many labels it holds
+    and wherever the markers stand. (Searched in the whole text, every label
+    behind the last marker would run to the end of the text and fail.)
+    """
+    def cut(t: Column) -> Column:
+        head = F.regexp_extract(t, _java_description(f"^.*{PHONE_MARKER}"), 0)
+        return F.transform(F.array(head), lambda h: F.concat(F.regexp_replace(h, _java_description(f"{label}.*?{PHONE_MARKER}"), ""), F.substr(t, F.length(h) + 1)))[0]
+
+    return F.transform(F.array(text), cut)[0]
+
+
+def _java_description(pattern: str) -> str:
+    # Python's \d is any Unicode decimal digit (\p{Nd}); (?u) gives
+    # Unicode case folding like Python's IGNORECASE on text.
+    return "(?isu)" + pattern.replace(r"\d", r"\p{Nd}")
 
 
 def clean_description(c, extra_noise_terms: Iterable[str] = ()) -> Column:
@@ -119,25 +140,17 @@ def clean_description(c, extra_noise_terms: Iterable[str] = ()) -> Column:
 
     Patterns are applied one after the other, case-insensitive with '.'
     matching newlines; the header caption's three spaces are matched before
-    whitespace is collapsed.
+    whitespace is collapsed. Linear in the length of the text.
     """
-    def java(p):
-        # Python's \d is any Unicode decimal digit (\p{Nd}); (?u) gives
-        # Unicode case folding like Python's IGNORECASE on text.
-        return "(?isu)" + p.replace(r"\d", r"\p{Nd}")
-
-    pats = description_patterns(extra_noise_terms)
-    marker_pats = [p for p in pats if p.endswith(PHONE_MARKER)]
     s = py_strip(c)
-    # Every span pattern ends at the phone marker: without a marker in the
-    # text none of them can match, so one scan decides whether to run them.
+    # Every span ends at the phone marker: without a marker in the
+    # text there is none, so one scan decides whether to look for them.
     spans = s
-    for p in marker_pats:
-        spans = F.regexp_replace(spans, java(p), "")
-    s = F.when(s.rlike(java(PHONE_MARKER)), spans).otherwise(s)
-    for p in pats:
-        if p not in marker_pats:
-            s = F.regexp_replace(s, java(p), "")
+    for label in description_labels(extra_noise_terms):
+        spans = _without_spans(spans, label)
+    s = F.when(s.rlike(_java_description(PHONE_MARKER)), spans).otherwise(s)
+    for p in DESCRIPTION_TRAILING_PATTERNS:
+        s = F.regexp_replace(s, _java_description(p), "")
     s = py_strip(F.regexp_replace(s, rf"{WS}+", " "))
     return F.nullif(s, F.lit(""))
 

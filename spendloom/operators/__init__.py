@@ -6,12 +6,13 @@ from spendloom.operators.normalise import (dated_rows, drop_empty_rows, infer_ye
                                            to_ledger, transaction_predicates)
 from spendloom.operators.ordered import (fill_forward as ordered_fill_forward,
                                          previous_value, rollover_count, running_sum)
-from spendloom.operators.quality import extraction_stats, header_inventory, reconcile
-from spendloom.operators.spend import (cumulative, fill_forward, money_sum,
+from spendloom.operators.quality import extraction_stats, header_inventory, period_chain, reconcile, rows_in_several_periods
+from spendloom.operators.rank import placed
+from spendloom.operators.spend import (cumulative, cumulatives, fill_forward, money_sum,
                                        spend_by, spend_by_period)
 
 __all__ = ["bind", "dated_rows", "drop_empty_rows", "infer_year", "map_roles", "normalise_statements", "sort_ledger",
            "to_ledger", "transaction_predicates", "ordered_fill_forward", "previous_value",
            "rollover_count", "running_sum", "extraction_stats", "header_inventory",
-           "reconcile", "cumulative", "fill_forward", "money_sum", "spend_by",
+           "reconcile", "period_chain", "rows_in_several_periods", "placed", "cumulative", "cumulatives", "fill_forward", "money_sum", "spend_by",
            "spend_by_period"]

@@ -2,27 +2,28 @@
 
 A plain ``Window.partitionBy(key).orderBy(...)`` sends every row of a key to
 one task. That is right for the many small keys and wrong for a statement,
-account or month that holds a third of all rows. So each scan first asks how
-large its keys are: one aggregation over the key and order columns, with
-map-side combine. Keys of at most ``chunk_rows`` rows are one chunk. A larger
-key is cut into about ``rows / chunk_rows`` runs of consecutive rows, equally
-wide in the order columns' value range. Then
-
-1. the local window runs per ``(key, chunk)``;
+account or month that holds a third of all rows. So each scan first counts its
+keys: one aggregation with map-side combine. Keys of at most ``chunk_rows`` rows
+are one chunk. The rows of larger keys are written once, range-partitioned
+along key and order, and get their exact place in it (``rank.placed``); every
+``chunk_rows`` places are a chunk. No chunk is larger than that, however the
+order's values are spread: outliers, ties in the leading columns, text and
+timestamps of any kind are cut alike, since places follow the whole order. Then
+
+1. the local windows run per ``(key, chunk)``;
 2. each chunk of a large key is reduced to one summary row;
 3. a window over a key's summaries carries the state from chunk to chunk: at
    most about ``rows / chunk_rows`` rows in one group;
 4. the carry is joined back on ``(key, chunk)``. The sizes say how many carry
    rows there can be, so the carry is broadcast while they are few and joined
-   on the window's own partitioning beyond that; either way the big side is
-   shuffled once.
+   on the window's own partitioning beyond that.
 
-Without large keys, steps 2 to 4 have no rows and are left out. The result is
-exact in any case: nothing is capped or sampled.
+Without large keys, steps 2 to 4 have no rows and are left out, and nothing is
+written. The result is exact in any case: nothing is capped or sampled.
 
-Chunks follow the leading numeric, date or timestamp order columns. Rows that
-agree in those (or an order that starts with a string) stay together, since
-nothing tells where to cut between them.
+Several states over the same keys and order share one scan: one count, one
+shuffle of the rows, one summary and one join (see ``quality.reconcile`` and
+``spend.cumulatives``).
 """
 
 from __future__ import annotations
@@ -32,14 +33,15 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DateType, NumericType, TimestampNTZType, TimestampType
 
-#: Rows above which a key is cut into chunks, and the rows a chunk aims at.
+from spendloom.operators.rank import placed, written
+
+#: Rows above which a key is cut into chunks, and the most rows of a chunk.
 DEFAULT_CHUNK_ROWS = 1 << 17
 #: Large keys, or carry rows, up to which the small side is broadcast.
 BROADCAST_ROWS = 100_000
 
-_CHUNK = "__chunk"
+_CHUNK, _PLACE = "__chunk", "__place"
 
 
 def _cols(names) -> list[str]:
@@ -50,105 +52,83 @@ def _cols(names) -> list[str]:
     return list(names)
 
 
-def _number(name: str, dtype: DataType) -> tuple[Column, bool] | None:
-    """(a double that never decreases along the column, whether it tells all values apart)."""
-    c = F.col(name)
-    if isinstance(dtype, NumericType):
-        return c.cast("double"), True
-    if isinstance(dtype, DateType):
-        return F.unix_date(c).cast("double"), True
-    if isinstance(dtype, TimestampType):
-        return F.unix_micros(c).cast("double"), True
-    if isinstance(dtype, TimestampNTZType):
-        return F.unix_date(c.cast("date")).cast("double"), False
-    return None
-
-
 @dataclass
 class Scan:
     """Rows with a chunk number, and what is needed to scan them in order."""
 
     rows: DataFrame
     part: list[str]
-    order: list[str]
+    order: list[str]  # ends with the place, which settles ties in large keys
     carry_rows: int  # 0: no key is cut
 
-    def window(self) -> WindowSpec:
-        return Window.partitionBy(*self.part, _CHUNK).orderBy(*self.order)
+    def keys(self, within: Sequence[str] = ()) -> list[str]:
+        """What a group of the local windows agrees in: key, chunk and, to start anew inside a chunk, ``within``."""
+        return [*self.part, _CHUNK, *[c for c in within if c not in self.part]]
+
+    def window(self, within: Sequence[str] = ()) -> WindowSpec:
+        return Window.partitionBy(*self.keys(within)).orderBy(*self.order)
 
-    def up_to_here(self) -> WindowSpec:
-        return self.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    def up_to_here(self, within: Sequence[str] = ()) -> WindowSpec:
+        return self.window(within).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    def chunks(self) -> WindowSpec:
+    def chunks(self, within: Sequence[str] = ()) -> WindowSpec:
         """Over the summaries of one key."""
-        return Window.partitionBy(*self.part).orderBy(_CHUNK)
+        return Window.partitionBy(*[c for c in self.keys(within) if c != _CHUNK]).orderBy(_CHUNK)
 
-    def summaries(self, rows: DataFrame, *aggregates: Column) -> DataFrame:
+    def chunks_before(self, within: Sequence[str] = ()) -> WindowSpec:
+        return self.chunks(within).rowsBetween(Window.unboundedPreceding, -1)
+
+    def summaries(self, rows: DataFrame, *aggregates: Column, within: Sequence[str] = ()) -> DataFrame:
         """One row per chunk of every key that is cut."""
-        return rows.where("__large").groupBy(*self.part, _CHUNK).agg(*aggregates)
+        return rows.where("__large").groupBy(*self.keys(within)).agg(*aggregates)
 
-    def join_back(self, rows: DataFrame, carry: DataFrame) -> DataFrame:
+    def join_back(self, rows: DataFrame, carry: DataFrame, within: Sequence[str] = ()) -> DataFrame:
         """Left join of the carry on (key, chunk), NULL keys included."""
-        keys = [*self.part, _CHUNK]
+        keys = self.keys(within)
         right = carry.select(*[F.col(k).alias(f"{k}__r") for k in keys], *[c for c in carry.columns if c not in keys])
-        right = F.broadcast(right) if self.carry_rows <= BROADCAST_ROWS else right
+        # periods inside a chunk may be more rows than chunks: Spark decides for them
+        right = F.broadcast(right) if self.carry_rows <= BROADCAST_ROWS and len(keys) == len(self.keys()) else right
         matched = [rows[k].eqNullSafe(right[f"{k}__r"]) for k in keys]
         return rows.join(right, on=matched, how="left").drop(*[f"{k}__r" for k in keys])
 
     def done(self, rows: DataFrame, *extra: str) -> DataFrame:
-        return rows.drop(*extra, _CHUNK, "__large")
+        return rows.drop(*extra, _CHUNK, _PLACE, "__large")
 
 
 def scan(df: DataFrame, part=None, order=(), chunk_rows: int = DEFAULT_CHUNK_ROWS,
          sizes_from: DataFrame | None = None) -> Scan:
-    """Number the chunks of ``df``; runs the size aggregation.
+    """Number the chunks of ``df``; runs the size aggregation, and the sort of large keys if there are any.
 
     ``sizes_from`` may name a cheaper frame to take the sizes from: the same
-    keys and order columns, and at least the rows of ``df`` (say, ``df`` before
-    an expensive filter).
+    keys, and at least the rows of ``df`` (say, ``df`` before an expensive
+    filter).
     """
     part, order = _cols(part), _cols(order)
     source = df if sizes_from is None else sizes_from
-    spans: list[tuple[Column, str]] = []
-    for name in order:
-        number = _number(name, source.schema[name].dataType)
-        if number is None:
-            break
-        spans.append((number[0], f"__o{len(spans)}"))
-        if not number[1]:
-            break
-    limits = [f(c).alias(f"{n}{s}") for c, n in spans for f, s in ((F.min, "_min"), (F.max, "_max"))]
-    sizes = source.groupBy(*part).agg(F.count(F.lit(1)).alias("__n"), *limits).where(F.col("__n") > chunk_rows)
-    n_large, carry_rows = 0, 0
-    if spans:
-        found = sizes.agg(F.count(F.lit(1)), F.sum(F.ceil(F.col("__n") / F.lit(chunk_rows)) + 1)).first()
-        n_large, carry_rows = found[0], found[1] or 0
+    sizes = source.groupBy(*part).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > chunk_rows)
+    n_large, carry_rows = sizes.agg(F.count(F.lit(1)), F.sum(F.ceil(F.col("__n") / F.lit(chunk_rows)) + 1)).first()
+
+    def whole(rows: DataFrame) -> DataFrame:
+        return rows.select("*", F.lit(0).cast("long").alias(_PLACE), F.lit(0).cast("long").alias(_CHUNK), F.lit(False).alias("__large"))
+
     if not n_large:
-        return Scan(df.withColumn(_CHUNK, F.lit(0).cast("long")).withColumn("__large", F.lit(False)), part, order, 0)
-
-    # position of a row in its key's value range, mixed radix over the order columns
-    place, width = F.lit(0.0), F.lit(1.0)
-    for column, name in reversed(spans):
-        low, high = F.col(f"{name}_min"), F.col(f"{name}_max")
-        span = F.coalesce(high - low, F.lit(0.0)) + 2
-        place = place + F.coalesce(column - low + 1, F.lit(0.0)) * width  # NULL is first
-        width = width * span
-    wanted = F.ceil(F.col("__n") / F.lit(chunk_rows)).cast("double")
-    chunk = F.least(wanted - 1, F.greatest(F.lit(0.0), F.floor(place / width * wanted).cast("double"))).cast("long")
-    if n_large <= BROADCAST_ROWS:  # so few rows are kept as they are, and not counted again
-        sizes = df.sparkSession.createDataFrame(sizes.collect(), sizes.schema)
+        return Scan(whole(df), part, order, 0)
+
     if part:
-        small = sizes.select(*[F.col(k).alias(f"{k}__s") for k in part], *[c for c in sizes.columns if c not in part])
-        small = F.broadcast(small) if n_large <= BROADCAST_ROWS else small
-        rows = df.join(small, on=[df[k].eqNullSafe(small[f"{k}__s"]) for k in part], how="left")
-        rows = rows.drop(*[f"{k}__s" for k in part])
+        # so few rows are kept as they are, and not counted again
+        keys = df.sparkSession.createDataFrame(sizes.collect(), sizes.schema) if n_large <= BROADCAST_ROWS else written(sizes, "large-keys")
+        keys = keys.select(*[F.col(k).alias(f"{k}__s") for k in part])
+        keys = F.broadcast(keys) if n_large <= BROADCAST_ROWS else keys
+        same = [df[k].eqNullSafe(keys[f"{k}__s"]) for k in part]
+        small, large = df.join(keys, on=same, how="left_anti"), df.join(keys, on=same, how="left_semi")
     else:
-        one = sizes.first()
-        rows = df.select("*", *[F.lit(one[c]).alias(c) for c in sizes.columns])
-    rows = (rows.withColumn(_CHUNK, F.coalesce(chunk, F.lit(0).cast("long")))
-            .withColumn("__large", F.col("__n").isNotNull())
-            .drop("__n", *[f"{n}{s}" for _, n in spans for s in ("_min", "_max")]))
-    return Scan(rows, part, order, carry_rows)
+        small, large = None, df
+    # the rows are written before they are sorted: the sort reads its input twice, and what made it may be expensive
+    rows = placed(written(large, "large-rows"), *[F.col(c).asc_nulls_first() for c in (*part, *order)], out=_PLACE)
+    rows = rows.select("*", F.floor(F.col(_PLACE) / F.lit(chunk_rows)).alias(_CHUNK), F.lit(True).alias("__large"))
+    if small is not None:
+        rows = rows.unionByName(whole(small))
+    return Scan(rows, part, [*order, _PLACE], carry_rows)
 
 
 def _order_struct(order: Sequence[str]) -> Column:
@@ -166,8 +146,7 @@ def running_sum(df: DataFrame, value: str, out: str, part=None, order=(),
     if not s.carry_rows:
         return s.done(rows)
     totals = s.summaries(s.rows, F.sum(value).alias("__total"))
-    before = s.chunks().rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(*s.part, _CHUNK, F.sum("__total").over(before).alias("__carry"))
+    carry = totals.select(*s.part, _CHUNK, F.sum("__total").over(s.chunks_before()).alias("__carry"))
     rows = s.join_back(rows, carry)
     dtype = rows.schema[out].dataType
     # a running sum is NULL until the first value
@@ -190,8 +169,7 @@ def fill_forward(df: DataFrame, column: str, out: str, part=None, order=(), chun
     # max_by skips NULL orderings, so a chunk without a value has NULL here
     known = F.when(F.col(column).isNotNull(), _order_struct(s.order))
     lasts = s.summaries(s.rows, F.max_by(F.col(column), known).alias("__last"))
-    before = s.chunks().rowsBetween(Window.unboundedPreceding, -1)
-    carry = lasts.select(*s.part, _CHUNK, F.last("__last", ignorenulls=True).over(before).alias("__carry"))
+    carry = lasts.select(*s.part, _CHUNK, F.last("__last", ignorenulls=True).over(s.chunks_before()).alias("__carry"))
     rows = s.join_back(rows, carry)
     return s.done(rows.withColumn(out, F.coalesce(F.col("__local"), F.col("__carry"))), "__local", "__carry")
 

@@ -3,7 +3,7 @@
 ``F.row_number()`` over an order without a key sends every row to one task.
 Here the rows are range-partitioned and sorted once and written with their
 position in their range; the rows of each range are counted, and a running sum
-over these counts (one row per range) turns positions into places. Ties in the
+over these counts (one number per task of the sort) turns positions into places. Ties in the
 leading columns and text columns need nothing special: the ranges are cut
 through the whole order.
 """
@@ -11,8 +11,9 @@ through the whole order.
 from __future__ import annotations
 
 import uuid
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendloom.session import scratch_table_path
@@ -22,6 +23,13 @@ _AT = "__at"
 _BITS = 33
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Write to a fresh folder under the shared checkpoint folder and read back."""
+    path = scratch_table_path(df.sparkSession, f"{label}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def placed(df: DataFrame, *order: Column, out: str, ranges: int | None = None) -> DataFrame:
     """``df`` with ``out`` = 0, 1, 2... along ``order``; runs the sort and writes the rows once.
 
@@ -29,14 +37,11 @@ def placed(df: DataFrame, *order: Column, out: str, ranges: int | None = None) -
     same places, also after a lost executor. Rows that agree in the whole order
     get different places; which of them comes first is settled by the write.
     """
-    spark = df.sparkSession
     ranged = df.repartitionByRange(ranges, *order) if ranges else df.repartitionByRange(*order)
-    path = scratch_table_path(spark, f"placed-{uuid.uuid4().hex}")
-    ranged.sortWithinPartitions(*order).withColumn(_AT, F.monotonically_increasing_id()).write.parquet(path)
-    rows = spark.read.parquet(path)
+    rows = written(ranged.sortWithinPartitions(*order).withColumn(_AT, F.monotonically_increasing_id()), "placed")
     rows = rows.withColumn("__range", F.shiftright(_AT, _BITS))
-    counts = rows.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))  # as many rows as there were tasks
-    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    # one row per task of the sort
+    counts = sorted(rows.groupBy("__range").agg(F.count(F.lit(1)).alias("n")).collect())
+    starts = df.sparkSession.createDataFrame([(r[0], n) for r, n in zip(counts, accumulate((r[1] for r in counts), initial=0))], "__range long, __start long")
     place = F.col("__start") + F.col(_AT).bitwiseAND((1 << _BITS) - 1)
     return rows.join(F.broadcast(starts), "__range").withColumn(out, place).drop("__range", "__start", _AT)

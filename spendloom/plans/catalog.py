@@ -19,11 +19,12 @@ from pyspark.sql import functions as F
 from spendloom.functions import scalars as S
 from spendloom.operators import normalise as N
 from spendloom.operators.ordered import running_sum
-from spendloom.operators.quality import extraction_stats, header_inventory, reconcile
-from spendloom.operators.spend import cumulative, fill_forward, spend_by, spend_by_period
+from spendloom.operators.quality import extraction_stats, header_inventory, period_chain, reconcile, rows_in_several_periods
+from spendloom.operators.spend import cumulatives, fill_forward, spend_by, spend_by_period
 from spendloom.plans import derive as D
 from spendloom.session import scratch_table_path
 from spendloom.schema import LEDGER_HEADERS
+from spendloom.sources.contract import check_contract, split_contract
 from spendloom.sources.readers import (consolidate, read_raw_tables, read_sheet, read_statement_csv,
                                        read_statement_text, statement_meta)
 from spendloom.sources.sinks import preview, write_ledger
@@ -146,7 +147,29 @@ def q_extraction_stats(spark, sf):
     """Every customer's statement, also those that extraction found no table in."""
     raw = _raw(spark, sf)
     asked = D.table(spark, sf, "customer").select(F.concat(F.lit("stmt-"), F.col("c_custkey").cast("string")).alias("statement_id"))
-    return extraction_stats(raw, N.normalise_statements(raw, sort=False), asked)
+    stats = extraction_stats(raw, N.normalise_statements(raw, sort=False), asked)
+    return stats.select("statement_id", "tables_found", "usable_tables", "raw_rows", "ledger_rows")
+
+
+def _faulty(spark, sf):
+    """(raw rows with planted faults, one row per customer's statement with the error of those that broke off)."""
+    statements = D.customer_statements(D.table(spark, sf, "customer"))
+    return D.with_faults(_raw(spark, sf), statements), statements
+
+
+def q_raw_contract(spark, sf):
+    """The contract gate over rows with planted faults: what stays, what goes and why."""
+    checked = check_contract(_faulty(spark, sf)[0])
+    return checked.select("statement_id", F.col("table_idx").cast("long").alias("table_idx"), "row_idx",
+                          F.size("cells").cast("long").alias("n_cells"), "reason", "copies")
+
+
+def q_extraction_status(spark, sf):
+    """G2 with the gate before it: rejected rows, broken-off statements and the state of each statement."""
+    raw, statements = _faulty(spark, sf)
+    kept, rejected = split_contract(raw)
+    stats = extraction_stats(kept, N.normalise_statements(kept, sort=False), statements, rejected)
+    return stats.select("statement_id", "tables_found", "usable_tables", "raw_rows", "ledger_rows", "rejected_rows", "error", "status")
 
 
 def q_raw_tables(spark, sf):
@@ -186,11 +209,8 @@ def q_fill_forward(spark, sf):
 
 def q_cumulative_spend(spark, sf):
     o = _orders(spark, sf).select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-    order = ["o_orderdate", "o_orderkey"]
-    m = cumulative(o, "o_orderdate", "o_totalprice", "month", order=order, keys=["o_custkey"],
-                   out="cumulative_month")
-    y = cumulative(m, "o_orderdate", "o_totalprice", "year", order=order, keys=["o_custkey"],
-                   out="cumulative_year")
+    y = cumulatives(o, "o_orderdate", "o_totalprice", {"cumulative_month": "month", "cumulative_year": "year"},
+                    order=["o_orderdate", "o_orderkey"], keys=["o_custkey"])
     return y.select("o_orderkey", "o_custkey", "cumulative_month", "cumulative_year")
 
 
@@ -209,6 +229,18 @@ def q_reconcile_balance(spark, sf):
     return breaks.select("o_custkey", "o_orderkey", F.col("balance").cast("double").alias("balance"), "prev_balance", "diff", "status")
 
 
+def q_period_chain(spark, sf):
+    """Yearly statement periods per group of customers, with planted gaps, overlaps and changed opening balances."""
+    return period_chain(D.orders_periods(_orders(spark, sf), running_sum), "stmt").select(
+        "stmt", "year", "period_start", "period_end", "gap_days", "overlap_days", "opening_diff", "status")
+
+
+def q_period_repeats(spark, sf):
+    """Movements that stand in two periods: every 37th order is also listed in the year after its own."""
+    rows = D.orders_period_rows(_orders(spark, sf))
+    return rows_in_several_periods(rows, ["o_orderkey", "day", "amount"], "stmt", "year")
+
+
 def q_parse_sheet_date(spark, sf):
     t = D.orders_sheet_date_text(_orders(spark, sf, cpu_heavy=True))
     return t.select("o_orderkey", "sheet_text", S.parse_sheet_date("sheet_text").alias("sheet_date"))
@@ -270,7 +302,7 @@ def _filled_sheets(spark, sf):
     path = scratch_table_path(spark, f"sheets-{uuid.uuid4().hex}")
     D.write_sheet_files(rows, path)
     sheet = read_sheet(spark, f"{path}/grp=*/*.csv").withColumn("d", S.parse_sheet_date("Date"))
-    filled = fill_forward(sheet, "d", order=["src_block", "src_pos"], part="source_file",
+    filled = fill_forward(sheet, "d", order=["line_no"], part="source_file",
                           out="sheet_date")
     grp = F.regexp_extract(F.col("source_file"), r"grp=([0-9]+)", 1).cast("long")
     return filled.withColumn("grp", grp)
@@ -303,7 +335,9 @@ QUERIES: dict[str, Query] = {
     "normalise_statements": q_normalise_statements,
     "ledger_head": q_ledger_head,
     "extraction_stats": q_extraction_stats,
+    "extraction_status": q_extraction_status,
     "header_inventory": q_header_inventory,
+    "raw_contract": q_raw_contract,
     "raw_tables": q_raw_tables,
     "ledger_csv": q_ledger_csv,
     "preview": q_preview,
@@ -312,6 +346,8 @@ QUERIES: dict[str, Query] = {
     "reconcile_balance": q_reconcile_balance,
     "parse_sheet_date": q_parse_sheet_date,
     "consolidate": q_consolidate,
+    "period_chain": q_period_chain,
+    "period_repeats": q_period_repeats,
     "statement_text": q_statement_text,
     "statement_meta": q_statement_meta,
     "statement_csv": q_statement_csv,
@@ -338,6 +374,11 @@ def _clean_amount(x: str) -> str:
             f"ELSE TRY_CAST({z} AS DOUBLE) END)")
 
 
+def _exact(x: str, over: str = "") -> str:
+    """The exact sum of doubles: whole multiples of 2**-50, summed as integers, rounded once."""
+    return f"CAST(SUM(CAST({x} * 1125899906842624 AS HUGEINT)){over} AS DOUBLE) / 1125899906842624"
+
+
 _MONEY = "CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR)"
 _PRICE = "CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE)"
 
@@ -427,15 +468,14 @@ v AS (
 
 def _oracles() -> dict[str, str]:
     sql: dict[str, str] = {}
-    sql["spend_by_category"] = """
+    sql["spend_by_category"] = f"""
 SELECT NULLIF(o_orderpriority, '5-LOW') AS Category,
-       CAST(SUM(CAST(CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice END AS DECIMAL(18,2))) AS DOUBLE)
-         AS Total_Expenditure
+       {_exact("CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice END")} AS Total_Expenditure
 FROM orders GROUP BY 1"""
     for grain in ("month", "year"):
         sql[f"spend_by_{grain}"] = f"""
 SELECT CAST(date_trunc('{grain}', o_orderdate) AS DATE) AS period,
-       CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+       {_exact("o_totalprice")} AS total
 FROM orders GROUP BY 1"""
     grouped = "format('{:,.2f}', CAST(l_extendedprice AS DECIMAL(12,2)))"
     plain = "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR)"
@@ -548,6 +588,37 @@ FROM (SELECT 'stmt-' || CAST(c_custkey AS VARCHAR) AS statement_id FROM customer
 LEFT JOIN o ON o.statement_id = s.statement_id
 LEFT JOIN ledger l ON o.statement_id = l.statement_id AND o.row_idx = l.row_idx
 GROUP BY s.statement_id"""
+    # Planted: every 70th row twice, a longer cell beside every 110th + 1, a fifth cell in every 130th + 2.
+    faults = f"""
+st AS (
+  SELECT 'stmt-' || CAST(c_custkey AS VARCHAR) AS statement_id,
+         CASE WHEN c_custkey % 41 = 0 THEN 'page ' || CAST(c_custkey % 7 AS VARCHAR) || ' unreadable' END AS error,
+         c_custkey % 41 = 0 AND c_custkey % 2 = 0 AS nothing
+  FROM customer),
+f AS (
+  SELECT o.*, CASE variant WHEN 2 THEN 3 WHEN 3 THEN 2 ELSE 4 END AS n_headers
+  FROM o JOIN st ON o.statement_id = st.statement_id AND NOT st.nothing),
+gate AS (
+  SELECT *, CAST(n_headers + CASE WHEN o_orderkey % 130 = 2 THEN 1 ELSE 0 END AS BIGINT) AS n_cells,
+         CASE WHEN o_orderkey % 130 = 2 THEN 'more_cells' END AS reason FROM f
+  UNION ALL SELECT *, CAST(n_headers AS BIGINT), 'repeated' FROM f WHERE o_orderkey % 70 = 0
+  UNION ALL SELECT *, CAST(n_headers AS BIGINT), 'conflict' FROM f WHERE o_orderkey % 110 = 1)"""
+    sql["raw_contract"] = _with(_ORDERS_BASE, faults) + """
+SELECT statement_id, table_idx, row_idx, n_cells, reason, CAST(1 AS BIGINT) AS copies FROM gate"""
+    # A kept row is a ledger row if its table is usable and its kind is none of the undated and rejected ones.
+    sql["extraction_status"] = _with(_ORDERS_BASE, faults, """
+s AS (
+  SELECT st.statement_id, error,
+         COUNT(DISTINCT CASE WHEN reason IS NULL THEN table_idx END) AS tables_found,
+         COUNT(DISTINCT CASE WHEN reason IS NULL AND variant IN (0, 1) THEN table_idx END) AS usable_tables,
+         COUNT(CASE WHEN reason IS NULL THEN row_idx END) AS raw_rows,
+         COUNT(CASE WHEN reason IS NULL AND variant IN (0, 1) AND kind NOT IN (3, 5, 7, 8, 9) THEN row_idx END) AS ledger_rows,
+         COUNT(reason) AS rejected_rows
+  FROM st LEFT JOIN gate ON gate.statement_id = st.statement_id GROUP BY 1, 2)""") + """
+SELECT *, CASE WHEN error IS NOT NULL THEN 'failed' WHEN tables_found + rejected_rows = 0 THEN 'no_table'
+               WHEN tables_found = 0 THEN 'rejected' WHEN usable_tables = 0 THEN 'no_usable_table'
+               WHEN ledger_rows = 0 THEN 'empty_ledger' WHEN rejected_rows > 0 THEN 'partly_rejected' ELSE 'ok' END AS status
+FROM s"""
     sql["raw_tables"] = _with(_ORDERS_BASE) + "SELECT * FROM ledger"
     sql["ledger_csv"] = _with(_ORDERS_BASE) + """
 SELECT value_date AS "Value Date", description AS "Description", CAST(deposit AS VARCHAR) AS "Deposit",
@@ -569,14 +640,13 @@ SELECT event_id,
        LAST_VALUE(CASE WHEN event_id % 4 = 0 THEN ts END IGNORE NULLS)
          OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ts_filled
 FROM events"""
-    sql["cumulative_spend"] = """
+    running = {grain: _exact("o_totalprice", f""" OVER (
+         PARTITION BY o_custkey, date_trunc('{grain}', o_orderdate) ORDER BY o_orderdate, o_orderkey
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""") for grain in ("month", "year")}
+    sql["cumulative_spend"] = f"""
 SELECT o_orderkey, o_custkey,
-       CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) OVER (
-         PARTITION BY o_custkey, date_trunc('month', o_orderdate) ORDER BY o_orderdate, o_orderkey
-         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS cumulative_month,
-       CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) OVER (
-         PARTITION BY o_custkey, date_trunc('year', o_orderdate) ORDER BY o_orderdate, o_orderkey
-         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS cumulative_year
+       {running["month"]} AS cumulative_month,
+       {running["year"]} AS cumulative_year
 FROM orders"""
     sql["reconcile_balance"] = f"""
 WITH mv AS (
@@ -633,6 +703,31 @@ FROM bal"""
 SELECT stmt, period_idx, CAST(o_orderdate AS DATE) AS value_date,
        {cols}
 FROM bal"""
+    # Years follow each other; what was planted is told from stmt + year, and what it does to the next period too.
+    sql["period_chain"] = f"""
+WITH mv AS (
+  SELECT CAST(o_custkey // {D.STATEMENT_CUSTOMERS} AS BIGINT) AS stmt, CAST(year(o_orderdate) AS BIGINT) AS year,
+         SUM(CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'F' THEN -1 ELSE 0 END * CAST(o_totalprice AS DECIMAL(12,2))) AS moved
+  FROM orders GROUP BY 1, 2),
+p AS (
+  SELECT stmt, year, (stmt + year) % 5 AS planted,
+         {D.OPENING_BALANCE} + SUM(moved) OVER (PARTITION BY stmt ORDER BY year) AS closing, moved,
+         LAG(year) OVER (PARTITION BY stmt ORDER BY year) AS last_year
+  FROM mv),
+q AS (
+  SELECT *, CASE planted WHEN 1 THEN make_date(year, 2, 1) WHEN 2 THEN make_date(year - 1, 12, 21) ELSE make_date(year, 1, 1) END AS period_start,
+         make_date(year, 12, 31) AS period_end FROM p)
+SELECT stmt, year, period_start, period_end,
+       CAST(CASE WHEN last_year IS NOT NULL THEN GREATEST(date_diff('day', make_date(last_year, 12, 31), period_start) - 1, 0) END AS BIGINT) AS gap_days,
+       CAST(CASE WHEN last_year IS NOT NULL THEN GREATEST(1 - date_diff('day', make_date(last_year, 12, 31), period_start), 0) END AS BIGINT) AS overlap_days,
+       CASE WHEN last_year IS NOT NULL THEN CAST(CASE planted WHEN 3 THEN 1 ELSE 0 END AS DOUBLE) END AS opening_diff,
+       CASE WHEN last_year IS NULL THEN 'first' WHEN last_year = year - 1 AND planted = 2 THEN 'overlap'
+            WHEN last_year < year - 1 OR planted = 1 THEN 'gap' WHEN planted = 3 THEN 'balance' ELSE 'ok' END AS status
+FROM q"""
+    sql["period_repeats"] = f"""
+SELECT CAST(o_custkey // {D.STATEMENT_CUSTOMERS} AS BIGINT) AS stmt, o_orderkey, CAST(o_orderdate AS DATE) AS day,
+       o_totalprice AS amount, CAST(2 AS BIGINT) AS n_periods, CAST(year(o_orderdate) AS BIGINT) AS first_period
+FROM orders WHERE o_orderkey % 37 = 0"""
     sql["statement_csv"] = stmt_rows + f"""
 SELECT stmt, CAST(o_orderdate AS DATE) AS value_date,
        {cols}
@@ -664,7 +759,7 @@ f AS (
     sql["sheet_fill_forward"] = sheets + "SELECT grp, item, sheet_date FROM f"
     sql["sheet_spend_by_month"] = sheets + """
 SELECT category AS Category, CAST(date_trunc('month', sheet_date) AS DATE) AS period,
-       CAST(SUM(CAST(expenditure AS DECIMAL(18,2))) AS DOUBLE) AS total
+       """ + _exact("expenditure") + """ AS total
 FROM f GROUP BY 1, 2"""
     return {k: v.strip() for k, v in sql.items()}
 

@@ -106,6 +106,29 @@ def orders_raw_rows(orders: DataFrame) -> DataFrame:
     )
 
 
+def customer_statements(customer: DataFrame) -> DataFrame:
+    """Every customer's statement and, for ``c_custkey % 41 = 0``, why its extraction broke off."""
+    key = F.col("c_custkey")
+    error = F.when(key % 41 == 0, F.concat(F.lit("page "), (key % 7).cast("string"), F.lit(" unreadable")))
+    return customer.select(F.concat(F.lit("stmt-"), key.cast("string")).alias("statement_id"), error.alias("error"),
+                           ((key % 41 == 0) & (key % 2 == 0)).alias("nothing"))
+
+
+def with_faults(raw: DataFrame, statements: DataFrame) -> DataFrame:
+    """``raw_rows`` with planted breaches of the contract, told from the row number (the order's key).
+
+    ``% 70 = 0``: the row is there twice; ``% 110 = 1``: another row, with a
+    longer first cell, stands at its position; ``% 130 = 2``: one cell more
+    than headers. Statements marked ``nothing`` lose all rows.
+    """
+    n = F.col("row_idx")
+    here = raw.join(statements.where("not nothing").select("statement_id"), "statement_id", "left_semi")
+    more = F.when(n % 130 == 2, F.concat("cells", F.array(F.lit("extra")))).otherwise(F.col("cells"))
+    longer = F.transform("cells", lambda c, i: F.when(i == 0, F.concat(c, F.lit("~"))).otherwise(c))
+    every = (F.when(n % 70 == 0, F.array("cells", "cells")).when(n % 110 == 1, F.array("cells", longer)).otherwise(F.array(more)))
+    return here.select("statement_id", "table_idx", "row_idx", "headers", F.explode(every).alias("cells"))
+
+
 def lineitem_amount_text(lineitem: DataFrame) -> DataFrame:
     """``l_extendedprice`` dressed up as statement amount text by line number."""
     p = F.col("l_extendedprice")
@@ -245,6 +268,33 @@ def orders_statement_movements(orders: DataFrame, running_sum) -> DataFrame:
     return run.withColumn("balance", (F.col("__run") + F.lit(OPENING_BALANCE)).cast("decimal(28,2)")).drop("__delta", "__run")
 
 
+def orders_periods(orders: DataFrame, running_sum) -> DataFrame:
+    """One row per statement and year: stmt, year, period_start, period_end, opening_balance, closing_balance.
+
+    Planted by ``(stmt + year) % 5``: 1 begins a month late, 2 begins eleven
+    days early, 3 opens one higher than the year before closed.
+    """
+    year = F.year("o_orderdate")
+    moves = orders_statement_movements(orders, running_sum)
+    moved = F.coalesce(F.col("credit"), F.lit(0)) - F.coalesce(F.col("debit"), F.lit(0))
+    place = F.struct("o_orderdate", "o_orderkey")
+    p = (moves.select("stmt", year.cast("long").alias("year"), place.alias("at"), "balance", (F.col("balance") - moved).alias("before"))
+         .groupBy("stmt", "year").agg(F.min_by("before", "at").alias("before"), F.max_by("balance", "at").alias("closing_balance")))
+    planted = (F.col("stmt") + F.col("year")) % 5
+    jan1 = F.make_date(F.col("year").cast("int"), F.lit(1), F.lit(1))
+    start = F.when(planted == 1, F.add_months(jan1, 1)).when(planted == 2, F.date_sub(jan1, 11)).otherwise(jan1)
+    return p.select("stmt", "year", start.alias("period_start"), F.make_date(F.col("year").cast("int"), F.lit(12), F.lit(31)).alias("period_end"),
+                    (F.col("before") + F.when(planted == 3, 1).otherwise(0)).alias("opening_balance"), "closing_balance")
+
+
+def orders_period_rows(orders: DataFrame) -> DataFrame:
+    """Movements by statement and year; every 37th order also stands in the year after."""
+    year = F.year("o_orderdate").cast("long")
+    years = F.when(F.col("o_orderkey") % 37 == 0, F.array(year, year + 1)).otherwise(F.array(year))
+    return orders.select(F.expr(f"o_custkey div {STATEMENT_CUSTOMERS}").alias("stmt"), F.explode(years).alias("year"), "o_orderkey",
+                         F.to_date("o_orderdate").alias("day"), F.col("o_totalprice").alias("amount"))
+
+
 def _blank_or(text: Column) -> Column:
     return F.coalesce(text, F.lit(" "))
 

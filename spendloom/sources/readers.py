@@ -1,51 +1,57 @@
 """Readers: expenditure sheets, extracted tables, statement text and CSV.
 
-Row order is data. File readers attach a total order per file without any
-single-task step: ``_metadata.file_block_start`` orders the splits of a file
-and ``monotonically_increasing_id()`` orders lines inside a split, so
-``(source_file, src_block, src_pos)`` follows the file's line order while the
-file is still read by many tasks in parallel.
+Row order is data. Spark says in which split of which file a line stands and
+counts lines inside a split, but another scan of the same files may be split
+differently (other executors, other settings), so positions of two scans must
+not be compared. The lines are therefore read from their files once, written
+to the shared scratch folder with split and place, and everything else (header
+lines, blank lines, rows) reads the written lines. Counting the lines of each
+split turns places into line numbers of the file: the same numbers, however
+the files were split, without a step that sees all lines of a file.
 
 Columns are found by caption, and every file has its own header line: files
 with other column orders can be read together. The header lines and the lines
-that end a statement are few; one scan finds them, they are written to the
-shared scratch folder, and the rows are joined to their file's.
+that end a statement are few; they are joined to their file's rows.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spendloom.functions.scalars import WS, clean_amount, parse_day_month_yy, py_strip
+from spendloom.operators.rank import written
 from spendloom.schema import (OPENING_BALANCE_PREFIX, RAW_ROWS_SCHEMA,
                               SHEET_SCHEMA, STATEMENT_META_KEYS)
-from spendloom.session import scratch_table_path
 
-ORDER_COLUMNS = ["source_file", "src_block", "src_pos"]
-#: Files up to which their header lines are broadcast.
+ORDER_COLUMNS = ["source_file", "line_no"]
+#: Files, or splits of files, up to which their few facts are broadcast.
 BROADCAST_FILES = 10_000
 BOM = "\ufeff"
 
 
-def _with_order(df: DataFrame) -> DataFrame:
-    return df.select(F.col("_metadata.file_path").alias("source_file"),
-                     F.col("_metadata.file_block_start").alias("src_block"),
-                     F.monotonically_increasing_id().alias("src_pos"),
-                     *[F.col(c) for c in df.columns])
+def numbered_lines(spark: SparkSession, path: str, **marks: Column) -> DataFrame:
+    """All lines of text files: ``source_file``, ``line_no`` (0, 1... in each file), ``line`` and ``marks``.
 
-
-def _kept(df: DataFrame, label: str) -> DataFrame:
-    """Write a small table to the shared scratch folder and read it back."""
-    path = scratch_table_path(df.sparkSession, f"{label}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def _per_file(rows: DataFrame, files: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    A trailing carriage return is not part of the line. ``marks`` are columns
+    over ``line``, evaluated in the one scan of the files. The lines are
+    written while this function runs; the frame reads what was written.
+    """
+    raw = spark.read.text(path)
+    lines = raw.select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("__block"),
+                       F.monotonically_increasing_id().alias("__at"), F.regexp_replace("value", r"\r$", "").alias("line"))
+    lines = written(lines.select("*", *[m.alias(name) for name, m in marks.items()]), "lines")
+    # a split is read by one task from its first line to its last
+    splits = lines.groupBy("source_file", "__block").agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy("source_file").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = written(splits.select("source_file", "__block", (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")).alias("__start")), "line-splits")
+    rows = _per_file(lines, starts, ["source_file", "__block"])
+    return rows.select("source_file", (F.col("__at") + F.col("__start")).alias("line_no"), "line", *marks)
+
+
+def _per_file(rows: DataFrame, files: DataFrame, key: str | list[str], how: str = "inner") -> DataFrame:
     """Join each file's few facts to its rows; broadcast while the files are few.
 
     Beyond that, a join on the file that Spark can split where one file is large.
@@ -57,46 +63,86 @@ def _per_file(rows: DataFrame, files: DataFrame, key: str, how: str = "inner") -
 # CSV with captions
 # ---------------------------------------------------------------------------
 
-def captioned_csv(spark: SparkSession, path: str, captions: Mapping[str, str]) -> DataFrame:
+def _csv_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(the lines that are not blank, the first of them in each file as ``at`` and ``header``)."""
+    lines = numbered_lines(spark, path, is_blank=py_strip("line") == "").where("not is_blank").drop("is_blank")
+    first = lines.groupBy("source_file").agg(F.min("line_no").alias("at"), F.min_by("line", "line_no").alias("header"))
+    return lines, written(first.withColumn("header", F.regexp_replace("header", f"^{BOM}", "")), "csv-headers")
+
+
+def _cells(line: str, width: int) -> Column:
+    """The fields of a CSV line as an array of at least their number."""
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    return F.transform(F.array(F.from_csv(line, schema)), lambda f: F.array(*[f[f"c{i}"] for i in range(width)]))[0]
+
+
+def _by_caption(lines: DataFrame, first: DataFrame, captions: Mapping[str, str]) -> DataFrame:
+    width = first.agg(F.max(F.size(F.split("header", ",", -1)))).first()[0] or 1
+    heads = first.withColumn("heads", F.transform(_cells("header", width), py_strip))
+    heads = heads.select("source_file", "at", *[F.array_position("heads", caption).cast("int").alias(f"at_{i}") for i, caption in enumerate(captions.values())])
+    rows = _per_file(lines, heads, "source_file").where(F.col("line_no") > F.col("at")).withColumn("cells", _cells("line", width))
+    return rows.select(*ORDER_COLUMNS, *[F.when(F.col(f"at_{i}") > 0, F.get("cells", F.col(f"at_{i}") - 1)).alias(name) for i, name in enumerate(captions)])
+
+
+def captioned_csv(spark: SparkSession, path: str, captions: Mapping[str, str] | None = None) -> DataFrame:
     """CSV files as text columns found by caption, each file by its own header.
 
     ``captions`` maps output names to captions, compared after stripping
-    white space and a byte order mark. A caption that a file lacks gives NULL.
-    The header is a file's first line that is not blank; blank lines are
-    skipped; a quoted field may hold commas but no line break.
+    white space and a byte order mark; without it every caption of any file
+    is a column, named and ordered as first seen (files by name). A caption
+    that a file lacks gives NULL. The header is a file's first line that is not
+    blank; blank lines are skipped; a quoted field may hold commas but no line
+    break. The columns ``source_file`` and ``line_no`` come first.
     """
-    lines = (_with_order(spark.read.text(path))
-             .select(*ORDER_COLUMNS, F.regexp_replace("value", r"\r$", "").alias("line"))
-             .where(py_strip("line") != ""))
-    place = F.struct("src_block", "src_pos")
-    first = lines.groupBy("source_file").agg(F.min(place).alias("at"), F.min_by("line", place).alias("header"))
-    first = _kept(first.withColumn("header", F.regexp_replace("header", f"^{BOM}", "")), "csv-headers")
-    width = first.agg(F.max(F.size(F.split("header", ",", -1)))).first()[0] or 1
-    schema = ", ".join(f"c{i} string" for i in range(width))
-    fields = F.array(*[F.col(f"f.c{i}") for i in range(width)])
-    heads = (first.withColumn("f", F.from_csv("header", schema)).withColumn("heads", F.transform(fields, py_strip))
-             .select("source_file", "at", *[F.array_position("heads", caption).cast("int").alias(f"at_{name}") for name, caption in captions.items()]))
-    rows = _per_file(lines, heads, "source_file").where(place > F.col("at"))
-    rows = rows.withColumn("f", F.from_csv("line", schema)).withColumn("cells", fields)
-    return rows.select(*ORDER_COLUMNS, *[F.when(F.col(f"at_{name}") > 0, F.get("cells", F.col(f"at_{name}") - 1)).alias(name) for name in captions])
+    lines, first = _csv_lines(spark, path)
+    if captions is None:
+        width = first.agg(F.max(F.size(F.split("header", ",", -1)))).first()[0] or 1
+        seen = first.select("source_file", F.posexplode(F.transform(_cells("header", width), py_strip)).alias("pos", "caption"))
+        seen = seen.where("caption <> ''").groupBy("caption").agg(F.min(F.struct("source_file", "pos")).alias("place"))
+        captions = {r.caption: r.caption for r in seen.orderBy("place").select("caption").collect()}  # as many as there are columns
+    return _by_caption(lines, first, captions)
 
 
 # ---------------------------------------------------------------------------
 # S1 sheet
 # ---------------------------------------------------------------------------
 
+#: What a column of text may be, the narrowest first.
+_INFERRED = ("int", "bigint", "double", "date", "timestamp", "boolean")
+
+
+def inferred(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``df`` with each text column as the first of int, bigint, double, date, timestamp and boolean that holds all its filled cells.
+
+    One aggregation over the cells; a column without a filled cell stays text.
+    """
+    def named(c: str) -> Column:
+        return F.col("`" + c.replace("`", "``") + "`")
+
+    def cell(c: str) -> Column:
+        return F.nullif(py_strip(named(c)), F.lit(""))
+
+    fits = [F.min(F.when(cell(c).isNotNull(), cell(c).try_cast(t).isNotNull())).alias(f"{i}_{t}") for i, c in enumerate(columns) for t in _INFERRED]
+    found = df.agg(*fits).first() if columns else None
+    kinds = {c: next((t for t in _INFERRED if found[f"{i}_{t}"]), None) for i, c in enumerate(columns)}
+    return df.select(*[c for c in df.columns if c not in kinds],
+                     *[(cell(c).try_cast(kinds[c]) if kinds[c] else F.nullif(named(c), F.lit(""))).alias(c) for c in columns])
+
+
 def read_sheet(spark: SparkSession, path: str, schema=SHEET_SCHEMA, infer: bool = False,
                with_order: bool = True) -> DataFrame:
     """CSV with a header row, columns found by caption.
 
     Amounts are read as text and cleaned (``"1,250.50"`` is 1250.5). With
-    ``with_order`` the file order columns ``source_file, src_block, src_pos``
-    and ``bad_cells`` (filled amount cells of the row that hold no amount) are
-    added. ``infer=True`` reproduces header + inferSchema instead.
+    ``with_order`` the file order columns ``source_file, line_no`` and
+    ``bad_cells`` (filled amount cells of the row that hold no amount) are
+    added. ``infer=True`` takes the captions and the column types from the
+    files instead of ``schema``: each file's columns by its own header.
     """
     if infer:
-        df = spark.read.option("header", True).option("inferSchema", True).csv(path)
-        return _with_order(df) if with_order else df
+        raw = captioned_csv(spark, path)
+        df = inferred(raw, [c for c in raw.columns if c not in ORDER_COLUMNS])
+        return df if with_order else df.drop(*ORDER_COLUMNS)
     raw = captioned_csv(spark, path, {f.name: f.name for f in schema.fields})
     bad = F.lit(0)
     out = []
@@ -144,16 +190,8 @@ STATEMENT_DATE_FORMAT = "d MMM yyyy"
 
 
 def statement_lines(spark: SparkSession, path: str) -> DataFrame:
-    """All lines of the statement text files with their per-file order.
-
-    Columns: statement_id (file path), src_block, src_pos, line (trailing
-    carriage return removed), and ``k`` = struct(src_block, src_pos).
-    """
-    lines = spark.read.text(path)
-    return (_with_order(lines)
-            .select(F.col("source_file").alias("statement_id"), "src_block", "src_pos",
-                    F.regexp_replace("value", r"\r$", "").alias("line"))
-            .withColumn("k", F.struct("src_block", "src_pos")))
+    """All lines of the statement text files: statement_id (file path), line_no, line, is_header, is_blank."""
+    return numbered_lines(spark, path, is_header=_is_header(F.col("line")), is_blank=py_strip("line") == "").withColumnRenamed("source_file", "statement_id")
 
 
 def _header_fields(line: Column) -> Column:
@@ -169,21 +207,17 @@ def _is_header(line: Column) -> Column:
 
 
 def _marks(lines: DataFrame) -> DataFrame:
-    """Per file: where its header stands, the header line, and the first blank line after it.
+    """Per file: where its header stands (``hk``), the header line, and the first blank line after it (``bk``).
 
-    One scan keeps the header and blank lines; a file without a header line
-    is listed with NULLs.
+    A file without a header line is listed with NULLs.
     """
-    header, blank = _is_header(F.col("line")), py_strip(F.col("line")) == ""
-    marked = _kept(lines.groupBy("statement_id", F.when(header, "h").when(blank, "b").alias("kind"),
-                                 F.when(header | blank, F.col("k")).alias("k"))
-                   .agg(F.max(F.when(header, F.col("line"))).alias("line")), "statement-marks")
-    files = marked.select("statement_id").distinct()
-    heads = (marked.where("kind = 'h'").groupBy("statement_id")
-             .agg(F.min("k").alias("hk"), F.min_by("line", "k").alias("header_line")))
-    ends = (marked.where("kind = 'b'").join(heads, "statement_id").where(F.col("k") > F.col("hk"))
-            .groupBy("statement_id").agg(F.min("k").alias("bk")))
-    return _kept(files.join(heads, "statement_id", "left").join(ends, "statement_id", "left"), "statement-parts")
+    header = F.col("is_header")
+    heads = lines.groupBy("statement_id").agg(F.min(F.when(header, F.col("line_no"))).alias("hk"),
+                                              F.min_by("line", F.when(header, F.col("line_no"))).alias("header_line"))
+    heads = written(heads, "statement-headers")
+    blank = _per_file(lines.where("is_blank").select("statement_id", "line_no"), heads.select("statement_id", "hk"), "statement_id")
+    ends = blank.where("line_no > hk").groupBy("statement_id").agg(F.min("line_no").alias("bk"))
+    return written(heads.join(ends, "statement_id", "left"), "statement-parts")
 
 
 def read_statement_text(spark: SparkSession, path: str) -> DataFrame:
@@ -193,12 +227,12 @@ def read_statement_text(spark: SparkSession, path: str) -> DataFrame:
     first blank line after it and ignores the trailer. Header captions are
     matched after stripping (padded names, trailing empty field). A file
     without a header line has no rows; ``statement_meta`` reports it. Columns:
-    statement_id, src_block, src_pos, txn_date, value_date (dates),
+    statement_id, line_no, txn_date, value_date (dates),
     description, ref_no (stripped text), debit, credit, balance (doubles).
     """
     lines = statement_lines(spark, path)
     loc = _per_file(lines, _marks(lines).where("hk is not null"), "statement_id")
-    rows = loc.where((F.col("k") > F.col("hk")) & (F.col("bk").isNull() | (F.col("k") < F.col("bk"))))
+    rows = loc.where((F.col("line_no") > F.col("hk")) & (F.col("bk").isNull() | (F.col("line_no") < F.col("bk"))))
     hdr = _header_fields(F.col("header_line"))
     fields = F.split(F.col("line"), "\t", -1)
 
@@ -206,7 +240,7 @@ def read_statement_text(spark: SparkSession, path: str) -> DataFrame:
         pos = F.array_position(hdr, caption).cast("int")
         return F.when(pos > 0, py_strip(F.get(fields, pos - 1)))
 
-    out = [F.col("statement_id"), F.col("src_block"), F.col("src_pos")]
+    out = [F.col("statement_id"), F.col("line_no")]
     for name, caption in STATEMENT_TEXT_COLUMNS.items():
         v = field(caption)
         if name.endswith("_date"):
@@ -228,17 +262,17 @@ def statement_meta(spark: SparkSession, path: str) -> DataFrame:
     """
     lines = statement_lines(spark, path)
     marks = _marks(lines)
-    pre = _per_file(lines, marks, "statement_id").where(F.col("hk").isNull() | (F.col("k") < F.col("hk")))
+    pre = _per_file(lines, marks, "statement_id").where(F.col("hk").isNull() | (F.col("line_no") < F.col("hk")))
     parts = F.split(F.col("line"), "\t", 2)
     raw_key = py_strip(F.regexp_replace(F.get(parts, 0), rf":{WS}*$", ""))
     val = py_strip(F.get(parts, 1))
-    kv = pre.select("statement_id", "k", F.lower(raw_key).alias("key"), raw_key.alias("raw_key"), val.alias("val"))
+    kv = pre.select("statement_id", "line_no", F.lower(raw_key).alias("key"), raw_key.alias("raw_key"), val.alias("val"))
     aggs = [F.max(F.when(F.col("key") == k, F.try_to_date(F.col("val"), STATEMENT_DATE_FORMAT)))
             .alias(name) for k, name in STATEMENT_META_KEYS.items()]
     is_open = F.col("key").startswith(OPENING_BALANCE_PREFIX)
     open_date = py_strip(F.substr(F.col("raw_key"), F.lit(len(OPENING_BALANCE_PREFIX) + 1)))
     opening = F.struct(clean_amount(F.col("val")).alias("amount"), F.try_to_date(open_date, STATEMENT_DATE_FORMAT).alias("day"))
-    facts = kv.groupBy("statement_id").agg(*aggs, F.min_by(opening, F.when(is_open, F.col("k"))).alias("opening"))
+    facts = kv.groupBy("statement_id").agg(*aggs, F.min_by(opening, F.when(is_open, F.col("line_no"))).alias("opening"))
     status = F.when(F.col("hk").isNull(), "no_header").otherwise("ok")
     return marks.join(facts, "statement_id", "left").select(
         "statement_id", *STATEMENT_META_KEYS.values(), F.col("opening.amount").alias("opening_balance"),
@@ -255,13 +289,12 @@ def read_statement_csv(spark: SparkSession, path: str) -> DataFrame:
     Two-digit years pivot at 69 as in Python (Spark's ``yy`` always means 20yy).
     Every file's columns are found by its own header.
 
-    Columns: statement_id, src_block, src_pos, value_date, description,
-    ref_no, debit, credit, balance.
+    Columns: statement_id, line_no, value_date, description, ref_no, debit, credit, balance.
     """
     captions = {name: caption for name, caption in STATEMENT_TEXT_COLUMNS.items() if name != "txn_date"}
     raw = captioned_csv(spark, path, captions)
     return raw.select(
-        F.col("source_file").alias("statement_id"), "src_block", "src_pos",
+        F.col("source_file").alias("statement_id"), "line_no",
         parse_day_month_yy(py_strip("value_date")).alias("value_date"),
         py_strip("description").alias("description"),
         py_strip("ref_no").alias("ref_no"),

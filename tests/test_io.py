@@ -4,12 +4,13 @@ import datetime as dt
 import glob
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from spendloom.operators import extraction_stats, normalise_statements, reconcile, running_sum, spend_by
 from spendloom.schema import LEDGER_SCHEMA, RAW_ROWS_SCHEMA
-from spendloom.sources import (consolidate, preview, read_raw_tables, read_sheet, read_statement_csv,
-                               read_statement_text, statement_meta, write_ledger)
+from spendloom.sources import (captioned_csv, consolidate, preview, read_raw_tables, read_sheet, read_statement_csv,
+                               read_statement_text, recover_ledger, sinks, statement_meta, write_ledger)
 
 T = "\t"
 HDR = T.join(["Txn Date", "Value Date", "Description", "Ref No./Cheque No.", "        Debit",
@@ -90,9 +91,53 @@ def test_every_csv_file_has_its_own_column_order(spark, tmp_dir):
     assert rows["a.csv2024-01-01"].debit == 400.0 and len(rows) == 5
 
 
+def _split_settings(spark, n):
+    spark.conf.set("spark.sql.files.minPartitionNum", str(n))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000" if n > 4 else "128m")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1" if n > 4 else "4m")
+
+
+def test_rows_do_not_depend_on_how_files_are_split(spark, tmp_dir):
+    """Header, blank-line and row scans agree, also when the settings change between building and running."""
+    n = 700
+    rows = [[f"{1 + i % 28} Jan 2024", f"{1 + i % 28} Jan 2024", f"row {i}", "", "1.00", " ", f"{i}.00"] for i in range(n)]
+    order = ["Balance", "Value Date", "Description", "Debit", "Credit"]
+    for k in range(6):
+        cut = rows[k * 100 :]
+        text = _stmt("1.00", "1 Jan 2024", "31 Jan 2024", cut) + "9\ttrailing line\n" * 50
+        heads = order[k % 3 :] + order[: k % 3]
+        named = {"Balance": lambda i: f"{i}.00", "Value Date": lambda i: "05-Mar-24", "Description": lambda i: f"row {i}", "Debit": lambda i: "1.00", "Credit": lambda i: ""}
+        csv = "\n" * k + ",".join(heads) + "\r\n" + "".join(",".join(named[h](i) for h in heads) + ("\r\n" if i % 2 else "\n\n") for i in range(k * 100, n))
+        _files(tmp_dir, {f"t{k}.txt": text, f"c{k}.csv": csv})
+    seen = []
+    try:
+        for building, running in ((2, 2), (2, 16), (16, 2)):
+            _split_settings(spark, building)
+            frames = [read_statement_text(spark, f"{tmp_dir}/*.txt"), read_statement_csv(spark, f"{tmp_dir}/*.csv"), captioned_csv(spark, f"{tmp_dir}/*.csv")]
+            meta = statement_meta(spark, f"{tmp_dir}/*.txt")
+            _split_settings(spark, running)
+            assert [f.count() for f in frames] == [2700, 2700, 2700] and meta.where("status = 'ok'").count() == 6
+            assert frames[1].where("balance is null or description = 'Description'").count() == 0
+            seen.append([sorted(map(tuple, f.drop("debit", "credit").collect()), key=str) for f in frames])
+    finally:
+        for key in ("minPartitionNum", "maxPartitionBytes", "openCostInBytes"):
+            spark.conf.unset(f"spark.sql.files.{key}")
+    assert seen[0] == seen[1] == seen[2]
+    text, csv = seen[0][0], seen[0][1]
+    assert {(os.path.basename(r[0]), r[1], r[4]) for r in text} == {(f"t{k}.txt", 5 + i - 100 * k, f"row {i}") for k in range(6) for i in range(100 * k, n)}
+
+
+def test_inferred_columns_of_files_with_other_captions(spark, tmp_dir):
+    d = _files(tmp_dir, {"a.csv": "Day,Spent,n\n2024-01-05,1.5,3\n,2,4000000000\n", "b.csv": "n,Note,Spent\n7, 12x ,\n"})
+    df = read_sheet(spark, f"{d}/*.csv", infer=True)
+    assert dict(df.dtypes) == {"source_file": "string", "line_no": "bigint", "Day": "date", "Spent": "double", "n": "bigint", "Note": "string"}
+    rows = {(os.path.basename(r.source_file), r.line_no): (r.Day, r.Spent, r.n, r.Note) for r in df.collect()}
+    assert rows == {("a.csv", 1): (dt.date(2024, 1, 5), 1.5, 3, None), ("a.csv", 2): (None, 2.0, 4000000000, None), ("b.csv", 1): (None, None, 7, " 12x ")}
+
+
 def test_sheet_columns_by_caption(spark, tmp_dir):
     d = _files(tmp_dir, {"s.csv": "Category,Expenditure,Date,Item\nFood,\"1,250.50\",1-6-2025,\"Apples, Pears\"\nAuto,n/a,,Bus\n"})
-    rows = read_sheet(spark, os.path.join(d, "s.csv")).orderBy("src_pos").collect()
+    rows = read_sheet(spark, os.path.join(d, "s.csv")).orderBy("line_no").collect()
     assert (rows[0].Date, rows[0].Item, rows[0].Expenditure, rows[0].Category, rows[0].bad_cells) == ("1-6-2025", "Apples, Pears", 1250.5, "Food", 0)
     assert (rows[1].Date, rows[1].Expenditure, rows[1].Comments, rows[1].bad_cells) == (None, None, None, 1)
 
@@ -108,6 +153,21 @@ def test_missing_balance_hides_no_break(spark):
         assert [(r.n, r.status, r.prev_balance, r.diff) for r in cut] == got
 
 
+def test_reconcile_shuffles_the_rows_once_and_counts_once(spark):
+    rows = [("a" if n % 3 else "b", n, None, 1.0, float(n)) for n in range(60)]
+    df = spark.createDataFrame(rows, "acct string, n int, debit double, credit double, balance double")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("reconcile-sizes", "size job")
+    out = reconcile(df, "acct", "n", "debit", "credit", "balance", breaks_only=False)
+    assert len(tracker.getJobIdsForGroup("reconcile-sizes")) <= 3  # one collect, split into jobs by AQE
+    spark.sparkContext.setJobGroup("", "")
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    whole = {r.n: (r.status, r.prev_balance, r.diff) for r in out.collect()}
+    for size in (1, 7):
+        cut = reconcile(df, "acct", "n", "debit", "credit", "balance", breaks_only=False, chunk_rows=size)
+        assert {r.n: (r.status, r.prev_balance, r.diff) for r in cut.collect()} == whole
+
+
 def test_large_amounts_are_exact_or_missing(spark):
     df = spark.createDataFrame([("a", 0.005), ("a", 0.005), ("b", 1e17), ("c", 1e300), ("c", 1.0)], "k string, v double")
     assert {r.k: r.t for r in spend_by(df, "k", "v", "t").collect()} == {"a": 0.01, "b": 1e17, "c": 1.0}
@@ -123,6 +183,67 @@ def test_refused_target_falls_back(spark, tmp_dir):
     assert os.listdir(target) == [] and os.listdir(written)
 
 
+LEDGER = [("2024-01-01", "new", None, 1.0, 2.0)]
+
+
+def _texts(path):
+    return "".join(open(f, encoding="utf-8").read() for f in sorted(glob.glob(os.path.join(path, "*.csv"))))
+
+
+def _beside(tmp_dir):
+    return sorted(os.listdir(tmp_dir))
+
+
+def test_ledger_is_replaced_whole(spark, tmp_dir):
+    target = os.path.join(tmp_dir, "ledger.csv")
+    write_ledger(spark.createDataFrame([("2023-01-01", "old", None, 1.0, 2.0)] * 3, LEDGER_SCHEMA), target)
+    assert write_ledger(spark.createDataFrame(LEDGER, LEDGER_SCHEMA), target) == target
+    assert "new" in _texts(target) and "old" not in _texts(target) and _beside(tmp_dir) == ["ledger.csv"]
+
+
+def test_target_refused_after_the_check(spark, tmp_dir, monkeypatch):
+    target, now = os.path.join(tmp_dir, "ledger.csv"), dt.datetime(2026, 6, 1, 12, 0, 5)
+    write_ledger(spark.createDataFrame([("2023-01-01", "old", None, 1.0, 2.0)], LEDGER_SCHEMA), target)
+    rename = sinks._Files.renamed
+    for refused in (lambda s, t: s == target, lambda s, t: t == target and sinks.STAGING in s):  # neither may the old one move nor the new one come
+        for f in glob.glob(os.path.join(tmp_dir, "*_processed_*")):
+            os.rename(f, f + ".seen")
+        monkeypatch.setattr(sinks._Files, "renamed", lambda self, s, t: not refused(s, t) and rename(self, s, t))
+        got = write_ledger(spark.createDataFrame(LEDGER, LEDGER_SCHEMA), target, now=now)
+        assert got == os.path.join(tmp_dir, "ledger_processed_20260601_120005.csv")
+        assert "new" in _texts(got) and "old" in _texts(target) and "new" not in _texts(target)
+        assert not [f for f in _beside(tmp_dir) if sinks.STAGING in f or sinks.OLD in f]
+
+
+def test_job_that_dies_leaves_one_ledger_whole(spark, tmp_dir, monkeypatch):
+    target = os.path.join(tmp_dir, "ledger.csv")
+    write_ledger(spark.createDataFrame([("2023-01-01", "old", None, 1.0, 2.0)], LEDGER_SCHEMA), target)
+    broken = spark.createDataFrame(LEDGER, LEDGER_SCHEMA).withColumn("description", F.raise_error(F.lit("lost")))
+    with pytest.raises(Exception, match="lost"):
+        write_ledger(broken, target)
+    assert "old" in _texts(target)
+    rename = sinks._Files.renamed
+
+    def dies(self, source, to):
+        if to == target:
+            raise KeyboardInterrupt
+        return rename(self, source, to)
+
+    monkeypatch.setattr(sinks._Files, "renamed", dies)
+    with pytest.raises(KeyboardInterrupt):
+        write_ledger(spark.createDataFrame(LEDGER, LEDGER_SCHEMA), target)
+    monkeypatch.undo()
+    assert not os.path.exists(target)  # it died between the two renames
+    assert recover_ledger(spark, target) and "old" in _texts(target) and not recover_ledger(spark, target)
+    assert write_ledger(spark.createDataFrame(LEDGER, LEDGER_SCHEMA), target) == target and "new" in _texts(target)
+
+
+def test_nowhere_to_write(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(sinks._Files, "renamed", lambda self, s, t: False)
+    with pytest.raises(PermissionError, match="the ledger is in"):
+        write_ledger(spark.createDataFrame(LEDGER, LEDGER_SCHEMA), os.path.join(tmp_dir, "ledger.csv"))
+
+
 def test_statement_without_any_table(spark):
     from test_normalise import F2_ROWS
     raw = spark.createDataFrame(F2_ROWS, RAW_ROWS_SCHEMA)
@@ -147,7 +268,7 @@ def test_consolidated_csv_equals_text_periods(spark, tmp_dir):
 def test_reconcile_chain_and_planted_break(spark, tmp_dir):
     bad = CSV.replace('"1,00,600.00"', '"1,00,601.00"')
     d = _files(tmp_dir, {"ok.csv": CSV, "bad.csv": bad})
-    order = ["src_block", "src_pos"]
+    order = ["line_no"]
     ok = read_statement_csv(spark, os.path.join(d, "ok.csv"))
     assert reconcile(ok, part="statement_id", order=order, debit="debit", credit="credit").count() == 0
     broken = read_statement_csv(spark, os.path.join(d, "bad.csv"))
@@ -157,7 +278,7 @@ def test_reconcile_chain_and_planted_break(spark, tmp_dir):
     p = consolidate(read_statement_text(spark, os.path.join(_files(tmp_dir, {"p1.txt": P1}), "p1.txt")),
                     read_statement_text(spark, os.path.join(_files(tmp_dir, {"p2.txt": P2}), "p2.txt")))
     acct = p.withColumn("account", F.lit("a"))
-    assert reconcile(acct, part="account", order=["period_idx", "src_block", "src_pos"],
+    assert reconcile(acct, part="account", order=["period_idx", "line_no"],
                      debit="debit", credit="credit").count() == 0
 
 

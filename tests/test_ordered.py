@@ -168,3 +168,39 @@ def test_empty_input(spark):
     df = spark.createDataFrame([], "p string, i long, v long")
     assert running_sum(df, "v", "out", "p", "i").count() == 0
     assert fill_forward(df, "v", "out", order="i").count() == 0
+
+
+def _longest(df, part, order, chunk_rows):
+    return scan(df, part, order, chunk_rows=chunk_rows).rows.groupBy(*([part] if part else []), "__chunk").count().agg(F.max("count")).first()[0]
+
+
+def test_chunks_follow_places_not_values(spark):
+    n = 20_000
+    outlier = spark.range(n).select(F.when(F.col("id") == 7, F.lit(10**15)).otherwise(F.col("id")).alias("i"), (F.col("id") % 5).alias("v"))
+    assert _longest(outlier, None, ["i"], 1000) <= 1000
+    same_day = spark.range(n).select(F.lit(1).alias("k"), F.lit(dt.date(2024, 1, 1)).alias("day"), F.concat(F.lit("row "), F.col("id").cast("string")).alias("t"), F.col("id"))
+    assert _longest(same_day, "k", ["day", "t"], 1000) <= 1000
+    seconds = same_day.withColumn("at", F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id)"))
+    assert _longest(seconds, "k", ["at"], 1000) <= 1000
+    equal = spark.range(n).select(F.lit("x").alias("k"), F.lit(1).alias("o"), F.lit(2).alias("v"))
+    assert _longest(equal, "k", ["o"], 1000) <= 1000
+
+
+def test_text_orders_and_ties_in_the_leading_column(spark):
+    rnd = random.Random(9)
+    rows = [("k%d" % (i % 3 and 1), "same", rnd.choice(["a", "B", "ab", "é"]) + str(i), rnd.randint(-9, 9)) for i in range(300)]
+    want, total, before = {}, {}, {}
+    for k, lead, t, v in sorted(rows, key=lambda r: r[2].encode()):
+        total[k] = total.get(k, 0) + v
+        want[t] = (total[k], before.get(k))
+        before[k] = v
+    df = spark.createDataFrame(rows, "k string, lead string, t string, v long").repartition(4)
+    for size in SIZES:
+        got = previous_value(running_sum(df, "v", "s", "k", ["lead", "t"], size), "v", "p", "k", ["lead", "t"], size)
+        assert {r.t: (r.s, r.p) for r in got.collect()} == want
+
+
+def test_rows_equal_in_the_whole_order_have_one_sequence(spark):
+    df = spark.createDataFrame([(1, 1)] * 60, "o long, v long")
+    for size in SIZES:
+        assert sorted(r.s for r in running_sum(df, "v", "s", order="o", chunk_rows=size).collect()) == list(range(1, 61))

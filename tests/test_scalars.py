@@ -1,8 +1,11 @@
 """Vector tests for the scalar cleaners."""
 
 import datetime as dt
+import random
+import re
+import time
 
-from conftest import one_col
+from helpers import one_col
 from pyspark.sql import functions as F
 
 from spendloom.functions import scalars as S
@@ -126,3 +129,40 @@ def test_headers_are_read_stripped_and_in_any_case(spark):
     assert (row.pos_date_desc, row.pos_withdrawal, row.pos_deposit, row.pos_balance, row.usable) == (1, 2, 0, 4, True)
     # a role without aliases is absent, and a table without it is unusable
     assert map_roles(df, {"date_desc": ["date"]}).first().usable is False
+
+
+def _described(text, extra=()):
+    """The spans removed one pattern after the other from the whole text."""
+    if text is None:
+        return None
+    text = text.strip()
+    for label in S.description_labels(extra):
+        text = re.sub(rf"{label}.*?{S.PHONE_MARKER}", "", text, flags=re.I | re.S)
+    for pattern in S.DESCRIPTION_TRAILING_PATTERNS:
+        text = re.sub(pattern, "", text, flags=re.I)
+    return re.sub(r"\s+", " ", text).strip() or None
+
+
+def test_spans_as_by_whole_text_patterns(spark):
+    rnd = random.Random(6)
+    bits = [*S.DESCRIPTION_LABELS, "Hill Road", "Phone", "Phone No.: 12", "phone no.: 9", "Phone No.: x", "STATE", "MENT DATE", "IF", "SC", "word", "\n", "5", "Balance Brought Forward"]
+    texts = ["".join(rnd.choice(bits) + rnd.choice(["", " "]) for _ in range(rnd.randint(1, 25))) for _ in range(400)]
+    texts += ["CURRENCY Phone No.: 1" * 3 + "tail CURRENCY", "Phone No.: 1 IFSC", "ACCOUNT NO a CURRENCY b Phone No.: 1 ACCOUNT NO c CURRENCY", None, ""]
+    for extra in ((), ("Hill Road", "Phone")):
+        got = one_col(spark, texts, lambda c: S.clean_description(c, extra))
+        assert got == [_described(t, extra) for t in texts]
+
+
+def test_spans_take_linear_time(spark):
+    """Many labels behind one early marker: four times the text is not sixteen times the work."""
+    def seconds(n):
+        df = spark.createDataFrame([("x Phone No.: 1 " + "CURRENCY and account no " * n,)] * 3, "v string").coalesce(1)
+        best = []
+        for _ in range(3):
+            t0 = time.perf_counter()
+            df.select(F.length(S.clean_description("v")).alias("n")).agg(F.sum("n")).collect()
+            best.append(time.perf_counter() - t0)
+        return min(best)
+
+    small = seconds(5_000)
+    assert seconds(40_000) < 20 * small + 2  # 8 times the text; by the square it would be 64 times

@@ -6,7 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from spendloom.functions import parse_sheet_date
-from spendloom.operators import cumulative, fill_forward, spend_by, spend_by_period
+from spendloom.operators import cumulative, cumulatives, fill_forward, spend_by, spend_by_period
 from spendloom.sources import read_sheet
 
 HEADER = "Date,Item,Expenditure,Cumulative - Monthly,Cumulative - Yearly,Comments,Category\n"
@@ -33,7 +33,7 @@ def _write(tmp_dir, name, text):
 
 def _dated_sheet(spark, path):
     sheet = read_sheet(spark, path).withColumn("d", parse_sheet_date("Date"))
-    return fill_forward(sheet, "d", order=["source_file", "src_block", "src_pos"])
+    return fill_forward(sheet, "d", order=["source_file", "line_no"])
 
 
 def test_spend_by_category_fixture_f1(spark, tmp_dir):
@@ -52,15 +52,15 @@ def test_inferred_schema_matches_explicit(spark, tmp_dir):
 
 
 def test_fill_forward_blank_dates(spark, tmp_dir):
-    out = _dated_sheet(spark, _write(tmp_dir, "f1.csv", F1)).orderBy("src_pos").collect()
+    out = _dated_sheet(spark, _write(tmp_dir, "f1.csv", F1)).orderBy("line_no").collect()
     assert [r.d for r in out] == [dt.date(2025, 6, 1)] * 3 + [dt.date(2025, 6, 2)]
 
 
 def test_cumulative_resets_by_month_and_year(spark, tmp_dir):
     dated = _dated_sheet(spark, _write(tmp_dir, "two.csv", TWO_MONTHS))
-    order = ["d", "src_pos"]
+    order = ["d", "line_no"]
     out = cumulative(cumulative(dated, "d", "Expenditure", "month", order=order),
-                     "d", "Expenditure", "year", order=order).orderBy("src_pos").collect()
+                     "d", "Expenditure", "year", order=order).orderBy("line_no").collect()
     assert [r.cumulative_month for r in out] == [1000.0, 1010.0, 20.0, 25.5]
     assert [r.cumulative_year for r in out] == [1000.0, 1010.0, 1030.0, 1035.5]
     # The last yearly figure equals the sheet's own cell and the G4 total.
@@ -75,3 +75,27 @@ def test_comments_sum_like_golden_fact(spark, tmp_dir):
     # Numeric comments may carry a split bill; they sum like any amount column.
     df = read_sheet(spark, _write(tmp_dir, "f1.csv", F1))
     assert spend_by(df.withColumn("k", F.lit(1)), "k", "Comments", "t").first().t == -22.5
+
+
+def _shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_month_and_year_in_one_scan(spark):
+    import datetime as dt
+    import math
+    import random
+
+    rnd = random.Random(4)
+    rows = [(rnd.choice(["a", "b", None]), None if i % 50 == 0 else dt.date(2023, 1, 1) + dt.timedelta(days=rnd.randint(0, 700)), i, rnd.randint(1, 999) / 100) for i in range(600)]
+    rows += [("hot", dt.date(2024, 5, 1 + i % 9), 1000 + i, 1.25) for i in range(300)]
+    want, sums = {}, {}
+    for k, d, i, v in sorted(rows, key=lambda r: (r[1] is not None, r[1] or dt.date.min, r[2])):
+        for grain in ((k, d and d.year), (k, d and d.year, d and d.month)):
+            sums.setdefault(grain, []).append(v)
+        want[i] = (math.fsum(sums[k, d and d.year, d and d.month]), math.fsum(sums[k, d and d.year]))
+    df = spark.createDataFrame(rows, "k string, d date, i long, v double").repartition(4)
+    for size in (7, 100_000):
+        got = cumulatives(df, "d", "v", {"m": "month", "y": "year"}, order=["d", "i"], keys=["k"], chunk_rows=size)
+        assert {r.i: (r.m, r.y) for r in got.collect()} == want
+    assert _shuffles(cumulatives(df, "d", "v", {"m": "month", "y": "year"}, order=["d", "i"], keys=["k"])) == 1
