@@ -375,8 +375,9 @@ def _clean_amount(x: str) -> str:
 
 
 def _exact(x: str, over: str = "") -> str:
-    """The exact sum of doubles: whole multiples of 2**-50, summed as integers, rounded once."""
-    return f"CAST(SUM(CAST({x} * 1125899906842624 AS HUGEINT)){over} AS DOUBLE) / 1125899906842624"
+    """The exact sum of doubles: whole multiples of 2**-50, summed as integers, rounded once (by the addition of two exact parts)."""
+    total = f"SUM(CAST({x} * 1125899906842624 AS HUGEINT)){over}"
+    return f"(CAST({total} // 1099511627776 AS DOUBLE) * 1099511627776 + CAST({total} % 1099511627776 AS DOUBLE)) / 1125899906842624"
 
 
 _MONEY = "CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR)"
