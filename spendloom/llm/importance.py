@@ -151,9 +151,11 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
 
 def _lowered(counts: Counter, keep: int) -> Counter:
     """The `keep` largest counts, lowered by the largest of the others."""
-    ordered = sorted(counts.items(), key=lambda kv: -kv[1])
-    cut = ordered[keep][1] if len(ordered) > keep else 0
-    return Counter({k: v - cut for k, v in ordered[:keep] if v > cut})
+    if len(counts) <= keep:
+        return counts
+    values = np.fromiter(counts.values(), np.int64, len(counts))
+    cut = int(np.partition(values, len(values) - keep - 1)[len(values) - keep - 1])
+    return Counter({k: v - cut for k, v in counts.items() if v > cut})
 
 
 def find_head(docs: DataFrame, n_words: int = HEAD_WORDS, n_pairs: int = HEAD_PAIRS) -> Head:
@@ -169,7 +171,7 @@ def find_head(docs: DataFrame, n_words: int = HEAD_WORDS, n_pairs: int = HEAD_PA
                 if len(counts) > 4 * keep:
                     lower = _lowered(counts, keep)
                     counts.clear()
-                    counts.update(lower)
+                    dict.update(counts, lower)
         for pair, (counts, keep) in enumerate(kinds):
             kept = [(k, v) for k, v in _lowered(counts, keep).items() if max(map(len, k if pair else [k])) <= HEAD_BYTES]
             for at in range(0, len(kept), 50_000):
