@@ -12,7 +12,7 @@ from llm_helpers import words_of
 from pyspark.sql import functions as F
 
 from spendloom.llm import jaccard_join, line_dedup, mixing, packing, suffix_dedup, toxicity
-from spendloom.llm.common import components, hashes_of, linked_groups
+from spendloom.llm.common import components, linked_groups
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -133,34 +133,13 @@ def test_edit_distance():
         assert line_dedup.edit_distance(a, b) == row[-1]
 
 
-def test_line_fingerprints_are_majorities():
-    rnd = np.random.default_rng(3)
-    counts = np.array([1, 2, 3, 255, 256, 700, 5])
-    words = rnd.integers(0, 2**64, counts.sum(), np.uint64)
-    got = line_dedup.simhashes(words, counts)
-    for fingerprint, part in zip(got, np.split(words, np.cumsum(counts)[:-1])):
-        lanes = line_dedup.mix64(part[:, None] + line_dedup._LANE_SALTS)
-        bits = np.unpackbits(lanes.view(np.uint8), axis=1, bitorder="little").reshape(len(part), line_dedup.LANES, 8, 8)
-        more = 2 * bits.sum(axis=0, dtype=int) > len(part)  # (lane, byte, bit)
-        assert fingerprint.tobytes() == np.packbits(more.transpose(2, 0, 1).ravel()).tobytes()
-
-
 def lines_brute(rows, similarity=0.8):
     forms = sorted({f for _, t, *_ in rows for f in line_dedup.normalised_lines(t or "") if f})
-    hashes = [hashes_of(list(set(f.split()))) for f in forms]
-    prints = line_dedup.simhashes(np.concatenate(hashes), np.array([len(h) for h in hashes]))
-    groups, blocks = Groups(forms), defaultdict(list)
-    for form, lanes in zip(forms, prints.tolist()):
-        for i, lane in enumerate(lanes):
-            blocks[i, 0, lane & 0xFFFFFFFF].append(form)
-            blocks[i, 1, lane >> 32].append(form)
-    lanes_of = dict(zip(forms, prints.tolist()))
-    for block in blocks.values():
-        for i, a in enumerate(block):
-            for b in block[:i]:
-                bits = sum((x ^ y).bit_count() for x, y in zip(lanes_of[a], lanes_of[b]))
-                if bits <= line_dedup.MOST_BITS and line_dedup.alike(a.decode(), b.decode(), similarity):
-                    groups.join(a, b)
+    groups = Groups(forms)
+    for i, a in enumerate(forms):
+        for b in forms[:i]:
+            if line_dedup.alike(a.decode(), b.decode(), similarity):
+                groups.join(a, b)
     keeper = {}
     for doc_id, text, *_ in rows:
         for f in filter(None, line_dedup.normalised_lines(text or "")):
