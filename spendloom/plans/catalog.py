@@ -25,7 +25,7 @@ from spendloom.plans import derive as D
 from spendloom.session import scratch_table_path
 from spendloom.schema import LEDGER_HEADERS
 from spendloom.sources.contract import check_contract, split_contract
-from spendloom.sources.readers import (consolidate, read_raw_tables, read_sheet, read_statement_csv,
+from spendloom.sources.readers import (read_raw_tables, read_sheet, read_statement_csv, read_statement_periods,
                                        read_statement_text, statement_meta)
 from spendloom.sources.sinks import preview, write_ledger
 
@@ -246,33 +246,28 @@ def q_parse_sheet_date(spark, sf):
     return t.select("o_orderkey", "sheet_text", S.parse_sheet_date("sheet_text").alias("sheet_date"))
 
 
-#: First days of the statement periods that U2 joins; each slice of ``orders`` is a pushed date range.
-PERIODS = (None, "1997-01-01", "1999-01-01", None)
+#: First days of the second and later statement periods that U2 joins; orders without a date are a last period of their own.
+PERIOD_STARTS = ("1997-01-01", "1999-01-01")
 
 
 def q_consolidate(spark, sf):
-    """Text statements of three periods, read back and joined: each period's files are written on their own."""
-    periods = []
-    for first, after in zip(PERIODS, PERIODS[1:]):
-        o = _orders(spark, sf)
-        if first:
-            o = o.where(F.col("o_orderdate") >= F.lit(first).cast("timestamp_ntz"))
-        if after:
-            o = o.where(F.col("o_orderdate") < F.lit(after).cast("timestamp_ntz"))
-        periods.append(read_statement_text(spark, _statement_files(spark, o, "text")))
-    rows = consolidate(*periods)
+    """Text statements of all periods, written in one pass, read back in one and joined."""
+    period = F.lit(len(PERIOD_STARTS) + 1)
+    for k, first in reversed(list(enumerate((*PERIOD_STARTS, "9999-12-31")))):
+        period = F.when(F.col("o_orderdate") < F.lit(first).cast("timestamp_ntz"), k).otherwise(period)
+    rows = read_statement_periods(spark, _statement_files(spark, _orders(spark, sf), "text", period))
     return rows.select(_stmt_no(), F.col("period_idx").cast("long").alias("period_idx"), "value_date", "description",
                        "ref_no", "debit", "credit", "balance")
 
 
-def _statement_files(spark, orders, kind: str) -> str:
+def _statement_files(spark, orders, kind: str, period=None) -> str:
     """Write the derived statement files to a fresh folder under the shared
     checkpoint location and return the glob of the files."""
-    mv = D.orders_statement_movements(orders, running_sum)
+    mv = D.orders_statement_movements(orders, running_sum, period)
     lines = D.statement_text_lines(mv) if kind == "text" else D.statement_csv_lines(mv)
     path = scratch_table_path(spark, f"statements-{kind}-{uuid.uuid4().hex}")
     D.write_statement_files(lines, path)
-    return f"{path}/stmt=*/*.txt"
+    return f"{path}/period=*/stmt=*/*.txt"
 
 
 def _stmt_no(c="statement_id"):
@@ -642,7 +637,7 @@ SELECT event_id,
          OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ts_filled
 FROM events"""
     running = {grain: _exact("o_totalprice", f""" OVER (
-         PARTITION BY o_custkey, date_trunc('{grain}', o_orderdate) ORDER BY o_orderdate, o_orderkey
+         PARTITION BY o_custkey, date_trunc('{grain}', o_orderdate) ORDER BY o_orderdate NULLS FIRST, o_orderkey
          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""") for grain in ("month", "year")}
     sql["cumulative_spend"] = f"""
 SELECT o_orderkey, o_custkey,
@@ -655,7 +650,7 @@ WITH mv AS (
          CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'F' THEN -1 ELSE 0 END * CAST(o_totalprice AS DECIMAL(12,2)) AS move
   FROM orders),
 acct AS (
-  SELECT *, SUM(move) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
+  SELECT *, SUM(move) OVER (PARTITION BY o_custkey ORDER BY o_orderdate NULLS FIRST, o_orderkey
                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS moved,
          CASE WHEN o_orderkey % 97 = 0 THEN 1 ELSE 0 END AS planted
   FROM mv),
@@ -664,7 +659,7 @@ bal AS (
 chk AS (
   SELECT *, LAST_VALUE(bal IGNORE NULLS) OVER w AS prev,
          LAST_VALUE(CASE WHEN bal IS NOT NULL THEN planted END IGNORE NULLS) OVER w AS prev_planted
-  FROM bal WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+  FROM bal WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate NULLS FIRST, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
 SELECT o_custkey, o_orderkey, CAST(bal AS DOUBLE) AS balance, CAST(prev AS DOUBLE) AS prev_balance,
        CASE WHEN bal IS NOT NULL THEN CAST(prev_planted - planted AS DOUBLE) END AS diff,
        CASE WHEN bal IS NULL THEN 'no_balance' ELSE 'break' END AS status
@@ -686,7 +681,7 @@ WITH mv AS (
   FROM orders),
 bal AS (
   SELECT *, {D.OPENING_BALANCE} + SUM(COALESCE(credit, 0) - COALESCE(debit, 0)) OVER (
-              PARTITION BY stmt ORDER BY o_orderdate, o_orderkey
+              PARTITION BY stmt ORDER BY o_orderdate NULLS FIRST, o_orderkey
               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS balance
   FROM mv)"""
     cols = """o_orderpriority || '/' || o_orderstatus || '/' || CAST(o_orderkey AS VARCHAR) AS description,
@@ -699,7 +694,7 @@ FROM bal"""
     # Every period's file opens at the same balance and runs on its own.
     sql["consolidate"] = stmt_rows.replace("PARTITION BY stmt", "PARTITION BY stmt, period_idx").replace(
         "SELECT CAST(o_custkey //", """SELECT CAST(CASE WHEN o_orderdate < TIMESTAMP '1997-01-01' THEN 0
-                   WHEN o_orderdate < TIMESTAMP '1999-01-01' THEN 1 ELSE 2 END AS BIGINT) AS period_idx,
+                   WHEN o_orderdate < TIMESTAMP '1999-01-01' THEN 1 WHEN o_orderdate IS NOT NULL THEN 2 ELSE 3 END AS BIGINT) AS period_idx,
          CAST(o_custkey //""") + f"""
 SELECT stmt, period_idx, CAST(o_orderdate AS DATE) AS value_date,
        {cols}

@@ -249,22 +249,22 @@ STATEMENT_HEADER = "\t".join(["Txn Date", "Value Date", "Description", "Ref No./
 STATEMENT_CSV_HEADER = "﻿Value Date,Description,Ref No./Cheque No.,        Debit,Credit,Balance"
 
 
-def orders_statement_movements(orders: DataFrame, running_sum) -> DataFrame:
-    """Per statement: one movement per order and the running balance after it.
+def orders_statement_movements(orders: DataFrame, running_sum, period: Column | None = None) -> DataFrame:
+    """Per statement (and ``period``, 0 by default): one movement per order and the running balance after it.
 
     ``running_sum`` is the library's skew-safe scan (passed in to keep this
     module free of operator imports).
     """
     price = F.col("o_totalprice").cast("decimal(12,2)")
     mv = orders.select(
-        F.expr(f"o_custkey div {STATEMENT_CUSTOMERS}").alias("stmt"), "o_orderkey", "o_orderdate",
-        "o_orderpriority", "o_orderstatus",
+        F.expr(f"o_custkey div {STATEMENT_CUSTOMERS}").alias("stmt"), (F.lit(0) if period is None else period).alias("period"),
+        "o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus",
         F.when(F.col("o_orderstatus") == "F", price).alias("debit"),
         F.when(F.col("o_orderstatus") == "O", price).alias("credit"))
     dec = "decimal(18,2)"
     mv = mv.withColumn("__delta", F.coalesce(F.col("credit").cast(dec), F.lit(0).cast(dec))
                        - F.coalesce(F.col("debit").cast(dec), F.lit(0).cast(dec)))
-    run = running_sum(mv, "__delta", "__run", part="stmt", order=["o_orderdate", "o_orderkey"])
+    run = running_sum(mv, "__delta", "__run", part=["period", "stmt"] if period is not None else "stmt", order=["o_orderdate", "o_orderkey"])
     return run.withColumn("balance", (F.col("__run") + F.lit(OPENING_BALANCE)).cast("decimal(28,2)")).drop("__delta", "__run")
 
 
@@ -301,34 +301,34 @@ def _blank_or(text: Column) -> Column:
 
 def statement_text_lines(mv: DataFrame) -> DataFrame:
     """Statement text lines with a per-file sort key: preamble, header, rows,
-    blank line, trailer. Columns: stmt, section, k1, k2, value."""
+    blank line, trailer. Columns: period, stmt, section, k1, k2, value."""
     d = F.col("o_orderdate")
-    day = F.date_format(d, "d MMM yyyy")
+    day = _blank_or(F.date_format(d, "d MMM yyyy"))
     row = F.concat_ws("\t", day, day,
                       F.concat(F.lit("   "), F.col("o_orderpriority"), F.lit("/"), F.col("o_orderstatus"),
                                F.lit("/"), F.col("o_orderkey").cast("string")),
                       F.concat(F.lit("REF "), F.col("o_orderkey").cast("string")),
                       _blank_or(grouped_text(F.col("debit"))), _blank_or(grouped_text(F.col("credit"))),
                       grouped_text(F.col("balance")))
-    rows = mv.select("stmt", F.lit(2).alias("section"), d.alias("k1"), F.col("o_orderkey").alias("k2"),
+    rows = mv.select("period", "stmt", F.lit(2).alias("section"), d.alias("k1"), F.col("o_orderkey").alias("k2"),
                      row.alias("value"))
-    span = mv.groupBy("stmt").agg(F.min(d).alias("first"), F.max(d).alias("last"))
+    span = mv.groupBy("period", "stmt").agg(F.min(d).alias("first"), F.max(d).alias("last"))
     opening = F.format_number(F.lit(OPENING_BALANCE).cast("decimal(18,2)"), 2)
     pre = [
         F.concat(F.lit("Account Name       :\tStatement "), F.col("stmt").cast("string")),
-        F.concat(F.lit("Balance on "), F.date_format("first", "d MMM yyyy"), F.lit("        :\t"), opening),
-        F.concat(F.lit("Start Date          :\t"), F.date_format("first", "d MMM yyyy")),
-        F.concat(F.lit("End Date            :\t"), F.date_format("last", "d MMM yyyy")),
+        F.concat(F.lit("Balance on "), _blank_or(F.date_format("first", "d MMM yyyy")), F.lit("        :\t"), opening),
+        F.concat(F.lit("Start Date          :\t"), _blank_or(F.date_format("first", "d MMM yyyy"))),
+        F.concat(F.lit("End Date            :\t"), _blank_or(F.date_format("last", "d MMM yyyy"))),
         F.lit(STATEMENT_HEADER),
     ]
-    fixed = span.select("stmt", F.explode(F.array(*[
+    fixed = span.select("period", "stmt", F.explode(F.array(*[
         F.struct(F.lit(s).alias("section"), F.lit(i).cast("long").alias("k2"), v.alias("value"))
         for i, (s, v) in enumerate([(0, p) for p in pre[:4]] + [(1, pre[4])])
     ] + [
         F.struct(F.lit(3).alias("section"), F.lit(0).cast("long").alias("k2"), F.lit("").alias("value")),
         F.struct(F.lit(4).alias("section"), F.lit(0).cast("long").alias("k2"),
                  F.lit("**This is a computer generated statement.").alias("value")),
-    ])).alias("l")).select("stmt", "l.section", F.lit(None).cast("timestamp_ntz").alias("k1"), "l.k2", "l.value")
+    ])).alias("l")).select("period", "stmt", "l.section", F.lit(None).cast("timestamp_ntz").alias("k1"), "l.k2", "l.value")
     return rows.unionByName(fixed)
 
 
@@ -338,29 +338,29 @@ def statement_csv_lines(mv: DataFrame) -> DataFrame:
 
     def q(c: Column) -> Column:
         return F.concat(F.lit('"'), grouped_text(c), F.lit('"'))
-    row = F.concat_ws(",", F.date_format(d, "dd-MMM-yy"),
+    row = F.concat_ws(",", _blank_or(F.date_format(d, "dd-MMM-yy")),
                       F.concat(F.lit("   "), F.col("o_orderpriority"), F.lit("/"), F.col("o_orderstatus"),
                                F.lit("/"), F.col("o_orderkey").cast("string")),
                       F.concat(F.lit("REF "), F.col("o_orderkey").cast("string")),
                       _blank_or(q(F.col("debit"))), _blank_or(q(F.col("credit"))), q(F.col("balance")))
-    rows = mv.select("stmt", F.lit(2).alias("section"), d.alias("k1"), F.col("o_orderkey").alias("k2"),
+    rows = mv.select("period", "stmt", F.lit(2).alias("section"), d.alias("k1"), F.col("o_orderkey").alias("k2"),
                      row.alias("value"))
-    head = mv.select("stmt").distinct().select(
-        "stmt", F.lit(1).alias("section"), F.lit(None).cast("timestamp_ntz").alias("k1"),
+    head = mv.select("period", "stmt").distinct().select(
+        "period", "stmt", F.lit(1).alias("section"), F.lit(None).cast("timestamp_ntz").alias("k1"),
         F.lit(0).cast("long").alias("k2"), F.lit(STATEMENT_CSV_HEADER).alias("value"))
     return rows.unionByName(head)
 
 
 def write_statement_files(lines: DataFrame, path: str) -> str:
-    """One file per statement, lines in order: ``<path>/stmt=<n>/part-*``.
+    """One file per statement, lines in order: ``<path>/period=<k>/stmt=<n>/part-*``.
 
     Rows are hash-partitioned by statement and sorted within each task, so
     every statement is written by one task in line order.
     """
-    (lines.repartition("stmt")
-     .sortWithinPartitions("stmt", "section", "k1", "k2")
-     .select("stmt", "value")
-     .write.mode("overwrite").partitionBy("stmt").text(path))
+    (lines.repartition("period", "stmt")
+     .sortWithinPartitions("period", "stmt", "section", "k1", "k2")
+     .select("period", "stmt", F.coalesce("value", F.lit("")).alias("value"))
+     .write.mode("overwrite").partitionBy("period", "stmt").text(path))
     return path
 
 

@@ -305,6 +305,17 @@ def read_statement_csv(spark: SparkSession, path: str) -> DataFrame:
 # U2 consolidation
 # ---------------------------------------------------------------------------
 
+def read_statement_periods(spark: SparkSession, path: str, period: str = r"/period=([0-9]+)/") -> DataFrame:
+    """U2 for periods whose text statements lie under one folder: read once, ``period_idx`` told from the file's path.
+
+    ``period`` is a pattern with the number as its group; a file whose path
+    does not match has no period (NULL). The rows equal those of
+    ``consolidate`` over the periods read one by one.
+    """
+    rows = read_statement_text(spark, path)
+    return rows.withColumn("period_idx", F.nullif(F.regexp_extract("statement_id", period, 1), F.lit("")).cast("int"))
+
+
 def consolidate(*periods: DataFrame) -> DataFrame:
     """Union statement periods into one table, ``period_idx`` first in order.
 

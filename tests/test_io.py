@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from spendloom.operators import extraction_stats, normalise_statements, reconcile, running_sum, spend_by
 from spendloom.schema import LEDGER_SCHEMA, RAW_ROWS_SCHEMA
 from spendloom.sources import (captioned_csv, consolidate, preview, read_raw_tables, read_sheet, read_statement_csv,
-                               read_statement_text, recover_ledger, sinks, statement_meta, write_ledger)
+                               read_statement_periods, read_statement_text, recover_ledger, sinks, statement_meta, write_ledger)
 
 T = "\t"
 HDR = T.join(["Txn Date", "Value Date", "Description", "Ref No./Cheque No.", "        Debit",
@@ -263,6 +263,11 @@ def test_consolidated_csv_equals_text_periods(spark, tmp_dir):
     assert both.select(cols).exceptAll(csv.select(cols)).count() == 0
     assert csv.select(cols).exceptAll(both.select(cols)).count() == 0
     assert sorted(r.period_idx for r in both.collect()) == [0, 0, 1]
+    for k, text in enumerate((P1, P2)):
+        os.makedirs(os.path.join(tmp_dir, f"period={k}"))
+        _files(os.path.join(tmp_dir, f"period={k}"), {"s.txt": text})
+    once = read_statement_periods(spark, os.path.join(tmp_dir, "period=*", "*.txt"))
+    assert sorted(map(str, once.select("period_idx", "line_no", *cols).collect())) == sorted(map(str, both.select("period_idx", "line_no", *cols).collect()))
 
 
 def test_reconcile_chain_and_planted_break(spark, tmp_dir):
