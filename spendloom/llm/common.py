@@ -38,7 +38,17 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.scratch_path = path
+    return back
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what `saved` wrote for these frames; nothing that is still to run may read them."""
+    for df in frames:
+        spark = df.sparkSession
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
