@@ -16,7 +16,8 @@ rows (SAMPLE_ROWS); scores look at text alone.
 
 Defined results: null and empty texts score what the model gives a document
 without features; without usable labels every document scores 0; repeated
-rows score alike. A label is used once per matching document row.
+rows score alike. A label is used once per matching document row; an id with
+several labels counts as 1 if one of them is 1.
 """
 
 from __future__ import annotations
@@ -322,7 +323,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
     characters = character_model(docs)
     marks = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("label")).filter("doc_id is not null and label in (0, 1)")
     part = max(1, -(-marks.count() // sample_rows))
-    marks = marks.filter(F.expr(f"pmod(xxhash64(doc_id, 'sample'), {part}) = 0")).dropDuplicates(["doc_id"])
+    marks = marks.filter(F.expr(f"pmod(xxhash64(doc_id, 'sample'), {part}) = 0")).groupBy("doc_id").agg(F.max("label").alias("label"))
     sample = saved(docs.join(marks, "doc_id").select("text", F.col("label").cast("int").alias("label")), "labelled")
     sizes = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
     if len(sizes) < 2:
