@@ -31,11 +31,13 @@ def check_contract(raw_rows: DataFrame) -> DataFrame:
     Only positions are counted over all rows, with map-side combine. Rows of
     positions that are there once go straight through; the others are first
     reduced to distinct rows, so many copies of one row are no hot group.
+    What makes ``raw_rows`` may be expensive, so it runs once: the rows are
+    written first, and every step reads them from there.
     """
     reason = (F.when(F.col("statement_id").isNull() | F.col("table_idx").isNull() | F.col("row_idx").isNull(), "no_key")
               .when(F.col("cells").isNull(), "no_cells")
               .when(F.size("cells") > F.coalesce(F.size("headers"), F.lit(0)), "more_cells"))
-    rows = raw_rows.withColumn("reason", reason)
+    rows = written(raw_rows.withColumn("reason", reason), "raw-rows")
     several = rows.where("reason is null").groupBy(*KEY).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").drop("__n")
     several = written(several, "repeated-positions")
     n = several.count()
